@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, sharding, simhash, urls
+from . import bpe, decontam, exact, html, langid, linededup, sharding, simhash, toxicity, urls
 from .common import table
 
 
@@ -25,12 +25,21 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item found in it; clean documents have none."""
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_external_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sharding.shard(table(spark, sf_dir, "documents"), 24)
     crc = F.coalesce(F.crc32(F.encode("text", "UTF-8")), F.lit(0)).cast("long")
     return records.select("doc_id", sharding.size_of().alias("size"), crc.alias("text_crc32"), "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 #: Verdict, host, path.
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -45,15 +54,65 @@ def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, urls.RULES))
 
 
+def op7_kernel_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = langid.Model.train(langid.sample(docs.where(~held_out)))
+    return langid.identify(docs, model).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup(table(spark, sf_dir, "documents"), digests=True)
+
+
 def op9_patricia_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_simhash_near_dedup, op4_external_shuffle_shards, op6_url_range_join, op9_patricia_exact_dedup)}
+#: In the order of the chain: columns of ``labels`` as probabilities of 0/1 values.
+TOXICITY_CHAIN = {"low_quality": "1 - quality", "toxic": "toxic"}
+
+
+def toxicity_chain(spark: SparkSession, sf_dir: str) -> toxicity.Chain:
+    return toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TOXICITY_CHAIN)
+
+
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), toxicity_chain(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op2_simhash_near_dedup,
+        op3_pigeonhole_decontamination,
+        op4_external_shuffle_shards,
+        op5_html_extraction,
+        op6_url_range_join,
+        op7_kernel_language_id,
+        op8_cuckoo_line_dedup,
+        op9_patricia_exact_dedup,
+        op10_toxicity_chain,
+    )
+}
 
 _WHITE = r"[\x20\x09-\x0D]+"
 
 SQL = {
+    "op8_cuckoo_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, unnest(split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+        ), keyed AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+        ), repeated AS (
+            SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+        ), judged AS (
+            SELECT doc_id, pos, line, coalesce(doc_id <> last, false) AS gone FROM keyed LEFT JOIN repeated USING (k)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
     "op6_url_range_join": r"""
         WITH cut AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
