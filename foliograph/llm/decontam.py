@@ -163,3 +163,18 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", id
         out = part if out is None else out.union(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
+
+
+def reject(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no item is found."""
+    at, schema = docs.columns.index(text), docs.schema
+    for block in blocks(benchmark, item_id, item_text, block_chars):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(sent.value, rate, min_chars)
+            for batch in batches:
+                yield batch.filter(pa.array([not matcher.find(v.as_py()) for v in batch.column(at)], pa.bool_()))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs

@@ -9,7 +9,7 @@ from . import bpe, decontam, exact, html, langid, linededup, sharding, simhash,
 from .common import table
 
 
-def _ranks() -> tuple[bytes, str]:
+def ranks() -> tuple[bytes, str]:
     import public_tokenizers
 
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
@@ -17,7 +17,7 @@ def _ranks() -> tuple[bytes, str]:
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(table(spark, sf_dir, "documents"), *_ranks(), keep=["doc_id"], ids=False, digests=True)
+    return bpe.encode(table(spark, sf_dir, "documents"), *ranks(), keep=["doc_id"], ids=False, digests=True)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

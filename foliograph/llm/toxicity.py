@@ -184,3 +184,16 @@ def classify(docs: DataFrame, chain: Chain, text: str = "text", id: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
 
     return docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+
+
+def reject(docs: DataFrame, chain: Chain, category: str, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that don't reach the threshold of ``category``."""
+    at, k = docs.columns.index(text), chain.categories.index(category)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = chain.scorer()
+        for batch in batches:
+            keep = [float(score([features(v.as_py())])[0, k]) < chain.thresholds[k] for v in batch.column(at)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
