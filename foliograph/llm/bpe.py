@@ -21,6 +21,7 @@ from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 #: Offset of the code points that stand for bytes; none of them is white space or has a special meaning.
 BYTE_AT = 256
@@ -149,7 +150,7 @@ def encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep:
     """Columns ``keep`` (default: all) of each row, ``n_tokens``, with ``ids`` the ``token_ids``, and with ``digests`` the
     SHA-256 of the decimal ids and of the bytes that the ids decode to. ``ranks`` is the content of a rank file, of a
     fixed size (under 1 MB for 50,000 tokens). An input column with the name of a new one gives way to it."""
-    new = {"n_tokens": "long"} | ({"token_ids": "array<int>"} if ids else {}) | ({"ids_sha256": "string", "decoded_sha256": "string"} if digests else {})
+    new = {"n_tokens": T.LongType()} | ({"token_ids": T.ArrayType(T.IntegerType())} if ids else {}) | ({"ids_sha256": T.StringType(), "decoded_sha256": T.StringType()} if digests else {})
     keep = [c for c in (keep if keep is not None else df.columns) if c not in new]
     kept = df.select(*[f"`{c}`" for c in keep])
     rows = df.selectExpr(*[f"`{c}`" for c in keep], f"`{text}` AS `__text`")
@@ -193,4 +194,4 @@ def decode(df: DataFrame, ranks: bytes, ids: str = "token_ids", out: str = "deco
             texts = [None if v.as_py() is None else b"".join(tokens[i] for i in v.as_py()).decode("utf-8", "replace") for v in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, out])
 
-    return rows.mapInArrow(run, rows.schema.add(out, "string"))
+    return rows.mapInArrow(run, rows.schema.add(out, T.StringType()))
