@@ -1,0 +1,139 @@
+"""Sinks: JSON, CSV bundles, graph tables, vector collections."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import ids, text
+from ..operators import graph, vector
+
+
+def records_json(records: DataFrame, path: str) -> None:
+    """A folder of JSON for each stem; a stem written again replaces the old one only with a new ``path``."""
+    records.write.mode("overwrite").partitionBy("stem").json(path)
+
+
+def _cand() -> Column:
+    return ids.candidate_id(F.col("candidate.name"), F.col("candidate.email")).alias("candidate_id")
+
+
+def _filled(df: DataFrame, *fields: str) -> DataFrame:
+    for f in fields:
+        df = df.where(~text.is_blank(F.col("x")[f]))
+    return df
+
+
+def domain_tables(records: DataFrame) -> dict[str, DataFrame]:
+    """The eight tables of the domain bundle. Jobs need title and company, studies and certificates both of their names."""
+    person = ["name", "email", "phone", "location", "linkedin", "portfolio", "headline", "summary"]
+    source = ["source_file", "source_sha256", "ingested_at", "parser_version"]
+
+    def rows(section: str, *required: str) -> DataFrame:
+        return _filled(records.select(_cand(), F.explode(F.col("sections")[section]).alias("x")), *required)
+
+    def pick(df: DataFrame, *fields: str) -> DataFrame:
+        return df.select("candidate_id", *[F.col(f"x.{f}").alias(f) for f in fields])
+
+    projects = rows("projects", "name")
+    used = projects.select(F.col("x.project_id").alias("project_id"), F.explode("x.technologies").alias("technology"))
+    return {
+        "resume_candidates": records.select(_cand(), *[f"candidate.{f}" for f in person], *[f"source_document.{f}" for f in source]),
+        "resume_skills": pick(rows("skills", "name"), "name", "category"),
+        "resume_experience": pick(rows("experience", "job_title", "company"), "experience_id", "job_title", "company", "location", "start_date", "end_date", "description"),
+        "resume_education": pick(rows("education", "degree", "institution"), "education_id", "degree", "institution", "location", "graduation_year"),
+        "resume_projects": projects.select("candidate_id", "x.project_id", "x.name", F.array_join("x.technologies", ", ").alias("technologies"), "x.description", "x.url"),
+        "resume_project_skills": used.where(~text.is_blank(F.col("technology"))),
+        "resume_certifications": pick(rows("certifications", "name", "issuer"), "name", "issuer", "year"),
+        "resume_languages": pick(rows("languages", "name"), "name", "proficiency"),
+    }
+
+
+def compact_tables(records: DataFrame) -> dict[str, DataFrame]:
+    """The seven tables of the compact bundle, keyed by the candidate's name; records without one are left out. Studies
+    need their institution only, certificates their name only."""
+    base = records.withColumn("candidate_name", text.strip(text.text_or_empty(F.col("candidate.name")))).where("candidate_name != ''")
+
+    def rows(section: str, *required: str) -> DataFrame:
+        return _filled(base.select("candidate_name", F.explode(F.col("sections")[section]).alias("x")), *required)
+
+    projects = rows("projects", "name")
+    return {
+        "demo_candidates": base.select(F.col("candidate_name").alias("name"), "candidate.email", "candidate.phone", "candidate.location", "candidate.linkedin", "source_document.source_file"),
+        "demo_skills": rows("skills", "name").select("candidate_name", "x.name", "x.category"),
+        "demo_experience": rows("experience", "job_title", "company").select("candidate_name", "x.job_title", "x.company", "x.location", "x.start_date", "x.end_date", "x.description"),
+        "demo_education": rows("education", "institution").select("candidate_name", "x.institution", "x.degree", "x.location", F.col("x.graduation_year").alias("date")),
+        "demo_projects": projects.select("candidate_name", text.strip(F.col("x.name")).alias("name"), "x.description", "x.url"),
+        "demo_technologies": projects.select(text.strip(F.col("x.name")).alias("project_name"), F.explode("x.technologies").alias("name")).where(~text.is_blank(F.col("name"))),
+        "demo_certifications": rows("certifications", "name").select("candidate_name", "x.name", "x.issuer", F.col("x.year").alias("date")),
+    }
+
+
+def csv_bundle(tables: dict[str, DataFrame], path: str) -> dict[str, int]:
+    """Each table as CSV with a header in a folder of its name; the numbers of rows."""
+    counts = {}
+    for name, df in tables.items():
+        df.write.mode("overwrite").csv(f"{path}/{name}", header=True)
+        counts[name] = df.count()
+    return counts
+
+
+def _wide(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``properties`` as sorted columns, '' where a row lacks one. The property names are collected: as many as a header
+    has columns."""
+    names = [r[0] for r in df.select(F.explode(F.map_keys("properties")).alias("k")).distinct().orderBy("k").collect()]
+    return df.select(*keys, *[F.coalesce(F.try_element_at("properties", F.lit(n)), F.lit("")).alias(n) for n in names if n not in keys])
+
+
+def node_tables(nodes: DataFrame) -> dict[str, DataFrame]:
+    """A table for each label: graph_id and the union of its property names. Repeated ids are an error."""
+    if not nodes.groupBy("id").count().where("count > 1").isEmpty():
+        raise ValueError("repeated node ids")
+    labels = [r[0] for r in nodes.select("label").distinct().orderBy("label").collect()]
+    return {label: _wide(nodes.where(F.col("label") == label).withColumnRenamed("id", "graph_id"), ["graph_id"]) for label in labels}
+
+
+def edge_tables(edges: DataFrame) -> dict[str, DataFrame]:
+    """A table for each type: from_id, to_id, rel_id and the union of its property names."""
+    keyed = edges.select("type", F.col("src").alias("from_id"), F.col("dst").alias("to_id"), ids.rel_id(F.col("src"), F.col("type"), F.col("dst"), F.col("properties")).alias("rel_id"), "properties")
+    types = [r[0] for r in edges.select("type").distinct().orderBy("type").collect()]
+    return {t: _wide(keyed.where(F.col("type") == t), ["from_id", "to_id", "rel_id"]) for t in types}
+
+
+def load_script(nodes: dict[str, DataFrame], edges: dict[str, DataFrame]) -> str:
+    """A Cypher script that loads the tables of ``node_tables`` and ``edge_tables``."""
+    parts = [f"CREATE CONSTRAINT {label.lower()}_id IF NOT EXISTS FOR (n:{label}) REQUIRE n.graph_id IS UNIQUE" for label in nodes]
+    for label, df in nodes.items():
+        sets = ", ".join(f"n.`{c}` = row.`{c}`" for c in df.columns if c != "graph_id")
+        parts.append(f"LOAD CSV WITH HEADERS FROM 'file:///nodes_{label.lower()}.csv' AS row\nMERGE (n:{label} {{graph_id: row.graph_id}})" + (f"\nSET {sets}" if sets else ""))
+    for kind, df in edges.items():
+        sets = ", ".join(f"r.`{c}` = row.`{c}`" for c in df.columns if c not in ("from_id", "to_id", "rel_id"))
+        parts.append(f"LOAD CSV WITH HEADERS FROM 'file:///edges_{kind.lower()}.csv' AS row\nMATCH (a {{graph_id: row.from_id}}), (b {{graph_id: row.to_id}})\nMERGE (a)-[r:{kind} {{rel_id: row.rel_id}}]->(b)" + (f"\nSET {sets}" if sets else ""))
+    return ";\n".join(parts) + ";\n"
+
+
+def graph_parquet(nodes: DataFrame, edges: DataFrame, path: str, reset: bool = True) -> None:
+    """Nodes by label and edges by type; edges without both ends are left out. Without ``reset``, what is there is merged
+    with the new rows, which win."""
+    spark = nodes.sparkSession
+    if not reset:
+        old = spark.read.parquet(f"{path}/nodes").withColumn("ordinal", F.lit(0))
+        nodes = graph.merge_nodes(old.select("id", "label", "properties", "ordinal").unionByName(nodes.select("id", "label", "properties", F.lit(1).alias("ordinal"))))
+        before = spark.read.parquet(f"{path}/edges").withColumn("ordinal", F.lit(0))
+        columns = ["src", "type", "dst", "identity", "properties", "ordinal"]
+        edges = graph.merge_edges(before.select(*columns).unionByName(edges.withColumn("ordinal", F.lit(1)).select(*columns)))
+        path = f"{path}/merged"
+    nodes.select("id", "label", "properties").write.mode("overwrite").partitionBy("label").parquet(f"{path}/nodes")
+    graph.resolved(edges, nodes).select("src", "type", "dst", "identity", "properties").write.mode("overwrite").partitionBy("type").parquet(f"{path}/edges")
+
+
+def collection_parquet(rows: DataFrame, path: str, old: DataFrame | None = None) -> None:
+    """A vector collection; with ``old``, its rows with other ids stay."""
+    (vector.upsert(old, rows) if old is not None else rows).write.mode("overwrite").parquet(path)
+
+
+def with_images(records: DataFrame, images: DataFrame) -> DataFrame:
+    """Records with the images (stem, images) of their stem; fails for images without a record."""
+    met = records.drop("images").join(images, "stem", "full")
+    checked = met.where(F.when(F.col("candidate").isNull(), F.raise_error(F.concat(F.lit("no record for "), F.col("stem")))).otherwise(F.lit(True)))
+    return checked
