@@ -21,6 +21,7 @@ from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Offset of the code points that stand for bytes; none of them is white space or has a special meaning.
@@ -153,10 +154,8 @@ def encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep:
     new = {"n_tokens": T.LongType()} | ({"token_ids": T.ArrayType(T.IntegerType())} if ids else {}) | ({"ids_sha256": T.StringType(), "decoded_sha256": T.StringType()} if digests else {})
     keep = [c for c in (keep if keep is not None else df.columns) if c not in new]
     kept = df.select(*[f"`{c}`" for c in keep])
-    rows = df.selectExpr(*[f"`{c}`" for c in keep], f"`{text}` AS `__text`")
-    schema = kept.schema
-    for name, kind in new.items():
-        schema = schema.add(name, kind)
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).toDF(*[f"c{i}" for i in range(len(keep) + 1)])
+    schema = T.StructType([*kept.schema.fields, *(T.StructField(name, kind) for name, kind in new.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe(read_ranks(ranks), pattern)
@@ -194,4 +193,4 @@ def decode(df: DataFrame, ranks: bytes, ids: str = "token_ids", out: str = "deco
             texts = [None if v.as_py() is None else b"".join(tokens[i] for i in v.as_py()).decode("utf-8", "replace") for v in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, out])
 
-    return rows.mapInArrow(run, rows.schema.add(out, T.StringType()))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())]))

@@ -105,7 +105,10 @@ LABELLED = """
 12 0 35 10 25 0 0 0 0 1
 200 20 12 0 2 100 0 0 0 1
 90 0 0 0 0 0 0 0 0 1
-14 0 60 0 2 100 0 0 0 0
+8 0 60 0 2 100 0 0 0 0
+18 0 40 0 1 100 0 0 0 1
+25 0 30 0 2 100 0 0 0 1
+21 0 0 0 1 100 0 0 0 1
 """
 
 

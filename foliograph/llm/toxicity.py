@@ -2,9 +2,9 @@
 probabilities of the earlier categories. In training these probabilities are out of fold, so that a model learns to
 use them as good as they are on texts not seen before.
 
-Features: presence of words and, for forms not seen in training, of the words' first ``STEM`` letters, from lower-cased
-runs of letters. The vocabulary is chosen in training by how much more often than elsewhere a feature occurs in texts of
-any category (and how much less). The models are logistic regressions fitted by Newton steps on the driver.
+Features: presence of words and, for forms not seen in training, of stems (a word's first letters) that one or that
+several words of the text have, from lower-cased runs of letters. Each category's vocabulary is chosen in training by how
+much more or less often than elsewhere a feature occurs in its texts. The models are logistic regressions fitted by Newton steps on the driver.
 
 Training reads a bounded sample: at most ``SAMPLE`` labelled documents (half of them with some positive label where there
 are as many) of at most ``SAMPLE_CHARS`` characters each, those with the smallest hashes of their ids. Labels that are
@@ -28,46 +28,41 @@ from pyspark.sql import functions as F
 
 SAMPLE = 6000
 SAMPLE_CHARS = 20_000
-#: Size of the vocabulary, and in how many documents of the sample a feature must occur.
+#: Size of a category's vocabulary, and in how many documents of the sample a feature must occur.
 VOCABULARY, LEAST = 500, 4
-STEM = 4
+#: Least G statistic of a feature.
+GAIN = 15.0
+#: Lengths of the stems.
+STEMS = (4, 5, 6, 7)
 FOLDS = 3
 #: Weight of the squared coefficients in the fit.
-RIDGE = 0.3
+RIDGE = 0.1
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def features(text: str | None) -> set[str]:
     words = set(WORD.findall((text or "").lower()))
-    return words | {w[:STEM] + "-" for w in words if len(w) >= STEM}
+    stems = Counter(w[:n] for n in STEMS for w in words if len(w) >= n)
+    return words.union([s + "-" for s in stems], [s + "--" for s, n in stems.items() if n > 1])
 
 
-def choose(sets: list[set[str]], labels: np.ndarray, size: int = VOCABULARY, least: int = LEAST) -> list[str]:
-    """The features whose frequencies differ most between the texts of a category and the rest, by the largest of the
-    categories' G statistics."""
+def choose(sets: list[set[str]], y: np.ndarray, size: int = VOCABULARY, least: int = LEAST, gain: float = GAIN) -> list[str]:
+    """The features whose frequencies differ most between the texts of a category and the rest, by the G statistic."""
     counts: Counter[str] = Counter()
-    for s in sets:
+    inside: Counter[str] = Counter()
+    for s, positive in zip(sets, y):
         counts.update(s)
+        if positive:
+            inside.update(s)
     names = sorted(f for f, n in counts.items() if n >= least)
-    at = {f: i for i, f in enumerate(names)}
-    n, total = len(sets), np.array([counts[f] for f in names], float)
-    best = np.zeros(len(names))
-    for y in labels.T:
-        within = np.zeros(len(names))
-        for s, positive in zip(sets, y):
-            if positive:
-                for f in s:
-                    if f in at:
-                        within[at[f]] += 1
-        m = y.sum()
-        g = np.zeros(len(names))
-        for seen, margin_a, margin_b in ((within, total, m), (total - within, total, n - m), (m - within, n - total, m), (n - m - total + within, n - total, n - m)):
-            expected = margin_a * margin_b / max(n, 1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                g += np.where(seen > 0, 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
-        best = np.maximum(best, g)
-    order = np.lexsort((np.arange(len(names)), -best))[:size]
-    return [names[i] for i in order]
+    total, within = (np.array([c[f] for f in names], float) for c in (counts, inside))
+    n, m = len(sets), float(y.sum())
+    g = np.zeros(len(names))
+    for seen, with_it, of in ((within, total, m), (total - within, total, n - m), (m - within, n - total, m), (n - m - total + within, n - total, n - m)):
+        expected = with_it * of / max(n, 1)
+        g += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+    order = np.lexsort((np.arange(len(names)), -g))[:size]
+    return [names[i] for i in order if g[i] >= gain]
 
 
 def matrix(sets: list[set[str]], vocabulary: list[str]) -> np.ndarray:
@@ -82,22 +77,29 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int = 12) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int = 20) -> np.ndarray:
     """Logistic regression: coefficients, the last one the intercept (which isn't penalised)."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    if len(x) == 0 or y.min() == y.max():
+    if len(y) == 0 or y.min() == y.max():
         w = np.zeros(x.shape[1])
         w[-1] = 30 if len(y) and y.max() else -30
         return w
     w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     w[-1] = np.log(y.mean() / (1 - y.mean()))
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, z).sum() - y @ z + (penalty * w * w).sum() / 2)
+
+    now = loss(w)
     for _ in range(steps):
         p = sigmoid(x @ w)
         s = np.maximum(p * (1 - p), 1e-6)
         step = np.linalg.solve((x * s[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
-        w += step
-        if np.abs(step).max() < 1e-4:
+        while (after := loss(w + step)) > now and np.abs(step).max() > 1e-4:
+            step /= 2
+        w, gained, now = w + step, now - after, after
+        if gained < 1e-6 * abs(now):
             break
     return w
 
@@ -110,21 +112,40 @@ class Chain:
 
     @classmethod
     def train(cls, sets: list[set[str]], labels: np.ndarray, categories: list[str], folds: int = FOLDS) -> Chain:
-        vocabulary = choose(sets, labels)
+        chosen = [choose(sets, y) for y in labels.T]
+        vocabulary = sorted({f for own in chosen for f in own})
+        at = {f: i for i, f in enumerate(vocabulary)}
         x = matrix(sets, vocabulary)
         fold = np.arange(len(sets)) % folds
         weights, thresholds = [], []
-        for y in labels.T:
+        for k, (y, own) in enumerate(zip(labels.T, chosen)):
+            # a category's model sees its own features and the earlier categories' probabilities
+            columns = [at[f] for f in own] + list(range(len(vocabulary), len(vocabulary) + k))
             out = np.zeros(len(y))
-            for k in range(folds):
-                if (fold == k).any():
-                    w = fit(x[fold != k], y[fold != k])
-                    out[fold == k] = sigmoid(x[fold == k] @ w[:-1] + w[-1])
-            weights.append(fit(x, y))
+            for part in range(folds):
+                if (fold == part).any():
+                    w = fit(x[fold != part][:, columns], y[fold != part])
+                    out[fold == part] = sigmoid(x[fold == part][:, columns] @ w[:-1] + w[-1])
+            full = np.zeros(len(vocabulary) + k + 1)
+            full[[*columns, -1]] = fit(x[:, columns], y)
+            weights.append(full)
             thresholds.append(threshold(out, y))
             x = np.hstack([x, out[:, None].astype(np.float32)])
         return cls(categories, vocabulary, weights, thresholds)
 
+    def reader(self):
+        """A function of texts that gives those of their features that the chain knows. Only words that begin like a known
+        stem are looked at for stems."""
+        known = set(self.vocabulary)
+        heads = {f[: STEMS[0]] for f in known if f.endswith("-")}
+
+        def read(text: str | None) -> set[str]:
+            words = set(WORD.findall((text or "").lower()))
+            near = [w for w in words if w[: STEMS[0]] in heads]
+            return (words | features(" ".join(near))) & known if near else words & known
+
+        return read
+
     def scorer(self):
         """A function of feature sets that gives a probability for each category."""
         at, n = {f: i for i, f in enumerate(self.vocabulary)}, len(self.vocabulary)
@@ -143,7 +164,7 @@ class Chain:
 
 def threshold(p: np.ndarray, y: np.ndarray) -> float:
     """Half way between the scores around the cut with the best F1; 0.5 where all cuts are alike."""
-    if y.min() == y.max():
+    if len(y) == 0 or y.min() == y.max():
         return 0.5
     order = np.argsort(-p, kind="stable")
     hit = np.cumsum(y[order])
@@ -177,9 +198,9 @@ def classify(docs: DataFrame, chain: Chain, text: str = "text", id: str = "doc_i
     names = [n for c in chain.categories for n in (f"p_{c}", c)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = chain.scorer()
+        read, score = chain.reader(), chain.scorer()
         for batch in batches:
-            p = np.vstack([score([features(v.as_py())]) for v in batch.column(1)]) if len(batch) else np.zeros((0, len(chain.weights)))
+            p = score([read(v.as_py()) for v in batch.column(1)])
             columns = [x for k, t in enumerate(chain.thresholds) for x in (pa.array(p[:, k]), pa.array(p[:, k] >= t))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
 
@@ -191,9 +212,9 @@ def reject(docs: DataFrame, chain: Chain, category: str, text: str = "text") ->
     at, k = docs.columns.index(text), chain.categories.index(category)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = chain.scorer()
+        read, score = chain.reader(), chain.scorer()
         for batch in batches:
-            keep = [float(score([features(v.as_py())])[0, k]) < chain.thresholds[k] for v in batch.column(at)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            p = score([read(v.as_py()) for v in batch.column(at)])
+            yield batch.filter(pa.array(p[:, k] < chain.thresholds[k]))
 
     return docs.mapInArrow(run, docs.schema)
