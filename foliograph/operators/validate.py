@@ -39,9 +39,12 @@ def rules(schema: dict, value: Column, path: str = "$", definitions: dict | None
                 error(shown & is_array & bad(schema[word]), f"violates {word} {schema[word]}")
         if "items" in schema:
             items = F.from_json(F.when(is_array, value), "array<string>")
+
+            def nth(n: int):
+                return lambda x: rules(schema["items"], x, f"{path}[]", definitions)[n]
+
             for n in range(len(rules(schema["items"], F.lit(""), f"{path}[]", definitions))):
-                pick = lambda x, n=n: rules(schema["items"], x, f"{path}[]", definitions)[n]
-                out.append(F.get(F.filter(F.transform(items, pick), lambda e: e.isNotNull()), F.lit(0)))
+                out.append(F.get(F.filter(F.transform(items, nth(n)), lambda e: e.isNotNull()), F.lit(0)))
     elif kind == "string":
         if "minLength" in schema:
             error(shown & (F.length(value) < schema["minLength"]), f"is shorter than {schema['minLength']}")
