@@ -18,22 +18,25 @@ repeated rows give repeated results; an empty table gives an empty one; other co
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 6000
-SAMPLE_CHARS = 20_000
+SAMPLE = 5000
+SAMPLE_CHARS = 8_000
 #: Size of a category's vocabulary, and in how many documents of the sample a feature must occur.
 VOCABULARY, LEAST = 500, 4
 #: Least G statistic of a feature.
 GAIN = 15.0
 #: Lengths of the stems.
 STEMS = (4, 5, 6, 7)
+#: Hashed features that are counted together at first.
+BUCKETS = 1 << 20
 FOLDS = 3
 #: Weight of the squared coefficients in the fit.
 RIDGE = 0.1
@@ -46,30 +49,62 @@ def features(text: str | None) -> set[str]:
     return words.union([s + "-" for s in stems], [s + "--" for s, n in stems.items() if n > 1])
 
 
-def choose(sets: list[set[str]], y: np.ndarray, size: int = VOCABULARY, least: int = LEAST, gain: float = GAIN) -> list[str]:
-    """The features whose frequencies differ most between the texts of a category and the rest, by the G statistic."""
-    counts: Counter[str] = Counter()
-    inside: Counter[str] = Counter()
-    for s, positive in zip(sets, y):
-        counts.update(s)
-        if positive:
-            inside.update(s)
-    names = sorted(f for f, n in counts.items() if n >= least)
-    total, within = (np.array([c[f] for f in names], float) for c in (counts, inside))
-    n, m = len(sets), float(y.sum())
-    g = np.zeros(len(names))
-    for seen, with_it, of in ((within, total, m), (total - within, total, n - m), (m - within, n - total, m), (n - m - total + within, n - total, n - m)):
-        expected = with_it * of / max(n, 1)
-        g += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
-    order = np.lexsort((np.arange(len(names)), -g))[:size]
-    return [names[i] for i in order if g[i] >= gain]
+class FeatureSets:
+    """The feature sets of texts, made anew each time they are gone through: only one is in memory."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+
+    def __len__(self) -> int:
+        return len(self.texts)
 
+    def __iter__(self) -> Iterator[set[str]]:
+        return map(features, self.texts)
 
-def matrix(sets: list[set[str]], vocabulary: list[str]) -> np.ndarray:
+
+def g_statistic(total: np.ndarray, within: np.ndarray, n: float, m: float) -> np.ndarray:
+    """Of features in ``total`` of n texts, ``within`` of them among the m texts of a category."""
+    g = np.zeros(len(total))
+    for seen, with_it, of in ((within, total, m), (total - within, total, n - m), (m - within, n - total, m), (n - m - total + within, n - total, n - m)):
+        g += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(with_it * of / max(n, 1), 1e-9))
+    return g
+
+
+def choose(sets: Iterable[set[str]], labels: np.ndarray, size: int = VOCABULARY, least: int = LEAST, gain: float = GAIN) -> list[list[str]]:
+    """For each category the features whose frequencies differ most between its texts and the rest. Counts of hashed
+    features leave out most of them; only the rest are counted by themselves."""
+    n, m = len(labels), labels.sum(0)
+    place = lambda f: zlib.crc32(f.encode()) & (BUCKETS - 1)
+    total, within = np.zeros(BUCKETS), np.zeros((labels.shape[1], BUCKETS))
+    for s, y in zip(sets, labels):
+        at = np.unique(np.fromiter(map(place, s), np.int64, len(s)))
+        total[at] += 1
+        within[np.ix_(np.flatnonzero(y), at)] += 1
+    open_ = np.zeros(BUCKETS, bool)
+    for k in range(labels.shape[1]):
+        open_ |= (total >= least) & (g_statistic(total, within[k], n, m[k]) >= gain)
+    counts: Counter[str] = Counter()
+    inside: list[Counter[str]] = [Counter() for _ in m]
+    for s, y in zip(sets, labels):
+        own = [f for f in s if open_[place(f)]]
+        counts.update(own)
+        for k in np.flatnonzero(y):
+            inside[k].update(own)
+    names = sorted(f for f, c in counts.items() if c >= least)
+    out = []
+    for k, own in enumerate(inside):
+        g = g_statistic(np.array([counts[f] for f in names], float), np.array([own[f] for f in names], float), n, m[k])
+        order = np.lexsort((np.arange(len(names)), -g))[:size]
+        out.append([names[i] for i in order if g[i] >= gain])
+    return out
+
+
+def matrix(sets: Iterable[set[str]], vocabulary: list[str]) -> np.ndarray:
     at = {f: i for i, f in enumerate(vocabulary)}
-    x = np.zeros((len(sets), len(vocabulary)), np.float32)
-    for row, s in enumerate(sets):
-        x[row, [at[f] for f in s if f in at]] = 1
+    rows = [[at[f] for f in s if f in at] for s in sets]
+    x = np.zeros((len(rows), len(vocabulary)), np.float32)
+    for row, own in enumerate(rows):
+        x[row, own] = 1
     return x
 
 
@@ -111,12 +146,12 @@ class Chain:
         self.categories, self.vocabulary, self.weights, self.thresholds = categories, vocabulary, weights, thresholds
 
     @classmethod
-    def train(cls, sets: list[set[str]], labels: np.ndarray, categories: list[str], folds: int = FOLDS) -> Chain:
-        chosen = [choose(sets, y) for y in labels.T]
+    def train(cls, sets: Iterable[set[str]], labels: np.ndarray, categories: list[str], folds: int = FOLDS) -> Chain:
+        chosen = choose(sets, labels)
         vocabulary = sorted({f for own in chosen for f in own})
         at = {f: i for i, f in enumerate(vocabulary)}
         x = matrix(sets, vocabulary)
-        fold = np.arange(len(sets)) % folds
+        fold = np.arange(len(labels)) % folds
         weights, thresholds = [], []
         for k, (y, own) in enumerate(zip(labels.T, chosen)):
             # a category's model sees its own features and the earlier categories' probabilities
@@ -189,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], size:
     """``categories``: names and, as SQL over ``labels``, their 0/1 values, in the order of the chain."""
     rows = sample(docs, labels, list(categories.values()), size, text, id)
     y = np.array([r[1] for r in rows], float).reshape(len(rows), len(categories))
-    return Chain.train([features(r[0]) for r in rows], y, list(categories))
+    return Chain.train(FeatureSets([r[0] for r in rows]), y, list(categories))
 
 
 def classify(docs: DataFrame, chain: Chain, text: str = "text", id: str = "doc_id") -> DataFrame:
