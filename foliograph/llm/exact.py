@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Bytes of text that a trie may hold.
 BUDGET = 48_000_000
 #: Rows that leave a trie in one Arrow batch, in bytes of text.
@@ -157,5 +159,6 @@ def digests(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
 
 def exact_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", budget: int = BUDGET) -> DataFrame:
     """One row for each row of ``df``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
-    joined = digests(df, text, id).join(owners(df, text, id, budget), "text_sha256")
+    # written, so that both sides of the join come straight from a shuffle and a hot group's rows can be split
+    joined = digests(df, text, id).join(written(owners(df, text, id, budget), "owners"), "text_sha256")
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
