@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,3 +46,10 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Re
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def least_hashes(h: Column, wanted: int, of: Column) -> Column:
+    """Whether the hash ``h`` (long) can be among the ``wanted`` smallest of ``of`` rows: true for about 20 times as many rows
+    as are wanted, spread evenly over the tasks, so that a top-k over the hash gathers no more from many tasks than from few."""
+    share = F.lit(20.0 * wanted) / F.greatest(of, F.lit(1))
+    return h.cast("double") <= F.lit(-(2.0**63)) + F.least(share, F.lit(1.0)) * F.lit(2.0**64)

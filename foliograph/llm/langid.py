@@ -8,8 +8,9 @@ Model. ``LANDMARKS`` texts of the sample (some of each language) give Nystroem f
 kernel ridge regression for each language against the rest. Scoring multiplies a batch of presence bits with the
 landmarks' bits and these with the weights. The score is the softmax of the regression values at ``SHARP``.
 
-Training reads a bounded sample: ``PER_LANGUAGE`` texts of at most ``SAMPLE_CHARS`` characters of each of at most
-``LANGUAGES`` languages (the most frequent ones), those with the smallest hashes of their ids.
+Training reads a bounded sample: ``PER_LANGUAGE`` texts, or fewer so that it has ``SAMPLE`` at most, of at most
+``SAMPLE_CHARS`` characters of each of at most ``LANGUAGES`` languages (the most frequent ones), those with the smallest
+hashes of their ids.
 
 Results for special cases: a text that is null or has no letter is ``und`` with score 0; without any training row, all
 are; rows with a null language aren't learned from; equal scores go to the language first in alphabetical order;
@@ -26,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import least_hashes
+
 NGRAM = 3
 LETTERS = 62
-PER_LANGUAGE, LANGUAGES, SAMPLE_CHARS = 300, 64, 20_000
+PER_LANGUAGE, SAMPLE, LANGUAGES, SAMPLE_CHARS = 300, 4800, 64, 10_000
 LANDMARKS = 160
 RIDGE = 0.1
 SHARP = 8.0
@@ -82,11 +85,12 @@ class Model:
         letters = "".join(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])
         alphabet = Alphabet(letters)
         found, languages = [], []
+        bits = np.zeros(alphabet.starts[-1], np.uint8)
         for text, language in rows:
-            bits = np.zeros(alphabet.starts[-1], np.uint8)
             if alphabet.presence(text, bits):
-                found.append(bits)
+                found.append(np.flatnonzero(bits).astype(np.int32))
                 languages.append(language)
+            bits[:] = 0
         if not found:
             return None
         names = sorted(set(languages))
@@ -94,15 +98,21 @@ class Model:
         for i, language in enumerate(languages):
             own.setdefault(language, []).append(i)
         each = max(1, landmarks // len(names))
-        z = np.array([found[i] for name in names for i in own[name][:each]], np.float32)
-        columns = np.flatnonzero(z.any(0))
-        z = z[:, columns]
-        z /= np.sqrt(np.maximum(z.sum(1, keepdims=True), 1))
+        chosen = [found[i] for name in names for i in own[name][:each]]
+        columns = np.unique(np.concatenate(chosen))
+
+        def normed(sets: list[np.ndarray]) -> np.ndarray:
+            out = np.zeros((len(sets), len(columns)), np.float32)
+            for row, s in zip(out, sets):
+                row[np.searchsorted(columns, np.intersect1d(s, columns, assume_unique=True))] = 1 / np.sqrt(len(s))
+            return out
+
+        z = normed(chosen)
         values, vectors = np.linalg.eigh(z @ z.T)
         good = values > 1e-5
         root = vectors[:, good] / np.sqrt(values[good])
-        x = np.array([f[columns] / np.sqrt(f.sum()) for f in found], np.float32)
-        phi = np.hstack([x @ z.T @ root, np.ones((len(x), 1), np.float32)])
+        kernel = np.vstack([normed(found[i : i + 256]) @ z.T for i in range(0, len(found), 256)])
+        phi = np.hstack([kernel @ root, np.ones((len(found), 1))])
         y = np.where(np.array(languages)[:, None] == np.array(names), 1.0, -1.0)
         penalty = np.eye(phi.shape[1]) * ridge
         w = np.linalg.solve(phi.T @ phi + penalty, phi.T @ y)
@@ -134,11 +144,14 @@ class Model:
 def sample(docs: DataFrame, text: str = "text", id: str = "doc_id", lang: str = "lang", each: int = PER_LANGUAGE, languages: int = LANGUAGES) -> list[tuple[str, str]]:
     """The training sample of ``docs``, all of which may be learned from."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where(F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    frequent = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
+    each = min(each, SAMPLE // max(1, len(frequent)))
+    counts = docs.sparkSession.createDataFrame(frequent, "lang string, n long")
     first = Window.partitionBy("lang").orderBy("h", "id")
     # ids are chosen first, by a limit that each task applies before the shuffle; then only their texts are gathered
-    chosen = rows.join(F.broadcast(frequent), "lang").select("id", "lang", F.xxhash64(F.lit("langid"), "id").alias("h")).withColumn("k", F.row_number().over(first)).where(F.col("k") <= each)
-    found = rows.join(F.broadcast(chosen.select("id", "lang", "h").distinct()), ["id", "lang"]).orderBy("h", "id", "text").limit(each * languages).collect()
+    hashed = rows.join(F.broadcast(counts), "lang").select("id", "lang", "n", F.xxhash64(F.lit("langid"), "id").alias("h"))
+    chosen = hashed.where(least_hashes(F.col("h"), each, F.col("n"))).withColumn("k", F.row_number().over(first)).where(F.col("k") <= each)
+    found = rows.join(F.broadcast(chosen.select("id", "lang", "h").distinct()), ["id", "lang"]).orderBy("h", "id", "text").limit(SAMPLE).collect()
     return [(r["text"], r["lang"]) for r in found]
 
 
