@@ -17,6 +17,7 @@ repeated rows give repeated results; an empty table gives an empty one; other co
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -27,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import least_hashes
+
 SAMPLE = 5000
 SAMPLE_CHARS = 8_000
 #: Size of a category's vocabulary, and in how many documents of the sample a feature must occur.
@@ -70,9 +73,9 @@ def g_statistic(total: np.ndarray, within: np.ndarray, n: float, m: float) -> np
     return g
 
 
-def choose(sets: Iterable[set[str]], labels: np.ndarray, size: int = VOCABULARY, least: int = LEAST, gain: float = GAIN) -> list[list[str]]:
+def choose(sets: Iterable[set[str]], labels: np.ndarray, size: int = VOCABULARY, least: int = LEAST, gain: float = GAIN) -> tuple[list[list[str]], list[list[str]]]:
     """For each category the features whose frequencies differ most between its texts and the rest. Counts of hashed
-    features leave out most of them; only the rest are counted by themselves."""
+    features leave out most of them; only the rest are counted by themselves, and are given for each text, too."""
     n, m = len(labels), labels.sum(0)
     place = lambda f: zlib.crc32(f.encode()) & (BUCKETS - 1)
     total, within = np.zeros(BUCKETS), np.zeros((labels.shape[1], BUCKETS))
@@ -83,23 +86,20 @@ def choose(sets: Iterable[set[str]], labels: np.ndarray, size: int = VOCABULARY,
     open_ = np.zeros(BUCKETS, bool)
     for k in range(labels.shape[1]):
         open_ |= (total >= least) & (g_statistic(total, within[k], n, m[k]) >= gain)
-    counts: Counter[str] = Counter()
-    inside: list[Counter[str]] = [Counter() for _ in m]
-    for s, y in zip(sets, labels):
-        own = [f for f in s if open_[place(f)]]
-        counts.update(own)
-        for k in np.flatnonzero(y):
-            inside[k].update(own)
+    kept = [[f for f in s if open_[place(f)]] for s in sets]
+    counts = Counter(itertools.chain.from_iterable(kept))
     names = sorted(f for f, c in counts.items() if c >= least)
+    total_of = np.array([counts[f] for f in names], float)
     out = []
-    for k, own in enumerate(inside):
-        g = g_statistic(np.array([counts[f] for f in names], float), np.array([own[f] for f in names], float), n, m[k])
+    for k in range(labels.shape[1]):
+        inside = Counter(itertools.chain.from_iterable(own for own, y in zip(kept, labels) if y[k]))
+        g = g_statistic(total_of, np.array([inside[f] for f in names], float), n, m[k])
         order = np.lexsort((np.arange(len(names)), -g))[:size]
         out.append([names[i] for i in order if g[i] >= gain])
-    return out
+    return out, kept
 
 
-def matrix(sets: Iterable[set[str]], vocabulary: list[str]) -> np.ndarray:
+def matrix(sets: Iterable[Iterable[str]], vocabulary: list[str]) -> np.ndarray:
     at = {f: i for i, f in enumerate(vocabulary)}
     rows = [[at[f] for f in s if f in at] for s in sets]
     x = np.zeros((len(rows), len(vocabulary)), np.float32)
@@ -147,10 +147,10 @@ class Chain:
 
     @classmethod
     def train(cls, sets: Iterable[set[str]], labels: np.ndarray, categories: list[str], folds: int = FOLDS) -> Chain:
-        chosen = choose(sets, labels)
+        chosen, kept = choose(sets, labels)
         vocabulary = sorted({f for own in chosen for f in own})
         at = {f: i for i, f in enumerate(vocabulary)}
-        x = matrix(sets, vocabulary)
+        x = matrix(kept, vocabulary)
         fold = np.arange(len(labels)) % folds
         weights, thresholds = [], []
         for k, (y, own) in enumerate(zip(labels.T, chosen)):
@@ -214,7 +214,12 @@ def sample(docs: DataFrame, labels: DataFrame, categories: list[str], size: int,
     """At most ``size`` labelled texts. Ids are chosen from the labels alone, so only the chosen texts are gathered."""
     known = labels.select(F.col("doc_id").alias("__id"), *[F.expr(c).cast("double").alias(f"c{i}") for i, c in enumerate(categories)]).dropna().dropDuplicates(["__id"])
     known = known.withColumn("h", F.xxhash64(F.lit("toxicity"), "__id")).withColumn("any", F.greatest(F.lit(0.0), *[F.col(f"c{i}") for i in range(len(categories))]) > 0)
-    half = known.where("any").orderBy("h", "__id").limit(size // 2).union(known.where("not any").orderBy("h", "__id").limit(size // 2))
+    sizes = known.agg(F.count_if("any").alias("yes"), F.count_if(~F.col("any")).alias("no")).first()
+
+    def some(rows: DataFrame, of: int) -> DataFrame:
+        return rows.where(least_hashes(F.col("h"), size // 2, F.lit(of))).orderBy("h", "__id").limit(size // 2)
+
+    half = some(known.where("any"), sizes["yes"]).union(some(known.where("not any"), sizes["no"]))
     chosen = docs.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").alias("text")).where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(half), "__id")
     rows = chosen.orderBy("h", "__id", "text").limit(size).collect()
     return [(r["text"], [r[f"c{i}"] for i in range(len(categories))]) for r in rows]
