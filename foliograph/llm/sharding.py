@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Bytes of text and row overhead in a bucket.
-BUCKET_BYTES = 8_000_000
+#: Bytes of text and row overhead in a bucket, and in the largest one for data of over ``BUCKETS`` buckets of the former.
+BUCKET_BYTES, LARGE_BUCKET_BYTES, BUCKETS = 8_000_000, 128_000_000, 10_000
 OFFSETS_MAX = 500_000
 LAW = "rows"
 
@@ -33,7 +33,7 @@ def size_of(text: str = "text"):
 def shuffled_buckets(df: DataFrame, text: str = "text", id: str = "doc_id", seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
     """Pass one: (bucket, pos, record) written in the shared folder, and the number of buckets."""
     total = df.agg(F.sum(size_of(text))).first()[0] or 0
-    buckets = int(total // bucket_bytes + 1)
+    buckets = int(total // min(max(bucket_bytes, total / BUCKETS), max(bucket_bytes, LARGE_BUCKET_BYTES)) + 1)
     place = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id}`"), F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
     rows = df.select(place.alias("bucket"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record"))
     arrays = rows.repartition(buckets, "bucket").groupBy("bucket").agg(F.collect_list("record").alias("records"))
