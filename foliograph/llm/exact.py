@@ -19,7 +19,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -157,6 +157,11 @@ def digests(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     return df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "doc_id long, text_sha256 string")
 
 
+def text_digest(text: str = "text") -> Column:
+    """``text_sha256`` as an expression."""
+    return F.sha2(F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+
+
 def exact_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", budget: int = BUDGET) -> DataFrame:
     """One row for each row of ``df``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
     # written, so that both sides of the join come straight from a shuffle and a hot group's rows can be split
