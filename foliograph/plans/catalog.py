@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -486,6 +487,25 @@ def vector_topk_batch(spark, sf_dir):
     return _search(spark, sf_dir, "vec_id < 10", 5)
 
 
+#: Queries that go to all rows at once.
+BLOCK = 256
+
+
+def _due(vec_ids: DataFrame) -> list[tuple[int, int]]:
+    """Ranges of ids with about ``BLOCK`` of those divisible by 20 in each."""
+    low, high, n = vec_ids.where("vec_id % 20 = 0").agg(F.min("vec_id"), F.max("vec_id"), F.count("*")).first()
+    if not n:
+        return [(0, 0)]
+    step = max(20, (high - low + 1) * BLOCK // n)
+    return [(at, min(at + step, high + 1)) for at in range(low, high + 1, step)]
+
+
+@query(_topk("vec_id % 20 = 0", 5))
+def vector_topk_batch_all(spark, sf_dir):
+    parts = [_search(spark, sf_dir, f"vec_id % 20 = 0 AND vec_id >= {a} AND vec_id < {b}", 5) for a, b in _due(_t(spark, sf_dir, "embeddings"))]
+    return reduce(DataFrame.union, parts)
+
+
 @query("SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN -1 ELSE label END AS label FROM embeddings UNION ALL SELECT vec_id + 1000000, -1 FROM embeddings WHERE vec_id % 5 = 0")
 def vector_upsert(spark, sf_dir):
     old = _t(spark, sf_dir, "embeddings").select("vec_id", "label")

@@ -1,0 +1,12 @@
+"""Queries that take all rows where their older twins take a subset."""
+
+from foliograph.plans import catalog
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_due_vector_is_a_query(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "BLOCK", 7)
+    ids = [r["vec_id"] for r in spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id % 20 = 0").collect()]
+    found = catalog.QUERIES["vector_topk_batch_all"](spark, SF).collect()
+    assert len(ids) > 10 and sorted((r["query_id"], r["rank"]) for r in found) == sorted((i, k) for i in ids for k in range(1, 6))
