@@ -431,6 +431,27 @@ def var_hop_first_300(spark, sf_dir):
     return _trails(spark, sf_dir).select("start", "end", "hops", F.array_join("trail", ",").alias("trail")).orderBy("hops", "start", "trail").limit(300)
 
 
+_ALL_TRAILS = f"""WITH {_GRAPH}, g AS (SELECT src || type || dst AS eid, src, dst FROM e), b AS (SELECT eid, src AS u, dst AS v FROM g UNION ALL SELECT eid, dst, src FROM g),
+    one AS (SELECT n.id AS start, v AS "end", 1 AS hops, eid FROM n JOIN b ON n.id = u WHERE label = 'Candidate'),
+    t AS (SELECT start, "end", hops, eid AS trail FROM one UNION ALL SELECT start, v, 2, one.eid || ',' || b.eid FROM one JOIN b ON one."end" = b.u AND one.eid <> b.eid)"""
+
+
+def _all_trails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, edges = _graph(spark, sf_dir)
+    found = patterns.trails(edges.select(F.concat("src", "type", "dst").alias("eid"), "src", "dst"), nodes.where("label = 'Candidate'").select("id"))
+    return found.select("start", "end", "hops", F.array_join("trail", ",").alias("trail"))
+
+
+@query(_ALL_TRAILS + ' SELECT start, "end", hops, trail FROM t')
+def var_hop_1_2_all(spark, sf_dir):
+    return _all_trails(spark, sf_dir)
+
+
+@query(_ALL_TRAILS + ' SELECT start, "end", hops, trail FROM t ORDER BY hops, start, trail LIMIT 300')
+def var_hop_first_300_all(spark, sf_dir):
+    return _all_trails(spark, sf_dir).orderBy("hops", "start", "trail").limit(300)
+
+
 @query(f"""WITH {_GRAPH} SELECT a.id AS src, a.name AS src_name, coalesce(array_to_string(list_sort(list(b.name) FILTER (b.name IS NOT NULL)), '|'), '') AS names
     FROM n a LEFT JOIN e ON e.src = a.id AND e.type = 'WORKED_AT' LEFT JOIN n b ON e.dst = b.id WHERE a.label = 'Candidate' GROUP BY 1, 2""")
 def optional_collect(spark, sf_dir):

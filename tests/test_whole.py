@@ -10,3 +10,11 @@ def test_every_due_vector_is_a_query(spark, monkeypatch):
     ids = [r["vec_id"] for r in spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id % 20 = 0").collect()]
     found = catalog.QUERIES["vector_topk_batch_all"](spark, SF).collect()
     assert len(ids) > 10 and sorted((r["query_id"], r["rank"]) for r in found) == sorted((i, k) for i in ids for k in range(1, 6))
+
+
+def test_trails_start_from_every_candidate_over_every_edge(spark):
+    starts = {f"c{r['c_custkey']}" for r in spark.read.parquet(f"{SF}/customer.parquet").collect()}
+    found = catalog.QUERIES["var_hop_1_2_all"](spark, SF)
+    one = found.where("hops = 1").collect()
+    assert {r["start"] for r in one} == starts and any("HAS_SKILL" in r["trail"] for r in one)
+    assert found.where("hops = 2").where("trail like '%HAS_SKILL%HAS_SKILL%'").count() > 0
