@@ -1,16 +1,16 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Both sides are normalised: lower case, each run of characters other than letters, digits and marks becomes one space.
-An item of n characters may be found with up to k = floor(``rate`` * n) edits (insertions, deletions, substitutions). It
-is split into k + 1 pieces of equal length, one of which at least occurs exactly in any text with at most k edits. All
+An item of n characters may be found with up to k = floor(``rate`` * n) edits (insertions, deletions, substitutions), at
+whatever length. It is split into k + 1 pieces of equal length, one of which at least occurs exactly in any text with at most k edits. All
 pieces of a block of items are searched in one pass over a document (an Aho-Corasick automaton); around each hit, Myers'
 bit-parallel algorithm tells the smallest edit distance of the item to any substring there.
 
 Blocks of items. An automaton holds at most ``BLOCK_CHARS`` characters of items; a larger benchmark is worked off in
 blocks, each of them against all documents, so what is sent to the tasks is bounded.
 
-Results for special cases: items that are shorter than ``min_chars`` after normalisation are matched exactly (no edits)
-and as whole words; items without any letter or digit match nothing; a null text matches nothing; repeated items and
+Results for special cases: an item too short for a single edit is matched exactly, and as whole words, lest it be found
+inside longer ones; items without any letter or digit match nothing; a null text matches nothing; repeated items and
 repeated documents each give their own rows; a null ``item_id`` or ``doc_id`` is carried along; empty tables give an
 empty result.
 """
@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 
 #: Edits allowed for each character of an item.
 RATE = 0.08
-#: Items shorter than this are matched without edits.
-MIN_CHARS = 40
 #: Characters of items in one automaton.
 BLOCK_CHARS = 4_000_000
 
@@ -74,7 +72,7 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int | None, str | None]], rate: float = RATE, min_chars: int = MIN_CHARS):
+    def __init__(self, items: list[tuple[int | None, str | None]], rate: float = RATE):
         import ahocorasick
 
         self.ids, self.items, self.errors, self.myers = [], [], [], []
@@ -82,7 +80,7 @@ class Matcher:
         for id, text in items:
             if not (own := normal_form(text)):
                 continue
-            k = int(rate * len(own)) if len(own) >= min_chars else 0
+            k = int(rate * len(own))
             number = len(self.ids)
             self.ids.append(id)
             self.items.append(own)
@@ -143,7 +141,7 @@ def blocks(benchmark: DataFrame, id: str, text: str, block_chars: int) -> Iterat
         yield own
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, match_end) for each document and item found in it."""
     schema = "doc_id long, item_id long, distance int, match_end long"
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -152,7 +150,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", id
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, rate, min_chars)
+            matcher = Matcher(sent.value, rate)
             for batch in batches:
                 found = [(doc.as_py(), *x) for doc, value in zip(batch.column(0), batch.column(1)) for x in matcher.find(value.as_py())]
                 columns = list(zip(*found)) or [[]] * 4
@@ -164,15 +162,14 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", id
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-
-def reject(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def reject(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs``, all columns, in which no item is found."""
     at, schema = docs.columns.index(text), docs.schema
     for block in blocks(benchmark, item_id, item_text, block_chars):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, rate, min_chars)
+            matcher = Matcher(sent.value, rate)
             for batch in batches:
                 yield batch.filter(pa.array([not matcher.find(v.as_py()) for v in batch.column(at)], pa.bool_()))
 

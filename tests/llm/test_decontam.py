@@ -48,6 +48,15 @@ def test_finds_all_within_budget():
         assert not found or found[0][:2] == (1, distance)
 
 
+@pytest.mark.parametrize("size", range(13, 60))
+def test_short_items_have_edits_too(size):
+    """From 13 characters on one edit is allowed, without a step at any length; whole words are asked for below that."""
+    item = decontam.normal_form(ITEM)[:size].strip()
+    text = f"before {item[:5]}{item[6:]} after"
+    assert bool(decontam.Matcher([(1, item)]).find(text)) == (int(decontam.RATE * len(item)) >= 1)
+    assert not decontam.Matcher([(1, "a text")]).find("sea texts") and decontam.Matcher([(1, "a text")]).find("is a text, too")
+
+
 @pytest.mark.parametrize("block", [10, 1_000_000])
 def test_rows(spark, edge, empty, block):
     items = spark.createDataFrame([(1, ITEM), (2, None), (3, " ... "), (4, "a text"), (None, ITEM), (5, "THE quick, brown fox jumps over the lazy dog near the river bank")], "item_id long, text string")
@@ -73,7 +82,7 @@ def test_query_against_all_pairs(spark):
         own = decontam.normal_form(d["text"])
         for id, item in forms:
             distance, _ = decontam.Myers(item).best(own)
-            if distance <= (int(decontam.RATE * len(item)) if len(item) >= decontam.MIN_CHARS else 0):
+            if distance <= int(decontam.RATE * len(item)):
                 expected.add((d["doc_id"], id, distance))
     found = queries.op3_pigeonhole_decontamination(spark, sf).collect()
     assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found} == expected
