@@ -1,25 +1,26 @@
 """Language identification with a string kernel.
 
 Kernel. k(x, y) is the number of character n-grams (n = 1 to ``NGRAM``) that both texts contain, divided by the geometric
-mean of how many each contains: a blended spectrum of presence bits. Texts are lower-cased; the ``LETTERS`` most frequent
-letters of the training sample are told apart, other letters are one symbol, and everything else is one space.
+mean of how many each contains: a blended spectrum of presence bits. Texts are lower-cased; letters of any script are
+themselves, everything else is one space. An n-gram's bit is its hash, one of ``BITS``, so no letter is left out.
 
-Model. ``LANDMARKS`` texts of the sample (some of each language) give Nystroem features K(x, Z) K(Z, Z)^(-1/2); on them, a
-kernel ridge regression for each language against the rest. Scoring multiplies a batch of presence bits with the
+Model. ``LANDMARKS`` texts of the sample (one of each language at least) give Nystroem features K(x, Z) K(Z, Z)^(-1/2); on
+them, a kernel ridge regression for each language against the rest. Scoring multiplies a batch of presence bits with the
 landmarks' bits and these with the weights. The score is the softmax of the regression values at ``SHARP``.
 
-Training reads a bounded sample: ``PER_LANGUAGE`` texts, or fewer so that it has ``SAMPLE`` at most, of at most
-``SAMPLE_CHARS`` characters of each of at most ``LANGUAGES`` languages (the most frequent ones), those with the smallest
-hashes of their ids.
+Training reads a bounded sample of whole texts of every language: ``PER_LANGUAGE`` texts of each, or fewer (one at least)
+so that there are about ``SAMPLE``. Those with the smallest hashes are taken, texts of at most ``SAMPLE_CHARS`` characters
+before longer ones and these by their length, while a language's texts have ``SAMPLE_CHARS`` characters each on average;
+the first one is taken at any length. So what is gathered grows with the number of languages, not with the corpus.
 
 Results for special cases: a text that is null or has no letter is ``und`` with score 0; without any training row, all
-are; rows with a null language aren't learned from; equal scores go to the language first in alphabetical order;
-repeated rows give repeated results; an empty table gives an empty one; other columns are dropped.
+are; rows with a null language, text or ``doc_id`` aren't learned from; rows alike in id, text and language are learned
+from once; equal scores go to the language first in alphabetical order; repeated rows give repeated results; an empty
+table gives an empty one; other columns are dropped.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import least_hashes
+from .common import least_hashes, written
 
 NGRAM = 3
-LETTERS = 62
-PER_LANGUAGE, SAMPLE, LANGUAGES, SAMPLE_CHARS = 300, 4800, 64, 10_000
+#: Presence bits; a power of two.
+BITS = 1 << 18
+PER_LANGUAGE, SAMPLE, SAMPLE_CHARS = 300, 4800, 10_000
 LANDMARKS = 160
 RIDGE = 0.1
 SHARP = 8.0
@@ -41,53 +43,45 @@ CHUNK = 1_000_000
 BATCH = 32
 UNDETERMINED = "und"
 
+_LOW = np.array([chr(c).isalpha() for c in range(0x3000)])
+#: An odd factor for each length of n-gram; three code points of 21 bits fit into 64.
+_MIX = np.random.default_rng(7).integers(0, 1 << 63, NGRAM, np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFT = np.uint64(64 - BITS.bit_length() + 1)
 
-class Alphabet:
-    """Symbols 2.. are letters, 1 is any other letter, 0 is everything else."""
-
-    def __init__(self, letters: str):
-        self.letters = letters
-        self.size = len(letters) + 2
-        self.low = np.zeros(0x3000, np.int64)
-        for c in range(0x3000):
-            self.low[c] = chr(c).isalpha()
-        for i, c in enumerate(letters):
-            if ord(c) < 0x3000:
-                self.low[ord(c)] = i + 2
-        self.high = {ord(c): i + 2 for i, c in enumerate(letters) if ord(c) >= 0x3000}
-        self.starts = np.cumsum([0] + [self.size**n for n in range(1, NGRAM + 1)])
-
-    def symbols(self, text: str) -> np.ndarray:
-        codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")
-        out = self.low[np.minimum(codes, 0x2FFF)]
-        for i in np.flatnonzero(codes >= 0x3000):
-            out[i] = self.high.get(int(codes[i]), int(chr(codes[i]).isalpha()))
-        return out
-
-    def presence(self, text: str, bits: np.ndarray) -> bool:
-        """Set ``bits`` (zeros before) for each n-gram of the text; whether it has a letter."""
-        for at in range(0, max(len(text), 1), CHUNK):
-            grams = s = self.symbols(text[max(0, at - NGRAM + 1) : at + CHUNK])
-            for n in range(NGRAM):
-                bits[self.starts[n] + grams] = 1
-                grams = grams[:-1] * self.size + s[n + 1 :]
-        return bool(bits[1 : self.size].any())
+
+def symbols(text: str) -> np.ndarray:
+    """Code points of the lower-cased letters, that of a space for everything else."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")
+    known = _LOW[np.minimum(codes, 0x2FFF)]
+    if (high := codes >= 0x3000).any():
+        distinct, at = np.unique(codes[high], return_inverse=True)
+        known[high] = np.array([chr(c).isalpha() for c in distinct])[at]
+    return np.where(known, codes, 32).astype(np.uint64)
+
+
+def presence(text: str, bits: np.ndarray) -> bool:
+    """Set ``bits`` (zeros before) for each n-gram of the text; whether it has a letter."""
+    letters = False
+    for at in range(0, max(len(text), 1), CHUNK):
+        grams = s = symbols(text[max(0, at - NGRAM + 1) : at + CHUNK])
+        letters = letters or bool((s != 32).any())
+        for n in range(NGRAM):
+            bits[((grams * _MIX[n]) >> _SHIFT).view(np.int64)] = 1
+            grams = (grams[:-1] << np.uint64(21)) + s[n + 1 :]
+    return letters
 
 
 class Model:
-    def __init__(self, alphabet: str, languages: list[str], columns: np.ndarray, landmarks: np.ndarray, weights: np.ndarray):
-        self.alphabet, self.languages, self.columns, self.landmarks, self.weights = alphabet, languages, columns, landmarks, weights
+    def __init__(self, languages: list[str], columns: np.ndarray, landmarks: np.ndarray, weights: np.ndarray):
+        self.languages, self.columns, self.landmarks, self.weights = languages, columns, landmarks, weights
 
     @classmethod
     def train(cls, rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
         """``rows``: text and language, in a fixed order."""
-        counts = Counter(c for text, _ in rows for c in text.lower() if c.isalpha())
-        letters = "".join(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])
-        alphabet = Alphabet(letters)
         found, languages = [], []
-        bits = np.zeros(alphabet.starts[-1], np.uint8)
+        bits = np.zeros(BITS, np.uint8)
         for text, language in rows:
-            if alphabet.presence(text, bits):
+            if presence(text, bits):
                 found.append(np.flatnonzero(bits).astype(np.int32))
                 languages.append(language)
             bits[:] = 0
@@ -117,49 +111,51 @@ class Model:
         penalty = np.eye(phi.shape[1]) * ridge
         w = np.linalg.solve(phi.T @ phi + penalty, phi.T @ y)
         weights = np.vstack([root @ w[:-1], w[-1:]]).astype(np.float32)
-        return cls(letters, names, columns, z.T.copy(), weights)
-
-    def scorer(self):
-        """A function of texts that gives (language, score) for each."""
-        alphabet = Alphabet(self.alphabet)
-
-        def score(texts: list[str | None]) -> list[tuple[str, float]]:
-            batch, sizes, has = np.zeros((len(texts), len(self.columns)), np.float32), np.ones(len(texts)), []
-            bits = np.zeros(alphabet.starts[-1], np.uint8)
-            for i, text in enumerate(texts):
-                has.append(alphabet.presence(text or "", bits))
-                batch[i] = bits[self.columns]
-                sizes[i] = max(1, np.count_nonzero(bits))
-                bits[:] = 0
-            kernel = batch @ self.landmarks / np.sqrt(sizes)[:, None]
-            values = SHARP * (kernel @ self.weights[:-1] + self.weights[-1])
-            share = np.exp(values - values.max(1, keepdims=True))
-            share /= share.sum(1, keepdims=True)
-            best = share.argmax(1)
-            return [(self.languages[b], float(p[b])) if ok else (UNDETERMINED, 0.0) for b, p, ok in zip(best, share, has)]
-
-        return score
-
-
-def sample(docs: DataFrame, text: str = "text", id: str = "doc_id", lang: str = "lang", each: int = PER_LANGUAGE, languages: int = LANGUAGES) -> list[tuple[str, str]]:
+        return cls(names, columns, z.T.copy(), weights)
+
+    def values(self, texts: list[str | None]) -> tuple[np.ndarray, list[bool]]:
+        """The regression value of each text for each language, and which texts have a letter."""
+        batch, sizes, has = np.zeros((len(texts), len(self.columns)), np.float32), np.ones(len(texts)), []
+        bits = np.zeros(BITS, np.uint8)
+        for i, text in enumerate(texts):
+            has.append(presence(text or "", bits))
+            batch[i] = bits[self.columns]
+            sizes[i] = max(1, np.count_nonzero(bits))
+            bits[:] = 0
+        kernel = batch @ self.landmarks / np.sqrt(sizes)[:, None]
+        return kernel @ self.weights[:-1] + self.weights[-1], has
+
+    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, score) of each text."""
+        values, has = self.values(texts)
+        share = np.exp(SHARP * (values - values.max(1, keepdims=True)))
+        share /= share.sum(1, keepdims=True)
+        best = share.argmax(1)
+        return [(self.languages[b], float(p[b])) if ok else (UNDETERMINED, 0.0) for b, p, ok in zip(best, share, has)]
+
+
+def sample(docs: DataFrame, text: str = "text", id: str = "doc_id", lang: str = "lang", each: int = PER_LANGUAGE, size: int = SAMPLE, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
     """The training sample of ``docs``, all of which may be learned from."""
-    rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where(F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    frequent = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    each = min(each, SAMPLE // max(1, len(frequent)))
-    counts = docs.sparkSession.createDataFrame(frequent, "lang string, n long")
-    first = Window.partitionBy("lang").orderBy("h", "id")
-    # ids are chosen first, by a limit that each task applies before the shuffle; then only their texts are gathered
-    hashed = rows.join(F.broadcast(counts), "lang").select("id", "lang", "n", F.xxhash64(F.lit("langid"), "id").alias("h"))
-    chosen = hashed.where(least_hashes(F.col("h"), each, F.col("n"))).withColumn("k", F.row_number().over(first)).where(F.col("k") <= each)
-    found = rows.join(F.broadcast(chosen.select("id", "lang", "h").distinct()), ["id", "lang"]).orderBy("h", "id", "text").limit(SAMPLE).collect()
-    return [(r["text"], r["lang"]) for r in found]
+    rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("id is not null and text is not null and lang is not null")
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    each = max(1, min(each, size // max(1, counts.count())))
+    # rows are chosen by hashes, among few in each task, before any text is gathered
+    hashed = rows.select("id", "lang", F.length("text").alias("size"), F.xxhash64(F.lit("langid"), "id", "text").alias("h")).join(counts, "lang")
+    likely = hashed.where(least_hashes(F.col("h"), each, F.col("n"))).groupBy("lang", "id", "h").agg(F.max("size").alias("size"))
+    order = Window.partitionBy("lang").orderBy(F.greatest("size", F.lit(chars)), "h", "id")
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    ranked = likely.withColumn("k", F.row_number().over(order)).withColumn("chars", before)
+    chosen = written(ranked.where((F.col("k") == 1) | (F.col("k") <= each) & (F.col("chars") <= F.lit(each) * chars)).select("id", "lang", "h"), "sample")
+    texts = rows.withColumn("h", F.xxhash64(F.lit("langid"), "id", "text")).join(chosen, ["id", "lang", "h"])
+    found = texts.groupBy("lang", "h", "id").agg(F.min("text").alias("text")).collect()
+    return [(r["text"], r["lang"]) for r in sorted(found, key=lambda r: (r["h"], str(r["id"]), r["lang"]))]
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = model.scorer() if model else lambda texts: [(UNDETERMINED, 0.0)] * len(texts)
+        score = model.score if model else lambda texts: [(UNDETERMINED, 0.0)] * len(texts)
         for batch in batches:
             found = []
             for at in range(0, len(batch), BATCH):
