@@ -147,23 +147,14 @@ def owners(df: DataFrame, text: str = "text", id: str = "doc_id", budget: int =
     return partial.groupBy("text_sha256").agg(F.min("owner").alias("keep_id"), F.sum("n").alias("group_size"))
 
 
-def digests(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """(doc_id, text_sha256) for each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([hashlib.sha256(normal_form(t.as_py())).hexdigest() for t in b.column(1)], pa.string())], names=["doc_id", "text_sha256"])
-
-    return df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "doc_id long, text_sha256 string")
-
-
 def text_digest(text: str = "text") -> Column:
-    """``text_sha256`` as an expression."""
+    """``text_sha256``: hexadecimal digits of the normal form's SHA-256."""
     return F.sha2(F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
 
 
 def exact_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", budget: int = BUDGET) -> DataFrame:
     """One row for each row of ``df``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
     # written, so that both sides of the join come straight from a shuffle and a hot group's rows can be split
-    joined = digests(df, text, id).join(written(owners(df, text, id, budget), "owners"), "text_sha256")
+    digests = df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), text_digest(text).alias("text_sha256"))
+    joined = digests.join(written(owners(df, text, id, budget), "owners"), "text_sha256")
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
