@@ -1,14 +1,17 @@
 """Toxicity by a classifier chain: categories are predicted one after the other, and each later linear model sees the
 probabilities of the earlier categories. In training these probabilities are out of fold, so that a model learns to
-use them as good as they are on texts not seen before.
+use them as good as they are on texts not seen before. A fold's vocabulary, too, is chosen without the fold's labels, and
+texts that are alike but for case and other characters than letters are in one fold.
 
 Features: presence of words and, for forms not seen in training, of stems (a word's first letters) that one or that
 several words of the text have, from lower-cased runs of letters. Each category's vocabulary is chosen in training by how
-much more or less often than elsewhere a feature occurs in its texts. The models are logistic regressions fitted by Newton steps on the driver.
+much more or less often than elsewhere a feature occurs in its texts. The models are logistic regressions fitted by Newton
+steps on the driver.
 
 Training reads a bounded sample: at most ``SAMPLE`` labelled documents (half of them with some positive label where there
-are as many) of at most ``SAMPLE_CHARS`` characters each, those with the smallest hashes of their ids. Labels that are
-null are left out.
+are as many) of at most ``SAMPLE_CHARS`` characters each, those with the smallest hashes of their ids; so it learns nothing from
+longer texts, which are scored like others. A row of labels with a null is left out; of a document's labels that
+contradict each other the largest value counts, and of several texts of one ``doc_id`` the smallest one is learned from.
 
 Results for special cases: a null or empty text has no features and gets each model's base rate; rows whose text has no
 label are scored like others; with a category that has only one value in the sample, its probability is that value;
@@ -52,6 +55,11 @@ def features(text: str | None) -> set[str]:
     return words.union([s + "-" for s in stems], [s + "--" for s, n in stems.items() if n > 1])
 
 
+def fold_of(text: str, folds: int = FOLDS) -> int:
+    """The fold of a text, by its words."""
+    return zlib.crc32(" ".join(WORD.findall(text.lower())).encode()) % folds
+
+
 class FeatureSets:
     """The feature sets of texts, made anew each time they are gone through: only one is in memory."""
 
@@ -73,30 +81,45 @@ def g_statistic(total: np.ndarray, within: np.ndarray, n: float, m: float) -> np
     return g
 
 
-def choose(sets: Iterable[set[str]], labels: np.ndarray, size: int = VOCABULARY, least: int = LEAST, gain: float = GAIN) -> tuple[list[list[str]], list[list[str]]]:
-    """For each category the features whose frequencies differ most between its texts and the rest. Counts of hashed
-    features leave out most of them; only the rest are counted by themselves, and are given for each text, too."""
-    n, m = len(labels), labels.sum(0)
-    place = lambda f: zlib.crc32(f.encode()) & (BUCKETS - 1)
-    total, within = np.zeros(BUCKETS), np.zeros((labels.shape[1], BUCKETS))
-    for s, y in zip(sets, labels):
-        at = np.unique(np.fromiter(map(place, s), np.int64, len(s)))
-        total[at] += 1
-        within[np.ix_(np.flatnonzero(y), at)] += 1
-    open_ = np.zeros(BUCKETS, bool)
-    for k in range(labels.shape[1]):
-        open_ |= (total >= least) & (g_statistic(total, within[k], n, m[k]) >= gain)
-    kept = [[f for f in s if open_[place(f)]] for s in sets]
-    counts = Counter(itertools.chain.from_iterable(kept))
-    names = sorted(f for f, c in counts.items() if c >= least)
-    total_of = np.array([counts[f] for f in names], float)
-    out = []
-    for k in range(labels.shape[1]):
-        inside = Counter(itertools.chain.from_iterable(own for own, y in zip(kept, labels) if y[k]))
-        g = g_statistic(total_of, np.array([inside[f] for f in names], float), n, m[k])
-        order = np.lexsort((np.arange(len(names)), -g))[:size]
-        out.append([names[i] for i in order if g[i] >= gain])
-    return out, kept
+class Chooser:
+    """Features by how much their frequencies differ between a category's texts and the rest. Counts of hashed features
+    leave out most of them (and now and then one that shares its hash with a common one); only the rest are counted by
+    themselves. ``parts`` numbers the texts' folds: every choice is made
+    from counts of the texts outside one fold, or of all texts."""
+
+    def __init__(self, sets: Iterable[set[str]], labels: np.ndarray, parts: np.ndarray, folds: int, size: int = VOCABULARY, least: int = LEAST, gain: float = GAIN):
+        self.labels, self.parts, self.size, self.least, self.gain = labels, parts, size, least, gain
+        categories = labels.shape[1]
+        place = lambda f: zlib.crc32(f.encode()) & (BUCKETS - 1)
+        counts = np.zeros((folds, 1 + categories, BUCKETS), np.float32)
+        for s, y, part in zip(sets, labels, parts):
+            at = np.unique(np.fromiter(map(place, s), np.int64, len(s)))
+            counts[np.ix_([part], [0, *(np.flatnonzero(y) + 1)], at)] += 1
+        open_ = np.zeros(BUCKETS, bool)
+        for left_out in (None, *range(folds)):
+            n, m = self.sizes(left_out)
+            total, *within = counts.sum(0) - (0 if left_out is None else counts[left_out])
+            for own, of in zip(within, m):
+                open_ |= (total >= least) & (g_statistic(total, own, n, of) >= gain)
+        del counts
+        self.kept = [[f for f in s if open_[place(f)]] for s in sets]
+        self.names = sorted(f for f, c in Counter(itertools.chain.from_iterable(self.kept)).items() if c >= least)
+        self.x = matrix(self.kept, self.names)
+
+    def sizes(self, left_out: int | None) -> tuple[int, np.ndarray]:
+        rows = self.parts != (-1 if left_out is None else left_out)
+        return int(rows.sum()), self.labels[rows].sum(0)
+
+    def choose(self, category: int, left_out: int | None = None) -> list[int]:
+        """The places in ``names`` of a category's features, best first, told by the texts outside the fold ``left_out``."""
+        rows = self.parts != (-1 if left_out is None else left_out)
+        n, m = self.sizes(left_out)
+        total = self.x[rows].sum(0, dtype=np.float64)
+        within = self.x[rows & (self.labels[:, category] > 0)].sum(0, dtype=np.float64)
+        # rounded, so that features alike are told apart by their names
+        g = np.where(total >= self.least, g_statistic(total, within, n, m[category]), 0.0).round(6)
+        order = np.lexsort((np.arange(len(g)), -g))[: self.size]
+        return [int(i) for i in order if g[i] >= self.gain]
 
 
 def matrix(sets: Iterable[Iterable[str]], vocabulary: list[str]) -> np.ndarray:
@@ -146,27 +169,32 @@ class Chain:
         self.categories, self.vocabulary, self.weights, self.thresholds = categories, vocabulary, weights, thresholds
 
     @classmethod
-    def train(cls, sets: Iterable[set[str]], labels: np.ndarray, categories: list[str], folds: int = FOLDS) -> Chain:
-        chosen, kept = choose(sets, labels)
-        vocabulary = sorted({f for own in chosen for f in own})
-        at = {f: i for i, f in enumerate(vocabulary)}
-        x = matrix(kept, vocabulary)
-        fold = np.arange(len(labels)) % folds
-        weights, thresholds = [], []
-        for k, (y, own) in enumerate(zip(labels.T, chosen)):
+    def train(cls, sets: Iterable[set[str]], labels: np.ndarray, categories: list[str], parts: np.ndarray | None = None, folds: int = FOLDS) -> Chain:
+        """``parts``: the fold (0 to ``folds`` - 1) of each text; by position if not given."""
+        parts = np.arange(len(labels)) % folds if parts is None else parts
+        chooser = Chooser(sets, labels, parts, folds)
+        weights, thresholds, chosen, earlier = [], [], [], np.zeros((len(labels), 0), np.float32)
+        for k, y in enumerate(labels.T):
             # a category's model sees its own features and the earlier categories' probabilities
-            columns = [at[f] for f in own] + list(range(len(vocabulary), len(vocabulary) + k))
             out = np.zeros(len(y))
             for part in range(folds):
-                if (fold == part).any():
-                    w = fit(x[fold != part][:, columns], y[fold != part])
-                    out[fold == part] = sigmoid(x[fold == part][:, columns] @ w[:-1] + w[-1])
-            full = np.zeros(len(vocabulary) + k + 1)
-            full[[*columns, -1]] = fit(x[:, columns], y)
-            weights.append(full)
+                own, test = chooser.choose(k, part), parts == part
+                if test.any():
+                    x = np.hstack([chooser.x[:, own], earlier])
+                    w = fit(x[~test], y[~test])
+                    out[test] = sigmoid(x[test] @ w[:-1] + w[-1])
+            own = chooser.choose(k)
+            chosen.append(own)
+            weights.append(fit(np.hstack([chooser.x[:, own], earlier]), y))
             thresholds.append(threshold(out, y))
-            x = np.hstack([x, out[:, None].astype(np.float32)])
-        return cls(categories, vocabulary, weights, thresholds)
+            earlier = np.hstack([earlier, out[:, None].astype(np.float32)])
+        known = sorted({i for own in chosen for i in own})
+        at, full = {i: n for n, i in enumerate(known)}, []
+        for k, (own, w) in enumerate(zip(chosen, weights)):
+            wide = np.zeros(len(known) + k + 1)
+            wide[[*(at[i] for i in own), *range(len(known), len(known) + k + 1)]] = w
+            full.append(wide)
+        return cls(categories, [chooser.names[i] for i in known], full, thresholds)
 
     def reader(self):
         """A function of texts that gives those of their features that the chain knows. Only words that begin like a known
@@ -212,7 +240,8 @@ def threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def sample(docs: DataFrame, labels: DataFrame, categories: list[str], size: int, text: str, id: str) -> list[tuple[str, list[float]]]:
     """At most ``size`` labelled texts. Ids are chosen from the labels alone, so only the chosen texts are gathered."""
-    known = labels.select(F.col("doc_id").alias("__id"), *[F.expr(c).cast("double").alias(f"c{i}") for i, c in enumerate(categories)]).dropna().dropDuplicates(["__id"])
+    values = labels.select(F.col("doc_id").alias("__id"), *[F.expr(c).cast("double").alias(f"c{i}") for i, c in enumerate(categories)]).dropna()
+    known = values.groupBy("__id").agg(*[F.max(f"c{i}").alias(f"c{i}") for i in range(len(categories))])
     known = known.withColumn("h", F.xxhash64(F.lit("toxicity"), "__id")).withColumn("any", F.greatest(F.lit(0.0), *[F.col(f"c{i}") for i in range(len(categories))]) > 0)
     sizes = known.agg(F.count_if("any").alias("yes"), F.count_if(~F.col("any")).alias("no")).first()
 
@@ -221,15 +250,17 @@ def sample(docs: DataFrame, labels: DataFrame, categories: list[str], size: int,
 
     half = some(known.where("any"), sizes["yes"]).union(some(known.where("not any"), sizes["no"]))
     chosen = docs.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").alias("text")).where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(half), "__id")
-    rows = chosen.orderBy("h", "__id", "text").limit(size).collect()
-    return [(r["text"], [r[f"c{i}"] for i in range(len(categories))]) for r in rows]
+    rows = chosen.groupBy("h", "__id", *[f"c{i}" for i in range(len(categories))]).agg(F.min("text").alias("text")).collect()
+    return [(r["text"], [r[f"c{i}"] for i in range(len(categories))]) for r in sorted(rows, key=lambda r: (r["h"], str(r["__id"])))]
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], size: int = SAMPLE, text: str = "text", id: str = "doc_id") -> Chain:
     """``categories``: names and, as SQL over ``labels``, their 0/1 values, in the order of the chain."""
     rows = sample(docs, labels, list(categories.values()), size, text, id)
     y = np.array([r[1] for r in rows], float).reshape(len(rows), len(categories))
-    return Chain.train(FeatureSets([r[0] for r in rows]), y, list(categories))
+    texts = [r[0] for r in rows]
+    parts = np.array([fold_of(t) for t in texts], np.int64)
+    return Chain.train(FeatureSets(texts), y, list(categories), parts)
 
 
 def classify(docs: DataFrame, chain: Chain, text: str = "text", id: str = "doc_id") -> DataFrame:
