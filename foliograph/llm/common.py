@@ -1,47 +1,49 @@
-"""Helpers shared by the operators: the cluster's shared folder, written tables, Arrow batches."""
+"""Helpers shared by the operators: the cluster's shared folder, written tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where that is unset, a temporary one in a session whose
+    executors run on this machine, as in tests; an error on a cluster, whose executors would each write to their own disk."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="foliograph-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="foliograph-"))
+    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/foliograph/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there, so a lost executor
     costs no recomputation of what came before, and all readers see the same rows."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliograph/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
-    """``fn`` on each Arrow batch; Spark bounds a batch by rows and bytes, so memory doesn't follow the partition."""
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None:
-                yield out
 
-    return df.mapInArrow(run, schema)
+def removed(*tables: DataFrame) -> None:
+    """Delete the folders of ``written`` tables that nothing will read again."""
+    for df in tables:
+        if path := getattr(df, "_written", None):
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
