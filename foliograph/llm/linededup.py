@@ -2,15 +2,19 @@
 
 A line's key is the line without ASCII white space at its ends, A-Z lower-cased; keys shorter than ``min_chars`` code
 points are left alone. The reference table holds (digest, doc_id, refs): how many lines of a document have the key (by
-its 128-bit BLAKE2b digest). Inserting documents adds their rows, deleting them takes the rows away; the counts that
-decide (documents that hold a key, the largest of their ids) always come from that table, so any order of insertions and
-deletions leaves what a fresh build over the remaining documents would.
+its 128-bit BLAKE2b digest). Inserting documents adds to its counts, deleting them takes from them; what decides (how many
+documents hold a key, the largest of their ids) always comes from that table, so any order of insertions and deletions
+leaves what a fresh build over the remaining documents would.
 
-Keys held by at least ``min_docs`` documents go into the cuckoo filter of their shard (by digest). Cuckoo filters store
-short fingerprints in one of two buckets and, unlike Bloom filters, can forget a key again. A line whose digest isn't in
-its shard's filter stays without a look at the exact table; what is in it is decided by a join with that table, so a
-false positive costs a lookup and never a line. The filters are sent to all tasks only while their total size, which is
-counted first, is at most ``BROADCAST_BYTES``; beyond that, digests are shuffled to their shard's filter.
+Keys held by at least ``min_docs`` documents are in the cuckoo filter of their shard (by digest). Cuckoo filters store
+short fingerprints in one of two buckets and, unlike Bloom filters, can forget a key again: ``update`` looks again only at
+the keys of the documents that come or go and inserts into, or deletes from, the stored filters those whose status
+changes. A filter that gets too full is built anew from its shard's exact keys.
+
+Questions, (digest, doc_id), go to their shard, where its filter and its exact keys are. A digest that isn't in the
+filter stays without a look at the exact keys; what is in it is decided by them, so a false positive never costs a line.
+A shard with many questions, for a hot line or because there are few shards, is asked in parts of about ``PART``, each with
+a copy of the filter and keys; so a part holds ``SHARD_KEYS`` keys or so, and copies are fewer than questions.
 
 Results for special cases: a null or empty text has one empty line; a null ``doc_id`` counts as one document whose lines
 always stay; rows that repeat a ``doc_id`` are one document, and their lines are dropped alike; an empty table gives an
@@ -22,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +36,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 WHITE = " \t\n\x0b\x0c\r"
-#: Keys that a shard's filter is sized for.
-SHARD_KEYS = 200_000
-#: Total size of the filters up to which they are broadcast.
-BROADCAST_BYTES = 64_000_000
-#: Parts into which a shard's questions are split when the filters are not broadcast.
-SALTS = 16
+#: Keys of a shard, and questions that are put to it in one part.
+SHARD_KEYS, PART = 100_000, 250_000
 #: The 26 letters.
 _LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -147,25 +148,33 @@ def references(df: DataFrame, text: str = "text", id: str = "doc_id", min_chars:
     return df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "digest binary, doc_id long, refs long")
 
 
-def insert(state: DataFrame, added: DataFrame) -> DataFrame:
+def insert(references: DataFrame, added: DataFrame) -> DataFrame:
     """The reference table with the references of more documents."""
-    return state.unionByName(added)
+    return references.unionByName(added).groupBy("digest", "doc_id").agg(F.sum("refs").alias("refs"))
 
 
-def delete(state: DataFrame, gone: DataFrame) -> DataFrame:
+def delete(references: DataFrame, gone: DataFrame) -> DataFrame:
     """The reference table without the references of documents that leave (their ``references``)."""
-    both = state.unionByName(gone.withColumn("refs", -F.col("refs")))
-    return both.groupBy("digest", "doc_id").agg(F.sum("refs").alias("refs")).where("refs > 0")
+    return insert(references, gone.withColumn("refs", -F.col("refs"))).where("refs > 0")
 
 
-def repeated(state: DataFrame, min_docs: int = 3) -> DataFrame:
+def repeated(references: DataFrame, min_docs: int = 3) -> DataFrame:
     """(digest, docs, last): keys held by at least ``min_docs`` documents, and the largest id of those."""
-    pairs = state.groupBy("digest", "doc_id").agg(F.sum("refs").alias("refs")).where("refs > 0")
+    pairs = references.groupBy("digest", "doc_id").agg(F.sum("refs").alias("refs")).where("refs > 0")
     return pairs.groupBy("digest").agg(F.count("*").alias("docs"), F.max("doc_id").alias("last")).where(F.col("docs") >= min_docs)
 
 
+class State(NamedTuple):
+    """Tables in the shared folder: references, exact keys (``repeated``), filters (shard, filter); the number of shards."""
+
+    references: DataFrame
+    keys: DataFrame
+    filters: DataFrame
+    shards: int
+
+
 def _shard_of(shards: int):
-    return F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
+    return F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int").alias("shard")
 
 
 def filters(keys: DataFrame, shards: int) -> DataFrame:
@@ -179,64 +188,122 @@ def filters(keys: DataFrame, shards: int) -> DataFrame:
         for shard, found in own.items():
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([build(found).to_bytes()], pa.binary())], names=["shard", "filter"])
 
-    return keys.select(_shard_of(shards).alias("shard"), "digest").repartition(shards, "shard").mapInArrow(run, "shard int, filter binary")
+    return keys.select(_shard_of(shards), "digest").repartition(shards, "shard").mapInArrow(run, "shard int, filter binary")
 
 
-def probe(state: DataFrame, found: DataFrame, shards: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Rows (digest, doc_id) of ``state`` whose digest may be in its shard's filter."""
-    rows = state.select(_shard_of(shards).alias("shard"), "digest", "doc_id")
-    size = found.agg(F.sum(F.length("filter"))).first()[0] or 0
-    if size <= broadcast_bytes:
-        sent = state.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in found.toLocalIterator()})
+def build_state(own: DataFrame, min_docs: int = 3) -> State:
+    """The state of documents whose ``references`` are ``own``."""
+    references = written(own, "references")
+    keys = written(repeated(references, min_docs), "keys")
+    shards = int(keys.count() // SHARD_KEYS + 1)
+    return State(references, keys, written(filters(keys, shards), "filters"), shards)
 
-        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = {k: CuckooFilter.from_bytes(v) for k, v in sent.value.items()}
-            for batch in batches:
-                shard, keys = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-                keep = np.zeros(len(keys), bool)
-                for k in np.unique(shard):
-                    if k in own:
-                        at = np.flatnonzero(shard == k)
-                        keep[at] = own[k].contains_all([keys[i] for i in at])
-                yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2)], names=["digest", "doc_id"]).filter(pa.array(keep))
 
-        return rows.mapInArrow(check, "digest binary, doc_id long")
+def _changed(old: DataFrame, changes: DataFrame) -> DataFrame:
+    """Filters (shard, filter) after ``changes`` (shard, digest, kind: 1 leaves, 2 enters); null for one that overflowed."""
+    rows = old.select("shard", F.lit(None).cast("binary").alias("digest"), F.lit(0).alias("kind"), "filter").unionByName(changes.withColumn("filter", F.lit(None).cast("binary")))
 
-    # a shard's filter goes, in SALTS copies, where its digests go
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).withColumn("filter", F.lit(None).cast("binary"))
-    copies = found.select("shard", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "filter")
-    met = salted.unionByName(copies).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("filter").isNull())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([own and own.to_bytes()], pa.binary())], names=["shard", "filter"])
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, None
         for batch in batches:
-            keys, docs = [], []
-            for shard, key, doc, _, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if data is not None:
-                    at, own = shard, CuckooFilter.from_bytes(data)
-                elif shard == at and key in own:
-                    keys.append(key)
-                    docs.append(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(docs, pa.int64())], names=["digest", "doc_id"])
+            for shard, digest, kind, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != at:
+                    if at is not None:
+                        yield out()
+                    at, own = shard, CuckooFilter(SHARD_KEYS)
+                if kind == 0:
+                    own = CuckooFilter.from_bytes(data)
+                elif own is not None and kind == 1:
+                    own.delete(digest)
+                elif own is not None:
+                    try:
+                        own.insert(digest)
+                    except OverflowError:
+                        own = None
+        if at is not None:
+            yield out()
+
+    return rows.repartition("shard").sortWithinPartitions("shard", "kind").select("shard", "digest", "kind", "filter").mapInArrow(run, "shard int, filter binary")
+
+
+def update(state: State, added: DataFrame | None = None, gone: DataFrame | None = None, min_docs: int = 3) -> State:
+    """The state after documents came or went (their ``references``)."""
+    parts = [written(x, "delta") for x in (added, gone) if x is not None]
+    references = state.references
+    if added is not None:
+        references = insert(references, parts[0])
+    if gone is not None:
+        references = delete(references, parts[-1])
+    references = written(references, "references")
+    touched = parts[0].select("digest") if len(parts) == 1 else parts[0].select("digest").union(parts[1].select("digest"))
+    touched = written(touched.distinct(), "touched")
+    now = written(repeated(references.join(touched, "digest", "left_semi"), min_docs), "now")
+    keys = written(state.keys.join(touched, "digest", "left_anti").unionByName(now), "keys")
+    if keys.count() > 2 * SHARD_KEYS * state.shards:
+        return build_state(references, min_docs)
+    before = state.keys.join(touched, "digest", "left_semi")
+    leave, enter = before.join(now, "digest", "left_anti"), now.join(before, "digest", "left_anti")
+    changes = leave.select(_shard_of(state.shards), "digest", F.lit(1).alias("kind")).union(enter.select(_shard_of(state.shards), "digest", F.lit(2).alias("kind")))
+    found = written(_changed(state.filters, changes), "filters")
+    full = found.where("filter is null").select("shard")
+    again = filters(keys.withColumn("shard", _shard_of(state.shards)).join(full, "shard", "left_semi"), state.shards)
+    return State(references, keys, written(found.where("filter is not null").unionByName(again), "filters"), state.shards)
+
+
+def drops(questions: DataFrame, state: State) -> DataFrame:
+    """(doc_id, digests): for each document of ``questions`` (digest, doc_id) that loses lines, the keys of these lines."""
+    asked = questions.select(_shard_of(state.shards), "digest", "doc_id").where("doc_id is not null")
+    parts = written(asked.groupBy("shard").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), "parts")
+    none = {"digest": "binary", "doc_id": "long", "filter": "binary"}
+
+    def rows(df: DataFrame, kind: int, part) -> DataFrame:
+        # a row for each shard, that is, for SHARD_KEYS keys: a megabyte for ten billion keys
+        return df.join(F.broadcast(parts), "shard").select("shard", part.alias("part"), F.lit(kind).alias("kind"), *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in none.items()])
+
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    met = rows(state.filters, 0, each).union(rows(state.keys.select(_shard_of(state.shards), "digest", F.col("last").alias("doc_id")), 1, each))
+    met = met.union(rows(asked, 2, F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")))
 
-    return met.mapInArrow(meet, "digest binary, doc_id long")
-
-
-def drops(state: DataFrame, min_docs: int = 3, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(doc_id, digests): for each document that loses lines, the keys of these lines."""
-    keys = written(repeated(state, min_docs), "repeated")
-    shards = int(keys.count() // SHARD_KEYS + 1)
-    found = written(filters(keys, shards), "filters")
-    likely = probe(state, found, shards, broadcast_bytes)
-    sure = likely.join(keys, "digest").where(F.col("doc_id") != F.col("last"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, last = None, {}
+        for batch in batches:
+            group = np.column_stack([batch.column(i).to_numpy() for i in range(3)])
+            edges = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1).tolist(), len(group)]
+            digests, docs = [], []
+            for a, b in zip(edges, edges[1:]):
+                kind = group[a, 2] if b > a else None
+                if kind == 0:
+                    own, last = (tuple(group[a, :2]), CuckooFilter.from_bytes(batch.column(5)[a].as_py())), {}
+                elif kind == 1:
+                    last.update(zip(batch.column(3).slice(a, b - a).to_pylist(), batch.column(4).slice(a, b - a).to_pylist()))
+                elif kind == 2 and own and own[0] == tuple(group[a, :2]):
+                    keys, ids = batch.column(3).slice(a, b - a).to_pylist(), batch.column(4).slice(a, b - a).to_pylist()
+                    for i in np.flatnonzero(own[1].contains_all(keys)).tolist():
+                        if last.get(keys[i], ids[i]) != ids[i]:
+                            digests.append(keys[i])
+                            docs.append(ids[i])
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(docs, pa.int64())], names=["digest", "doc_id"])
+
+    sure = met.repartition("shard", "part").sortWithinPartitions("shard", "part", "kind").mapInArrow(run, "digest binary, doc_id long")
     return sure.groupBy("doc_id").agg(F.collect_set("digest").alias("digests"))
 
 
-def line_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", min_chars: int = 20, min_docs: int = 3, out: str = "kept_text", digests: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def line_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", min_chars: int = 20, min_docs: int = 3, out: str = "kept_text", digests: bool = False, state: State | None = None) -> DataFrame:
     """For each row of ``df``: ``doc_id``, ``n_lines``, ``n_dropped`` and the kept lines in ``out`` (with ``digests``
-    their SHA-256 instead)."""
-    state = written(references(df, text, id, min_chars), "references")
-    rows = df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(drops(state, min_docs, broadcast_bytes), "doc_id", "left")
+    their SHA-256 instead). ``state``: of a corpus that ``df`` is a part of; by default ``df`` is all of it."""
+    if state is None:
+        state = build_state(references(df, text, id, min_chars), min_docs)
+        questions = state.references
+    else:
+        questions = references(df, text, id, min_chars)
+    # written, so that both sides of the join come straight from a shuffle and a hot id's rows can be split
+    lost = written(drops(questions, state), "drops")
+    rows = df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    known = rows.where("doc_id is not null").join(lost, "doc_id", "left").select("doc_id", "text", "digests")
+    asked = known.union(rows.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("digests")))
     name = "kept_sha256" if digests else out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,4 +319,4 @@ def line_dedup(df: DataFrame, text: str = "text", id: str = "doc_id", min_chars:
                 kept.append(hashlib.sha256(joined.encode()).hexdigest() if digests else joined)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_lines", "n_dropped", name])
 
-    return rows.select("doc_id", "text", "digests").mapInArrow(run, f"doc_id long, n_lines long, n_dropped long, {name} string")
+    return asked.mapInArrow(run, f"doc_id long, n_lines long, n_dropped long, {name} string")

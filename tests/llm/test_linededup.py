@@ -50,22 +50,53 @@ def test_rows(spark, edge, empty):
     assert linededup.line_dedup(empty).count() == 0
 
 
-def test_both_ways_of_asking_the_filters(spark, monkeypatch):
-    rnd = random.Random(2)
+def some_rows(rnd, count):
     lines = [f"this is line number {k} of the corpus" for k in range(60)]
-    rows = [(i, "\n".join(["A hot line that nearly all of them hold"] * (i % 3 > 0) + rnd.choices(lines, k=4))) for i in range(200)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return [(i, "\n".join(["A hot line that nearly all of them hold"] * (i % 3 > 0) + rnd.choices(lines, k=4))) for i in range(count)]
+
+
+SCHEMA = "doc_id long, text string"
+
+
+def test_many_shards_and_parts(spark, monkeypatch):
+    rows = some_rows(random.Random(2), 200)
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 15)
+    monkeypatch.setattr(linededup, "PART", 40)
+    assert rows_of(linededup.line_dedup(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
+def contents(state):
+    """Keys of a state, told apart by its filters: all exact keys are in them, next to nothing else is."""
+    found = {r["shard"]: linededup.CuckooFilter.from_bytes(bytes(r["filter"])) for r in state.filters.collect()}
+    keys = state.keys.withColumn("shard", linededup._shard_of(state.shards)).collect()
+    assert all(bytes(r["digest"]) in found[r["shard"]] for r in keys)
+    assert sum(int((f.table > 0).sum()) for f in found.values()) == len(keys)
+    return sorted((bytes(r["digest"]), r["docs"], r["last"]) for r in keys)
+
+
+def test_insertions_and_deletions_are_reversible(spark, monkeypatch):
+    """Stored filters follow the documents that come and go, and the results are those of a fresh build."""
     monkeypatch.setattr(linededup, "SHARD_KEYS", 15)
-    assert rows_of(linededup.line_dedup(df)) == rows_of(linededup.line_dedup(df, broadcast_bytes=0)) == brute(rows)
-
-
-def test_insertions_and_deletions_are_reversible(spark):
-    rows = [(i, f"a line shared by several documents\nonly in document {i} and nowhere else") for i in range(6)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    refs = lambda d: linededup.references(d)
-    some, rest = df.where("doc_id < 4"), df.where("doc_id >= 4")
-    state = linededup.insert(refs(some), refs(rest))
-    back = linededup.delete(state, refs(rest))
-    assert rows_of(linededup.repeated(back)) == rows_of(linededup.repeated(refs(some)))
-    assert [r["last"] for r in linededup.repeated(state).collect()] == [5] and [r["last"] for r in linededup.repeated(back).collect()] == [3]
-    assert rows_of(linededup.delete(linededup.insert(back, refs(rest)), refs(df))) == []
+    rnd = random.Random(5)
+    rows = some_rows(rnd, 120)
+    part = lambda low, high: spark.createDataFrame(rows[low:high], SCHEMA)
+    refs = lambda low, high: linededup.references(part(low, high))
+    first = linededup.build_state(refs(0, 40))
+    second = linededup.update(first, added=refs(40, 120))
+    third = linededup.update(second, gone=refs(20, 100))
+    fourth = linededup.update(third, added=refs(20, 100), gone=refs(100, 120))
+    back = linededup.update(second, gone=refs(40, 120))
+    for state, now in ((first, rows[:40]), (second, rows), (third, rows[:20] + rows[100:]), (fourth, rows[:100]), (back, rows[:40])):
+        assert contents(state) == contents(linededup.build_state(linededup.references(spark.createDataFrame(now, SCHEMA))))
+        assert rows_of(linededup.line_dedup(spark.createDataFrame(now, SCHEMA), state=state)) == brute(now)
+    none = linededup.update(back, gone=refs(0, 40))
+    assert contents(none) == [] and none.references.count() == 0
+
+
+def test_full_filters_are_built_anew(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 150)
+    rows = [(i, "\n".join(f"a line that three of them hold, number {k}" for k in range(i // 3 * 80, i // 3 * 80 + 80))) for i in range(9)]
+    refs = lambda some: linededup.references(spark.createDataFrame(some, SCHEMA))
+    state = linededup.update(linededup.build_state(refs(rows[:3])), added=refs(rows[3:]))
+    assert len(contents(state)) == 240 and state.shards == 1
+    assert rows_of(linededup.line_dedup(spark.createDataFrame(rows, SCHEMA), state=state)) == brute(rows)
