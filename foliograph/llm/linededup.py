@@ -37,7 +37,7 @@ from .common import written
 
 WHITE = " \t\n\x0b\x0c\r"
 #: Keys of a shard, and questions that are put to it in one part.
-SHARD_KEYS, PART = 100_000, 250_000
+SHARD_KEYS, PART = 20_000, 50_000
 #: The 26 letters.
 _LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -260,7 +260,7 @@ def drops(questions: DataFrame, state: State) -> DataFrame:
     none = {"digest": "binary", "doc_id": "long", "filter": "binary"}
 
     def rows(df: DataFrame, kind: int, part) -> DataFrame:
-        # a row for each shard, that is, for SHARD_KEYS keys: a megabyte for ten billion keys
+        # a row for each shard, that is, for SHARD_KEYS keys: some megabytes for ten billion keys
         return df.join(F.broadcast(parts), "shard").select("shard", part.alias("part"), F.lit(kind).alias("kind"), *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in none.items()])
 
     each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
