@@ -6,14 +6,17 @@ set in over half the hashes. A shorter text is one shingle; a text without words
 fingerprint zero and is linked like any other.
 
 Links. Two fingerprints within ``radius`` bits agree wholly on some of ``blocks`` bit ranges (``blocks - radius`` of
-them at least), so each distinct fingerprint goes to one shard for every choice of that many ranges. A shard holds one
-BK-tree: a node's children are keyed by their Hamming distance to it, and a search follows only the edges within the
-radius. Shards of over ``SHARD`` fingerprints are split into parts of about that size: each part's tree is sent to
-the parts with lower numbers, never a larger tree, and never the documents behind a fingerprint. A shard's task gives a
-spanning forest of its links, not all pairs, so the links are fewer than the fingerprints times the choices.
+them at least), so each distinct fingerprint goes to one shard for every choice of that many ranges. ``blocks`` grows with
+the number of fingerprints, so that a shard of evenly spread values stays small; the links don't depend on it. A shard
+holds one BK-tree: a node's children are keyed by their Hamming distance to it, and a search follows only the edges within
+the radius. Shards of over ``SHARD`` fingerprints are split into parts of about that size, by hash before the shuffle. A
+part's tree, as an array of its values, is broadcast to the parts of its shard with higher numbers, whose values ask it:
+never a larger tree, and never the documents behind a fingerprint. A search gives a spanning forest of its links, not all
+pairs, so the links are fewer than the values that took part.
 
 Components. Labels (smallest ``doc_id``) spread over the links by alternating large-star and small-star rounds, each
-round written to the shared folder; nothing is collected.
+round written to the shared folder; nothing is collected. Minima are combined before the shuffle and written before the
+join, both sides of which then come from an exchange, so that a hub's links can be split.
 
 Results for special cases: equal fingerprints always share a component; repeated rows give repeated result rows; a null
 ``doc_id`` takes part but is never a component's id unless all ids there are null; an empty table gives an empty one.
@@ -23,18 +26,28 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import removed, written
 
 #: Largest number of fingerprints in one BK-tree.
 SHARD = 4096
-#: Bit ranges; with radius 4, 15 shards get each fingerprint, keyed by two of the six ranges (21 bits).
-BLOCKS = 6
+#: Evenly spread fingerprints that a shard may have on average.
+EVEN = 1024
+
+
+def ranges_for(count: int, radius: int) -> int:
+    """The number of bit ranges for ``count`` fingerprints: with radius 4, six for up to two billion, where 15 shards get each
+    fingerprint, keyed by two ranges (21 bits)."""
+    blocks = radius + 2
+    while count > EVEN << 64 * (blocks - radius) // blocks and comb(blocks, radius) < 1000:
+        blocks += 1
+    return blocks
 
 
 def fingerprint(text: str | None, width: int = 4) -> int:
@@ -136,49 +149,44 @@ def _shard_keys(fp, radius: int, blocks: int):
     return F.array(*keys)
 
 
-def search_shards(batches: Iterator[pa.RecordBatch], radius: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Over rows (choice, key, part, asks, fp) sorted by shard, members (asks = 0) first: build each shard's tree, then
-    send its members and the rows that only ask through it. At most ``width`` values are in a tree."""
-    shard, tree, forest, found, lone = None, BkTree(), Forest(), [], None
+_ALL = (1 << 64) - 1
+
+
+def search_trees(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """Over rows (tree, ask): a part's values, and those of another part that asks its tree (null: the tree's own). The
+    links of a spanning forest."""
     for batch in batches:
-        for *own, asks, fp in zip(*(c.to_pylist() for c in batch.columns)):
-            if own != shard:
-                shard, tree, forest, lone = own, None, Forest(), fp
-                continue
-            if tree is None:  # most shards have one member and need no tree
-                tree = BkTree()
-                tree.insert(lone & _ALL)
-            value = fp & _ALL
-            for other in tree.within(value, radius):
-                if forest.join(value, other):
-                    found.append((value, other))
-            if not asks:
-                tree.insert(value)
+        found = []
+        for values, ask in zip(batch.column(0), batch.column(1)):
+            tree, forest, own = BkTree(), Forest(), ask.as_py() is None
+            values = values.as_py()
+            if not own:
+                for value in values:
+                    tree.insert(value & _ALL)
+            for value in values if own else ask.as_py():
+                value &= _ALL
+                for other in tree.within(value, radius):
+                    if forest.join(value, other):
+                        found.append((value, other))
+                if own:
+                    tree.insert(value)
         if found:
             a, b = (np.array(x, np.uint64).view(np.int64) for x in zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            found = []
-
-
-_ALL = (1 << 64) - 1
 
 
-def links(distinct: DataFrame, radius: int = 4, blocks: int = BLOCKS, shard: int = SHARD) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 4, blocks: int | None = None, shard: int = SHARD) -> DataFrame:
     """Links (a, b) that connect the same fingerprints as all links would. ``distinct``: a column ``fp`` without repeats."""
+    blocks = blocks or ranges_for(distinct.count(), radius)
     keyed = distinct.select("fp", F.explode(_shard_keys(F.col("fp"), radius, blocks)).alias("at")).select("at.choice", "at.key", "fp")
-    sizes = keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = (
-        keyed.join(sizes, ["choice", "key"])
-        .withColumn("parts", F.ceil(F.col("n") / shard).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-        .select("choice", "key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("part"))
-        .select("choice", "key", "part", (F.col("part") != F.col("own")).cast("int").alias("asks"), "fp")
-    )
-    return (
-        rows.repartition("choice", "key", "part")
-        .sortWithinPartitions("choice", "key", "part", "asks", "fp")
-        .mapInArrow(lambda batches: search_shards(batches, radius, shard), "a long, b long")
-    )
+    large = written(keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where(F.col("n") > shard), "large")
+    dealt = keyed.join(large, ["choice", "key"], "left").withColumn("parts", F.coalesce(F.ceil(F.col("n") / shard).cast("int"), F.lit(1)))
+    parts = dealt.groupBy("choice", "key", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("part"), "parts").agg(F.collect_list("fp").alias("tree"))
+    parts = written(parts.where("size(tree) > 1 or parts > 1"), "trees")
+    none = F.lit(None).cast("array<bigint>")
+    sent = parts.where("parts > 1").select("choice", "key", F.explode(F.expr("slice(sequence(part, parts), 2, parts - 1 - part)")).alias("part"), "tree")
+    asked = sent.join(parts.select("choice", "key", "part", F.col("tree").alias("ask")), ["choice", "key", "part"])
+    return parts.select("tree", none.alias("ask")).union(asked.select("tree", "ask")).mapInArrow(lambda batches: search_trees(batches, radius), "a long, b long")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -187,15 +195,17 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a")) if large else e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         out = both.join(least, "u")
         out = out.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")) if large else out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
-        return out.where("a != b").distinct()
+        out = written(out.where("a != b").distinct(), "links")
+        removed(least, e)
+        return out
 
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
     before = None
     for _ in range(rounds):
-        edges = written(star(star(edges, True), False), "links")
+        edges = star(star(edges, True), False)
         # every node's sum of roots is settled when a round changes no link
         now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
         if now == before:

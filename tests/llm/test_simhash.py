@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 import xxhash
 
 from foliograph.llm import queries, simhash
@@ -51,7 +52,12 @@ def test_tree_finds_what_brute_force_finds():
         assert set(tree.within(v, 4)) == {x for x in values if (x ^ v).bit_count() <= 4}
 
 
-def test_links_with_small_shards(spark):
+def test_ranges():
+    assert [simhash.ranges_for(n, 4) for n in (0, 10**9, 10**10, 10**12)] == [6, 6, 7, 8]
+
+
+@pytest.mark.parametrize("blocks", [None, 7])
+def test_links_with_small_shards(spark, blocks):
     """A hot group over many shards, chains, and lone values: the components are those of all pairs."""
     rnd = random.Random(3)
     hot = rnd.getrandbits(64)
@@ -61,8 +67,8 @@ def test_links_with_small_shards(spark):
         chain ^= (1 << 4 * (k % 16)) * 15
         values.add(chain)
     signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
-    edges = simhash.links(spark.createDataFrame(signed, "fp long"), shard=20)
-    assert edges.count() <= 15 * len(values)
+    edges = simhash.links(spark.createDataFrame(signed, "fp long"), blocks=blocks, shard=20)
+    assert edges.count() <= 35 * len(values)
     roots = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
     expected = brute_components([(v, v & (1 << 64) - 1) for (v,) in signed])
     for (v,) in signed:
