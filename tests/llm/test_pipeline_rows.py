@@ -19,6 +19,17 @@ def test_copies_without_an_id_go(spark):
     assert kept(spark, [(None, "a  b"), (4, "a\tb"), (None, "c")]) == [(4, "a\tb"), (None, "c")]
 
 
+def test_white_space_variants_of_one_id_are_one_document(spark):
+    assert len(kept(spark, [(8, "x  y z"), (8, "x y z"), (None, "q"), (None, "q"), (9, "x y z"), (9, "u"), (None, "u")])) == 3
+    assert kept(spark, [(9, "u"), (None, "u"), (9, "u")]) == [(9, "u")]
+
+
+def test_what_stays_does_not_depend_on_the_order(spark):
+    rows = [(8, "x  y z", "a"), (8, "x y z", "b"), (8, "x\ty z", None)]
+    stays = {corpus_pipeline.drop_exact_copies(spark, spark.createDataFrame(order, SCHEMA + ", source string"), "").first() for order in (rows, rows[::-1])}
+    assert len(stays) == 1
+
+
 def test_digest_as_an_expression(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([None, "", " ", "a\x0b\x0c\r\n b", "é  x \x1c\x1f y\x85", " Ä 漢 \U0001f600\t"])], SCHEMA)
     for r in docs.withColumn("h", exact.text_digest()).collect():
