@@ -3,11 +3,14 @@
 A page is cut at block-level tags into flat blocks of text. A block's features are its number of words and link density
 (share of its words inside links), the same of the block before and after it, and what the markup says: whether it lies
 in an article or main element, in an element for something else (menu, footer, form, ..., by tag, role, class or id), and
-whether it is a heading. A CART tree trained on ``LABELLED`` tells article from the rest.
+whether it is a heading. A CART tree trained on ``PAGES`` tells article from the rest. Its table holds each block four
+times: with all markup, without article and main, without any but headings, and without any. So words and links decide
+wherever markup is silent.
 
 Text is kept as it is but for character references, which are decoded, and white space, which becomes one space; a line
-break element is white space. Script, style and other elements without running text are skipped. Markup needn't be
-well-formed: elements may be left open, tags may be unquoted or cut off.
+break element is white space. Script, style and other elements without running text are skipped, to their end tag; one
+that has no end tag is skipped itself only, and a head without one ends at the first element that can't be in it. Markup
+needn't be well-formed: elements may be left open, tags may be unquoted or cut off.
 
 Results for special cases: a null or empty page has an empty text of 0 characters; repeated rows give repeated results;
 an empty table gives an empty one; other columns are dropped. Nothing is kept but one page at a time and its blocks.
@@ -26,9 +29,11 @@ from pyspark.sql import functions as F
 
 #: Names of HTML elements and of what classes, ids and roles call them.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE |= frozenset("math mfrac mi mn mo mover mroot mrow ms mspace msqrt msub msubsup msup mtext munder object semantics".split())
 SPACE = frozenset("br img hr wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-SKIPPED = frozenset("head noscript template svg math select button object video audio canvas map datalist".split())
+SKIPPED = frozenset("head noscript template svg select button video audio canvas map datalist".split())
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset("article main".split())
 CHROME = frozenset("nav header footer aside form menu dialog".split())
@@ -45,84 +50,89 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 CONCEALED = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+#: The end tags of elements that are left out as a whole.
+ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW | SKIPPED}
 WORDS = re.compile(r"[A-Za-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-#: The labelled table. Columns: words, link density in percent; the same of the block before and of the block after; in
-#: an article or main element, in an element for something else, heading (0 or 1); label (1: article).
-LABELLED = """
-12 0 0 0 80 0 1 0 1 1
-80 0 12 0 60 0 1 0 0 1
-60 0 80 0 3 0 1 0 0 1
-3 0 60 0 45 0 1 0 0 1
-2 0 3 0 1 100 1 0 0 1
-1 0 40 0 12 30 1 0 0 1
-4 25 30 0 50 0 1 0 0 1
-6 100 55 0 70 0 1 0 0 1
-9 0 1 100 40 0 1 0 1 1
-150 4 9 0 6 0 1 0 0 1
-25 10 150 4 8 0 1 0 0 1
-5 0 5 0 5 0 1 0 0 1
-1 0 6 100 4 0 1 0 1 1
-35 60 20 0 20 0 1 0 0 1
-1 100 0 0 1 100 0 1 0 0
-1 100 1 100 1 100 0 1 0 0
-2 100 1 100 9 0 0 1 0 0
-9 0 1 100 12 0 0 1 0 0
-14 0 1 100 70 0 0 1 0 0
-40 0 12 0 90 0 0 1 0 0
-8 0 60 0 0 0 0 1 0 0
-22 0 45 0 0 0 0 1 0 0
-5 0 3 100 4 100 0 1 1 0
-120 2 20 0 80 0 0 1 0 0
-18 0 100 0 15 0 1 1 0 0
-60 0 18 0 30 0 1 1 0 0
-3 100 70 0 3 100 1 1 0 0
-4 0 50 0 6 0 1 1 1 0
-90 0 20 0 0 0 1 1 0 0
-1 100 0 0 1 100 0 0 0 0
-2 100 1 100 2 100 0 0 0 0
-3 100 2 100 10 0 0 0 0 0
-5 80 3 100 4 100 0 0 0 0
-12 90 4 100 60 0 0 0 0 0
-30 70 12 90 5 100 0 0 0 0
-3 0 2 100 2 100 0 0 0 0
-4 0 3 0 3 0 0 0 0 0
-2 0 4 0 0 0 0 0 0 0
-6 0 3 100 4 0 0 0 0 0
-10 0 2 0 1 100 0 0 0 0
-9 0 8 100 75 0 0 0 1 1
-7 0 2 0 40 0 0 0 1 1
-6 0 90 0 55 0 0 0 1 1
-5 0 2 100 3 100 0 0 1 0
-40 0 9 0 60 0 0 0 0 1
-75 5 40 0 30 0 0 0 0 1
-30 0 75 5 2 100 0 0 0 1
-22 12 3 100 45 0 0 0 0 1
-18 0 60 0 70 0 0 0 0 1
-8 0 70 0 50 0 0 0 0 1
-3 0 40 0 65 0 0 0 0 1
-12 0 35 10 25 0 0 0 0 1
-200 20 12 0 2 100 0 0 0 1
-90 0 0 0 0 0 0 0 0 1
-8 0 60 0 2 100 0 0 0 0
-18 0 40 0 1 100 0 0 0 1
-25 0 30 0 2 100 0 0 0 1
-21 0 0 0 1 100 0 0 0 1
+#: The labelled table: a page on each line, its blocks as kind, words, and, after a slash, link density in percent (if not 0,
+#: or 100 for a menu). Kinds: h heading and p text of the article; n menu, a notice, advert or site header, o form, s sidebar,
+#: c reader comment, t heading of any of these, f footer. The first lines are real pages, the others of our own making.
+PAGES = """
+n1 n1 n1 n1 n1 n1 a4 h9 p9 p135 p45 p23 p10 f13
+n1 n1 n1 n1 n1 n1 a8 h9 p9 p61 p106 p29 p7 p39 p2 p6 p1 f13
+n1 n1 n1 n1 n1 n1 a5 h9 p28 p57 p127 p72 p132 p16 p10 p118 p77 p19 p72 p76 p54 p2 p16 p1 p231 p46 p8 p19 p45 p54 p39 f10
+n1 n1 n1 n1 n1 n1 a8 h7 p7 p25 p24 p3 p4 f13
+n1 n1 n1 n1 n1 n1 a11 h12 p33 p95 p66 p2 p19 p6 p10 p16 p9 p23 p38 p42 p115 p17 p36 p63 p4 p157 p5 p71 f12
+n1 n1 n1 n1 n1 n1 a9 h10 p50 p122 p142 f12
+n1 n1 n1 n1 a6 h13 p25 p20 p10 p20 f15
+n1 n1 n1 n1 n1 n1 a9 h8 p8 p17 p33 p29 p15 p53 p10 p33 p94 p64 p21 p66 p40 p16 p22 p8 p45 p62 p62 p12 p35 p13 p33 p13 f7
+n1 n1 n1 n1 n1 n1 a10 h8 p8 p2 p62 p23 p5 p8 f14
+n1 n1 n1 n1 n1 n1 a11 h12 p122 p40 p20 p92 p19 p11 p3 p70 p52 p14 p18 p31 p8 p3 p9 f10
+n1 n1 n1 n1 n1 n1 a8 h7 p7 f11
+n1 n1 n1 n1 n1 a7 h8 p114 p50 p17 p23 p6 p104 p62 p36 f12
+n1 n1 n1 n1 n1 n1 a11 h12 p122 p40 p20 p92 p19 p11 p3 p70 p52 p14 p18 p31 p8 p3 p9 f10
+n1 n1 n1 n1 n1 n1 a4 h11 p18 p10 p27 p133 p8 p1 p37 p57 p96 p56 p47 p50 p109 p2 f8
+n1 n1 n1 n1 n1 n1 a5 h10 p17 p29 p30 f12
+n1 n1 n1 n1 n1 n1 a4 h9 p27 p31 p31 p31 p31 p4 f9
+n1 n1 n1 n1 n1 n1 a7 h10 p17 p29 p30 f16
+n1 n1 n1 n1 n1 n1 a10 h12 p110 p7 f10
+n1 n1 n1 n1 n1 n1 a9 h9 p150 p9 f11
+n1 n1 n1 n1 n1 n1 a6 h11 p11 p4 p99 p31 p4 p101 p5 p11 p2 p24 p52 p33 p55 p28 f13
+n1 n1 n1 n1 n1 n1 a10 h9 p12 p8 p3 p38 p36 p28 p6 p25 p102 p80 p60 p21 p33 p63 f10
+n1 n1 n1 n1 n1 n1 a9 h10 p63 p18 p113 p11 p23 p7 p3 p3 p2 p40 p34 p22 p12 f7
+n1 n1 n1 n1 a6 h11 p50 f15
+n1 n1 n1 n1 n1 n1 a9 h4 p4 p80 p24 p60 p16 p28 p25 p10 f15
+n1 n1 n1 n1 n1 n1 a8 h7 p7 p25 p24 p3 p4 f13
+n1 n1 n1 n1 n1 n1 a7 h9 p9 p79 p9 f15
+n1 n1 n1 n1 n1 n1 a8 h3 p3 p144 f8
+n1 n1 n1 n1 n1 n1 a4 h11 p83 p99 p62 p87 p2 f8
+a3 n1 n2 n1 n2 a18/10 h11 p60 p45/8 h4 p80 p35/60 p20/15 t2 n6 n7 n5 t1 c20 c45 c8 f9 n1 n2 n2 f6
+n2 n2 n3 h8 p22 p18/30 p150/4 p9/100 p70 s3/100 s4/100 s6/100 f20
+a2/100 n1 n1 n1 n1 a12 o5 h6 p40 p3 p12 p30 p1 t3 s8/90 s9/100 s7/100 f4 n2 n2 n1 f12
+n1 n1 n1 h14 p5 p90 p60 p2/100 p55 h3 p40 p25 a9 p65 p80 t2 n5 n8 n6 f30/20 n1 n1
+a25/8 a4 n1 n1 n2 h9 p35 p110/3 a14 p95 p48 o8 o2 t1 c30 c12 c60 c5 f16
+h10 p75 p120 p30
+n1 n2 n1 n1 a6/50 h7 p28 p14 p52/12 p33 p41 s2/100 s3/100 s2/100 t4 n9 n7 f7
+a3/100 n1 n1 n1 t2 s4/100 s5/100 s3/100 h12 p66 p58 p7 p77 f11 n1 n1
+n1 n1 n1 n1 n1 a10 a22 h5 p18 p44 p9/25 p160 p12 f8/30
+a21 h4 p21 p21 s1/100 s1/100
+p400
+h8 p900 f12
+p60
+a30 n1 n1 h6 p35 p28 p19 n1 n1 n2
+h8 p25 p14 p31 s2/100 s3/100
+n1 n1 h5 p22 p24 p18
+n2 n1 n2 h9 p200/20 p90 p40 o4 o12 f5 n2 n3
 """
 
 
 def labelled() -> tuple[np.ndarray, np.ndarray]:
-    rows = np.array([[float(v) for v in line.split()] for line in LABELLED.split("\n") if line])
-    rows[:, [1, 3, 5]] /= 100
-    return rows[:, :-1], rows[:, -1].astype(int)
+    """Features and labels of the table's blocks. Comments are like article text but for their markup, so without that they
+    are no example of either."""
+    x, y = [], []
+    for line in PAGES.split("\n"):
+        cells = [(c[0], *map(int, c[1:].split("/"))) for c in line.split()]
+        page = [(k, n, (v[0] if v else 100 * (k == "n")) / 100) for k, n, *v in cells]
+        edge = ("", 0, 0.0)
+        for before, (kind, words, links), after in zip([edge, *page], page, [*page[1:], edge]):
+            own = int(kind in "hp")
+            for main, chrome, heading in ((1, 1, 1), (0, 1, 1), (0, 0, 1), (0, 0, 0)):
+                if kind != "c" or chrome:
+                    x.append((words, links, *before[1:], *after[1:], own * main, chrome * (1 - own), heading * (kind in "ht")))
+                    y.append(own)
+            # inside an article element, markup tells both ways: short blocks as these are stand there, too
+            x += [(words, links, *before[1:], *after[1:], 1, chrome, int(kind in "ht")) for chrome in (0, 1)]
+            y += [1, 0]
+    return np.array(x, float), np.array(y)
 
 
 class Tree:
-    """CART with the Gini impurity; nested tuples (feature, cut, below or equal, above), leaves are labels."""
+    """CART with the Gini impurity; nested tuples (feature, cut, below or equal, above), leaves are labels. A leaf has
+    ``least`` examples or more."""
 
-    def __init__(self, depth: int = 8):
-        self.depth, self.root = depth, 0
+    def __init__(self, depth: int = 6, least: int = 8):
+        self.depth, self.least, self.root = depth, least, 0
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Tree:
         self.root = self._grow(x, y, self.depth)
@@ -137,6 +147,8 @@ class Tree:
             values = np.unique(x[:, feature])
             for cut in (values[1:] + values[:-1]) / 2:
                 left = x[:, feature] <= cut
+                if not self.least <= left.sum() <= len(y) - self.least:
+                    continue
                 impurity = left.sum() * self._gini(y[left]) + (~left).sum() * self._gini(y[~left])
                 if impurity < best[0] - 1e-9:
                     best = (impurity, feature, cut)
@@ -192,6 +204,14 @@ def blocks(page: str) -> list[Block]:
             found.append(Block(" ".join(words), len(words), min(1.0, len("".join(linked).split()) / len(words)), main, int(chrome or lasting), int(heading > 0)))
         parts, linked = [], []
 
+    missing: set[str] = set()  # names with no end tag further on
+
+    def ends(name: str, at: int) -> re.Match | None:
+        close = ENDS[name].search(page, at) if name not in missing else None
+        if close is None:
+            missing.add(name)
+        return close
+
     at, end, match = 0, len(page), TOKEN.match
     while at < end:
         token = match(page, at)
@@ -208,20 +228,21 @@ def blocks(page: str) -> list[Block]:
             continue
         closing, attributes = token[1] or token[4], token[3] or token[6] or ""
         if name in RAW and not closing:
-            close = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else end
+            close = ends(name, at)
+            if close:
+                at = close.end()
+            elif name != "title":  # the rest is no text
+                at = end
             continue
         if skip:
             if name == skipped:
                 skip += -1 if closing else 0 if attributes.endswith("/") else 1
-            elif name == "body" and not closing and skipped == "head":
+            elif skipped == "head" and not closing and name not in IN_HEAD:
                 skip = 0
-            if skip:
-                continue
-            if closing:
+            if skip or closing:
                 continue
         if name in SKIPPED:
-            if not closing and not attributes.endswith("/"):
+            if not closing and not attributes.endswith("/") and (name == "head" or ends(name, at)):
                 flush()
                 skip, skipped = 1, name
             continue
