@@ -51,7 +51,8 @@ URL_RULES = [
 
 
 def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, urls.RULES))
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS rules(verdict, host, path)")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
 
 
 def op7_kernel_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
