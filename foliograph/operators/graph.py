@@ -50,8 +50,22 @@ def merge_edges(raw: DataFrame) -> DataFrame:
 
 
 def upsert_nodes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Merged nodes with more rows written after them."""
-    return merge_nodes(old.select("id", "label", "properties", F.struct(F.lit(0).alias("batch"), F.col("ordinal").cast("string").alias("o")).alias("ordinal")).unionByName(new.select("id", "label", "properties", F.struct(F.lit(1).alias("batch"), F.col("ordinal").cast("string").alias("o")).alias("ordinal"))))
+    """Merged nodes (id, label, properties) with more rows written after them: their properties win, labels stay."""
+    columns = ["id", "label", "properties"]
+    after = merge_nodes(new).select(*columns, F.lit(1).alias("ordinal"))
+    return merge_nodes(old.select(*columns, F.lit(0).alias("ordinal")).unionByName(after)).select(*columns)
+
+
+def upsert_edges(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Merged edges (src, type, dst, identity, properties) with more rows written after them."""
+    columns = ["src", "type", "dst", "identity", "properties"]
+    after = merge_edges(new).select(*columns, F.lit(1).alias("ordinal"))
+    return merge_edges(old.select(*columns, F.lit(0).alias("ordinal")).unionByName(after)).select(*columns)
+
+
+def matched(rows: DataFrame, nodes: DataFrame, key: str, id: str = "id") -> DataFrame:
+    """Rows whose ``key`` is the ``id`` of a node that exists already; the others are passed over, none makes a node."""
+    return rows.join(nodes.select(F.col(id).alias(key)).distinct(), key, "left_semi")
 
 
 def _props(**values: Column) -> Column:

@@ -2,75 +2,99 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Formats that strings are checked for.
+FORMATS = {"date-time": r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"}
+
+
+def _is(value: Column, kind: str) -> Column:
+    """Whether a Variant, not null itself, is of a JSON type."""
+    of = F.schema_of_variant(value)
+    number = F.rlike(of, F.lit("^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"))
+    double = F.try_variant_get(value, "$", "double")
+    return {
+        "object": F.startswith(of, F.lit("OBJECT")),
+        "array": F.startswith(of, F.lit("ARRAY")),
+        "string": of == "STRING",
+        "boolean": of == "BOOLEAN",
+        "null": of == "VOID",
+        "number": number,
+        "integer": number & (double == F.floor(double)),  # 5.0 is one, too
+    }[kind]
+
 
 def rules(schema: dict, value: Column, path: str = "$", definitions: dict | None = None) -> list[Column]:
-    """Errors of ``value`` (JSON text) as structs (path, message), null where a rule holds. Supported: type, required,
-    additionalProperties false, properties, items, minLength, pattern, enum, const, minimum, minItems, maxItems, $ref to
-    ``$defs``. Array items are checked together: each of an item's rules is one error for the array."""
+    """Errors of ``value`` (a Variant) as structs (path, message), null where a rule holds. Supported: type (one or a list),
+    required, additionalProperties false, properties, items, minLength, pattern, format, enum, const, minimum, minItems,
+    maxItems, $ref to ``$defs``. Array items are checked together: each of an item's rules is one error for the array."""
     definitions = definitions if definitions is not None else schema.get("$defs", {})
     if "$ref" in schema:
         schema = definitions[schema["$ref"].rsplit("/", 1)[-1]]
     out = []
+    shown = value.isNotNull()
 
     def error(bad: Column, message: str) -> None:
-        out.append(F.when(bad, F.struct(F.lit(path).alias("path"), F.lit(message).alias("message"))))
-
-    kind = schema.get("type")
-    shown = value.isNotNull()
-    if kind == "object":
-        is_object = F.startswith(F.trim(value), F.lit("{"))
-        error(shown & ~is_object, "is not of type object")
-        keys = F.json_object_keys(F.when(is_object, value))
+        out.append(F.when(shown & bad, F.struct(F.lit(path).alias("path"), F.lit(message).alias("message"))))
+
+    if "type" in schema:
+        kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
+        fits = [_is(value, k) for k in kinds]
+        error(~(fits[0] if len(fits) == 1 else F.greatest(*fits)), f"is not of type {', '.join(kinds)}")
+    if {"required", "properties", "additionalProperties"} & set(schema):
+        is_object = _is(value, "object")
+        keys = F.when(is_object, F.json_object_keys(F.to_json(value)))
         for name in schema.get("required", []):
-            error(shown & is_object & ~F.coalesce(F.array_contains(keys, name), F.lit(False)), f"'{name}' is a required property")
+            error(is_object & ~F.coalesce(F.array_contains(keys, name), F.lit(False)), f"'{name}' is a required property")
         if schema.get("additionalProperties") is False:
-            error(shown & (F.size(F.array_except(keys, F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>"))) > 0), "additional properties are not allowed")
+            error(is_object & (F.size(F.array_except(keys, F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>"))) > 0), "additional properties are not allowed")
         for name, inner in schema.get("properties", {}).items():
-            out += rules(inner, F.get_json_object(value, f"$.{name}"), f"{path}.{name}", definitions)
-    elif kind == "array":
-        is_array = F.startswith(F.trim(value), F.lit("["))
-        error(shown & ~is_array, "is not of type array")
-        size = F.coalesce(F.json_array_length(F.when(is_array, value)), F.lit(0))
-        for word, bad in (("minItems", lambda n: size < n), ("maxItems", lambda n: size > n)):
-            if word in schema:
-                error(shown & is_array & bad(schema[word]), f"violates {word} {schema[word]}")
+            out += rules(inner, F.try_variant_get(value, f"$['{name}']", "variant"), f"{path}.{name}", definitions)
+    if {"items", "minItems", "maxItems"} & set(schema):
+        items = F.when(_is(value, "array"), F.try_variant_get(value, "$", "array<variant>"))
+        if "minItems" in schema:
+            error(F.size(items) < schema["minItems"], f"violates minItems {schema['minItems']}")
+        if "maxItems" in schema:
+            error(F.size(items) > schema["maxItems"], f"violates maxItems {schema['maxItems']}")
         if "items" in schema:
-            items = F.from_json(F.when(is_array, value), "array<string>")
 
             def nth(n: int):
                 return lambda x: rules(schema["items"], x, f"{path}[]", definitions)[n]
 
-            for n in range(len(rules(schema["items"], F.lit(""), f"{path}[]", definitions))):
+            for n in range(len(rules(schema["items"], F.parse_json(F.lit("null")), f"{path}[]", definitions))):
                 out.append(F.get(F.filter(F.transform(items, nth(n)), lambda e: e.isNotNull()), F.lit(0)))
-    elif kind == "string":
-        if "minLength" in schema:
-            error(shown & (F.length(value) < schema["minLength"]), f"is shorter than {schema['minLength']}")
-        if "pattern" in schema:
-            error(shown & ~F.rlike(value, F.lit(schema["pattern"])), f"does not match {schema['pattern']}")
-    elif kind in ("integer", "number"):
-        number = value.try_cast("double")
-        error(shown & number.isNull() if kind == "number" else shown & ~F.rlike(value, F.lit(r"^-?\d+$")), f"is not of type {kind}")
-        if "minimum" in schema:
-            error(number < schema["minimum"], f"is less than the minimum of {schema['minimum']}")
-    elif kind == "boolean":
-        error(shown & ~value.isin("true", "false"), "is not of type boolean")
+    text = F.when(_is(value, "string"), F.try_variant_get(value, "$", "string"))
+    if "minLength" in schema:
+        error(F.length(text) < schema["minLength"], f"is shorter than {schema['minLength']}")
+    if "pattern" in schema:
+        error(~F.rlike(text, F.lit(schema["pattern"])), f"does not match {schema['pattern']}")
+    if schema.get("format") in FORMATS:
+        error(~F.rlike(text, F.lit(FORMATS[schema["format"]])), f"is not a {schema['format']}")
+    if "minimum" in schema:
+        error(F.when(_is(value, "number"), F.try_variant_get(value, "$", "double")) < schema["minimum"], f"is less than the minimum of {schema['minimum']}")
+    same = lambda v: F.to_json(value) == json.dumps(v, ensure_ascii=False)
     if "enum" in schema:
-        error(shown & ~value.isin([str(v) for v in schema["enum"]]), "is not one of the allowed values")
+        error(~F.greatest(F.lit(False), *[same(v) for v in schema["enum"]]), "is not one of the allowed values")
     if "const" in schema:
-        error(shown & (value != str(schema["const"])), f"is not {schema['const']}")
+        error(~same(schema["const"]), f"is not {schema['const']}")
     return out
 
 
 def schema_errors(rows: DataFrame, schema: dict, column: str = "value", key: str = "file") -> DataFrame:
-    """(key, path, message) for each violated rule, one row for text that isn't JSON; sorted by path within a key."""
-    value = F.col(column)
-    parsed = F.try_parse_json(value)
-    broken = F.when(parsed.isNull(), F.struct(F.lit("$").alias("path"), F.lit("is not JSON").alias("message")))
-    found = F.when(parsed.isNull(), F.array(broken)).otherwise(F.filter(F.array(*rules(schema, value)), lambda e: e.isNotNull()))
-    return rows.select(F.col(key), F.explode(found).alias("e")).select(key, "e.path", "e.message").orderBy(key, "path", "message")
+    """(key, path, message) for each violated rule, one row for text that isn't JSON. The text is parsed once."""
+    parsed = rows.select(F.col(key), F.try_parse_json(F.col(column)).alias("__v"))
+    value = F.col("__v")
+    broken = F.array(F.struct(F.lit("$").alias("path"), F.lit("is not JSON").alias("message")))
+    found = F.when(value.isNull(), broken).otherwise(F.filter(F.array(*rules(schema, value)), lambda e: e.isNotNull()))
+    return parsed.select(F.col(key), F.explode(found).alias("e")).select(key, "e.path", "e.message")
+
+
+def in_order(errors: DataFrame, key: str = "file") -> DataFrame:
+    """Errors as they are printed: by key and path."""
+    return errors.orderBy(key, "path", "message")
 
 
 def repeated_sources(rows: DataFrame, digest: str, order: str) -> DataFrame:

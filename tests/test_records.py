@@ -215,7 +215,24 @@ SCHEMA = {
 )
 def test_json_schema(spark, value, paths):
     rows = spark.createDataFrame([("f", value)], "file string, value string")
-    assert [r["path"] for r in validate.schema_errors(rows, SCHEMA).collect()] == paths
+    assert [r["path"] for r in validate.in_order(validate.schema_errors(rows, SCHEMA)).collect()] == paths
+
+
+@pytest.mark.parametrize(
+    "kind,good,bad",
+    [("string", ['"5"', '""'], ["5", "null", "true", "[1]", "{}"]), ("integer", ["5", "-1", "5.0"], ['"12"', "1.5", "true", "null"]), ("number", ["1.5", "1e300", "3"], ['"1"', "null"]), ("boolean", ["true"], ['"true"', "1"]), ("null", ["null"], ["0", '""']), (["string", "null"], ["null", '"x"'], ["1"]), ("array", ["[]"], ["{}", "null"]), ("object", ["{}"], ["[]", '"{}"'])],
+)
+def test_json_types(spark, kind, good, bad):
+    rows = spark.createDataFrame([(v, f'{{"n": {v}}}') for v in good + bad], "file string, value string")
+    found = validate.schema_errors(rows, {"type": "object", "properties": {"n": {"type": kind}}}).collect()
+    assert sorted(r["file"] for r in found) == sorted(bad) and {r["path"] for r in found} == {"$.n"}
+
+
+def test_json_formats(spark):
+    good = ["2024-02-03T04:05:06Z", "2024-02-03T04:05:06.789+00:00"]
+    rows = spark.createDataFrame([(v, f'{{"at": "{v}"}}') for v in good + ["2024-02-03", "soon"]], "file string, value string")
+    found = validate.schema_errors(rows, {"properties": {"at": {"type": "string", "format": "date-time"}}}).collect()
+    assert sorted(r["file"] for r in found) == ["2024-02-03", "soon"]
 
 
 def test_other_checks(spark):
@@ -248,23 +265,58 @@ def test_exports(spark, records, tmp_path):
     nodes, edges = graph.merge_nodes(raw[0]), graph.merge_edges(raw[1])
     node_tables, edge_tables = sinks.node_tables(nodes), sinks.edge_tables(edges)
     assert node_tables["Skill"].columns == ["graph_id", "name"] and edge_tables["HAS_SKILL"].columns == ["from_id", "to_id", "rel_id", "category"]
-    script = sinks.load_script(node_tables, edge_tables)
-    assert "REQUIRE n.graph_id IS UNIQUE" in script and "MERGE (a)-[r:HAS_SKILL" in script
+    script = sinks.graph_csv(nodes, edges, str(tmp_path / "graph_csv"))
+    assert "FOR (n:`Skill`) REQUIRE n.graph_id IS UNIQUE" in script and "MERGE (a)-[r:`HAS_SKILL` {graph_id: row.rel_id}]" in script
+    assert "graph_nodes_skill.csv" in script and script.rstrip().splitlines()[-1].startswith("RETURN n_candidate, ") and "r_worked_at" in script
+    assert (tmp_path / "graph_csv" / "graph_rels_has_skill").is_dir()
+    assert "`A ``b` " in sinks.load_script({"A `b": node_tables["Skill"]}, {}) and "graph_nodes_a__b.csv" in sinks.load_script({"A `b": node_tables["Skill"]}, {})
     with pytest.raises(ValueError):
         sinks.node_tables(nodes.union(nodes))
-    path = str(tmp_path / "graph")
-    sinks.graph_parquet(nodes, edges, path)
-    assert spark.read.parquet(f"{path}/edges").count() == edges.count()
-    sinks.graph_parquet(nodes, edges, path, reset=False)
-    assert spark.read.parquet(f"{path}/merged/nodes").count() == nodes.count()
-    sinks.records_json(records, str(tmp_path / "json"))
-    assert spark.read.json(str(tmp_path / "json")).count() == 3
+    for _ in range(2):
+        sinks.records_json(records.where("stem = '00_ada'"), str(tmp_path / "json"))
+        sinks.records_json(records.where("stem != '00_ada'"), str(tmp_path / "json"))
+    assert sorted(r["stem"] for r in spark.read.json(str(tmp_path / "json")).collect()) == ["00_ada", "01_ben", "02_cleo"]
     images = spark.createDataFrame([("00_ada", [])], f"stem string, images {dict(records.dtypes)['images']}")
     assert sinks.with_images(records, images).count() == 3
     with pytest.raises(Exception, match="no record"):
         sinks.with_images(records, images.withColumn("stem", F.lit("none"))).count()
 
 
+NODES = "id string, label string, properties map<string,string>"
+EDGES = "src string, type string, dst string, identity string, properties map<string,string>"
+
+
+def test_loads_in_a_row(spark, tmp_path):
+    """Three loads into one store: earlier nodes and edges stay, new properties win, edges wait for both ends."""
+    path = str(tmp_path / "store")
+    load = lambda nodes, edges, reset=False: sinks.graph_parquet(spark.createDataFrame(nodes, NODES), spark.createDataFrame(edges, EDGES), path, reset)
+    load([("a", "P", {"x": "1", "y": "1"})], [("a", "K", "b", None, {})])
+    load([("b", "P", {})], [("a", "K", "b", None, {}), ("a", "K", "b", None, {"w": "2"})])
+    assert load([("c", "P", {}), ("a", "Q", {"y": "2", "z": "3"})], [("c", "K", "a", None, {}), ("a", "K", "b", None, {})]) == 2
+    nodes, edges = sinks.read_graph(spark, path)
+    found = {r["id"]: (r["label"], r["properties"]) for r in nodes.collect()}
+    assert found == {"a": ("P", {"x": "1", "y": "2", "z": "3"}), "b": ("P", {}), "c": ("P", {})}
+    assert sorted((r["src"], r["dst"], len(r["properties"])) for r in edges.collect()) == [("a", "b", 0), ("a", "b", 1), ("c", "a", 0)]
+    load([("d", "P", {})], [], reset=True)
+    assert [r["id"] for r in sinks.read_graph(spark, path)[0].collect()] == ["d"]
+    with pytest.raises(ValueError):
+        load([("d", "P", {}), ("d", "P", {})], [])
+
+
+def test_upserts_keep_the_order_of_ordinals(spark):
+    old = spark.createDataFrame([("a", "P", {"k": "old", "o": "1"})], NODES)
+    new = spark.createDataFrame([("a", "P", {"k": str(n)}, n) for n in (9, 10)], NODES + ", ordinal int")
+    assert graph.upsert_nodes(old, new).first()["properties"] == {"k": "10", "o": "1"}
+    edges = spark.createDataFrame([("a", "K", "b", None, {"k": str(n)}, n) for n in (9, 10)], EDGES + ", ordinal int")
+    assert graph.upsert_edges(edges.drop("ordinal").limit(0), edges).first()["properties"] == {"k": "10"}
+
+
+def test_csv_rows_match_nodes_that_exist(spark):
+    nodes = spark.createDataFrame([("a",), ("a",)], "id string")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "candidate_id string, n int")
+    assert [r["n"] for r in graph.matched(rows, nodes, "candidate_id").collect()] == [1]
+
+
 def test_search(spark, records, tmp_path):
     docs = vector.embed(vector.section_documents(records)).cache()
     assert docs.count() == 21
@@ -275,9 +327,28 @@ def test_search(spark, records, tmp_path):
     assert spark.read.parquet(str(tmp_path / "c")).count() == 21
 
 
-def test_streams(spark, files, tmp_path):
+def test_streams(spark, tmp_path, monkeypatch):
+    """Files that arrive later are merged; a stream that starts anew goes on with the store."""
+    monkeypatch.setattr(upserts, "BUCKETS", 3)
+    folder = tmp_path / "in"
+    folder.mkdir()
     for load, n in ((upserts.load_collection, 21), (upserts.load_nodes, 33)):
-        out, state = str(tmp_path / load.__name__), str(tmp_path / f"{load.__name__}-state")
-        load(upserts.text_stream(spark, files), out, state).awaitTermination()
-        load(upserts.text_stream(spark, files), out, state).awaitTermination()
-        assert spark.read.parquet(f"{out}/version=0").count() == n
+        out = str(tmp_path / load.__name__)
+        for k, (name, body) in enumerate(TEXTS):
+            (folder / name).write_text(body)
+            load(upserts.text_stream(spark, str(folder)), out, f"{out}-state").awaitTermination()
+        assert upserts.read_store(spark, out).count() == n
+        whole = sorted(map(str, upserts.read_store(spark, out).collect()))
+        load(upserts.text_stream(spark, str(folder)), out, f"{out}-other").awaitTermination()
+        again = upserts.read_store(spark, out)
+        assert again.count() == n and (load is upserts.load_nodes or sorted(map(str, again.collect())) == whole)
+        for name, _ in TEXTS:
+            (folder / name).unlink()
+
+
+def test_a_small_batch_rewrites_few_buckets(spark, tmp_path):
+    path = str(tmp_path / "s")
+    rows = lambda *ids: spark.createDataFrame([(str(i), "x") for i in ids], "id string, document string")
+    upserts.upsert_store(rows(*range(300)), path, vector.upsert)
+    upserts.upsert_store(rows(7), path, vector.upsert)
+    assert len(list((tmp_path / "s" / "version=1" / "rows").glob("bucket=*"))) == 1 and upserts.read_store(spark, path).count() == 300
