@@ -44,9 +44,14 @@ def normalized(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text_or_empty(c)), "[^a-z0-9]+", " "))
 
 
+def words(normal: Column) -> Column:
+    """Distinct words of a normal form."""
+    return F.array_distinct(F.filter(F.split(normal, " "), lambda x: x != ""))
+
+
 def tokens(c: Column) -> Column:
     """Distinct words of the normal form."""
-    return F.array_distinct(F.filter(F.split(normalized(c), " "), lambda x: x != ""))
+    return words(normalized(c))
 
 
 def slug(c: Column) -> Column:

@@ -23,13 +23,11 @@ def heading_type(line: Column, bold: Column, size: Column, body_size: Column) ->
     in a larger size."""
     core = F.regexp_replace(text.strip(line), ":+$", "")
     known = F.regexp_replace(F.lower(core), r"\s+", " ")
-    words = F.size(F.filter(F.split(core, r"\s+"), lambda w: w != ""))
+    # a line of hundreds of words is told by its first few, before anything is counted in it
+    words = F.size(F.filter(F.split(core, r"\s+", 10), lambda w: w != ""))
     capitals = F.coalesce(text.uppercase_ratio(core), F.lit(0.0)) >= 0.85
-    return (
-        F.when(known.isin(KNOWN_HEADINGS), text.slug(known))
-        .when(words.between(1, 7) & capitals & (bold | (size >= body_size)), text.slug(core))
-        .when(words.between(1, 6) & bold & (size >= body_size + 1.5), text.slug(core))
-    )
+    short = F.when(words.between(1, 7) & (bold | (size >= body_size)) & capitals | words.between(1, 6) & bold & (size >= body_size + 1.5), text.slug(core))
+    return F.when((words <= max(len(k.split()) for k in KNOWN_HEADINGS)) & known.isin(KNOWN_HEADINGS), text.slug(known)).otherwise(short)
 
 
 def page_size(words: DataFrame) -> DataFrame:

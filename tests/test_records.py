@@ -202,6 +202,31 @@ def test_short_items_are_found_inside_words(spark):
     assert {(r["item_id"], r["doc_id"], r["score"]) for r in provenance.best_matches(items, blocks).collect()} == {(1, 7, 1.0), (2, 8, 1.0)}
 
 
+def test_best_matches_against_all_pairs(spark):
+    import random
+    import re
+
+    rnd = random.Random(8)
+    vocabulary = ["sql", "a", "postgresql", "data", "an", "base", "database", "mysql", "x1", "io", "zed", "of", "the", "to", "land"]
+    some = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items = [(i, some(rnd.choice([0, 1, 1, 2, 2, 3, 4, 6, 12, 20]))) for i in range(60)]
+    blocks = [(i, 1 + i % 3, some(rnd.randrange(0, 25)).upper() + rnd.choice(["", ".", " Zq"])) for i in range(80)]
+    normal = lambda t: re.sub("[^a-z0-9]+", " ", t.lower()).strip()
+    expected = set()
+    for i, t in items:
+        own, found = set(normal(t).split()), []
+        for d, p, b in blocks:
+            if own and normal(b):
+                value = 1.0 if normal(t) in normal(b) else len(own & set(normal(b).split())) / len(own)
+                if value >= 0.45:
+                    found.append((-value, d, p))
+        if found:
+            value, d, p = min(found)
+            expected.add((i, d, p, round(-value, 9)))
+    made = provenance.best_matches(spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(blocks, "doc_id long, position int, text string"))
+    assert {(r["item_id"], r["doc_id"], r["position"], round(r["score"], 9)) for r in made.collect()} == expected
+
+
 SCHEMA = {
     "type": "object", "required": ["a", "items"], "additionalProperties": False,
     "$defs": {"item": {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "minimum": 1}}}},
