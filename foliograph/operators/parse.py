@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
+from ..sources import readers
 
 PARSER_VERSION = "foliograph-text-1"
 CANDIDATE_FIELDS = {"email": "Email", "phone": "Phone", "location": "Location", "linkedin": "LinkedIn", "portfolio": "Portfolio", "headline": "Headline"}
@@ -96,3 +99,62 @@ def identified(items: Column, section: str) -> Column:
         return tests[0] if len(tests) == 1 else tests[0] | tests[1]
 
     return F.filter(items, known)
+
+
+def technologies(raw: Column) -> Column:
+    """A list of names from JSON text of one, or from names between commas."""
+    return text.compact(F.coalesce(F.from_json(raw, "array<string>"), F.split(raw, ",")))
+
+
+#: Item fields by section, without the numbered ids.
+FIELDS = CELLS | {"skills": ["name", "category"], "languages": ["name", "proficiency"]}
+
+
+def refined(records: DataFrame, raw: Column, version: str) -> DataFrame:
+    """Parsed records with what a model extracted (JSON text with ``candidate`` and ``sections``) laid over them. Only strings
+    replace a candidate's fields, only lists a section; missing and null fields get their defaults, items that aren't objects
+    or lack an identifying field go, and what is left is numbered anew for the candidate as it is now."""
+    base = records.withColumn("__m", F.try_parse_json(raw))
+    names = [f.name for f in records.schema["candidate"].dataType.fields]
+    values = {f: F.try_variant_get(F.col("__m"), f"$.candidate.{f}", "variant") for f in names}
+    told = F.struct(*[F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).alias(f) for f, v in values.items()])
+    base = base.withColumn("__told", told).withColumn("candidate", overlay(F.col("candidate"), F.col("__told"), names))
+    base = base.withColumn("candidate", F.col("candidate").withField("email", text.without_mailto(F.col("candidate.email"))))
+    key = ids.candidate_id(F.col("candidate.name"), F.col("candidate.email"))
+
+    def found(section: str) -> Column:
+        fields = FIELDS[section]
+        listed = F.try_variant_get(F.col("__m"), f"$.sections.{section}", "array<variant>")
+        items = F.transform(listed, lambda x: with_defaults(F.to_json(x), ", ".join(f"{f} string" for f in fields), dict.fromkeys(fields, "")))
+        if section == "skills":
+            return F.flatten(F.transform(items, lambda x: F.transform(fan_out_skills(x["name"]), lambda n: F.struct(n.alias("name"), x["category"].alias("category")))))
+        if section == "projects":
+            items = F.transform(items, lambda x: x.withField("technologies", technologies(x["technologies"])))
+        return identified(items, section)
+
+    def numbered(items: Column, section: str) -> Column:
+        if section not in NUMBERED:
+            return items
+        id, short = NUMBERED[section]
+        return F.transform(items, lambda x, i: F.struct(F.concat(key, F.lit(f"_{short}_"), (i + 1).cast("string")).alias(id), *[x[f].alias(f) for f in FIELDS[section]]))
+
+    def kept(section: str) -> Column:
+        own = F.transform(F.col("sections")[section], lambda x: F.struct(*[x[f].alias(f) for f in FIELDS[section]]))
+        return numbered(F.coalesce(found(section), own), section).alias(section)
+
+    sections = [kept(f.name) for f in records.schema["sections"].dataType.fields]
+    source = F.col("source_document").withField("parser_version", F.lit(version))
+    return base.withColumn("sections", F.struct(*sections)).withColumn("source_document", source).select(*records.columns)
+
+
+def ingest(files: DataFrame, parser: str = "deterministic", model: Callable[[str], str] | None = None, probe: Callable[[], object] | None = None, version: str = "model") -> DataFrame:
+    """Records of files (source_file, text). ``parser``: ``deterministic``, ``model``, or ``auto``, which takes the model if
+    ``probe`` answers. Without the model, other files than .md and .txt stop the query."""
+    if parser not in ("deterministic", "model", "auto"):
+        raise ValueError(f"unknown parser: {parser}")
+    if parser == "deterministic" or parser == "auto" and not (model and probe and readers.available(probe)):
+        return parse(check_suffix(files))
+    if model is None:
+        raise ValueError("no model is given")
+    met = parse(files).join(readers.extracted(files, model).withColumnRenamed("source_file", "__file"), F.col("source_document.source_file") == F.col("__file"))
+    return refined(met.drop("__file"), F.col("raw"), version).drop("raw")

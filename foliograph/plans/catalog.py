@@ -2,33 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
 from ..operators import graph, layout, parse, patterns, provenance, validate, vector
 from ..sources import readers
+from . import texts  # noqa: F401  its queries are registered
+from .registry import QUERIES, SQL, query
+from .registry import table as _t
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["QUERIES", "SQL"]
 
 # --- blocks and text expressions
 
@@ -405,53 +389,40 @@ def one_hop_filter(spark, sf_dir):
     return patterns.named(*_graph(spark, sf_dir), "STUDIED_AT", "Candidate", "Institution", name.swapcase())
 
 
-@query(f"WITH {_GRAPH} SELECT a.name AS a_name, b.name AS b_name, c.name AS c_name FROM e x JOIN e y ON x.dst = y.src JOIN n a ON x.src = a.id JOIN n b ON x.dst = b.id JOIN n c ON y.dst = c.id WHERE x.type = 'WORKED_AT' AND y.type = 'BASED_IN'")
-def two_hop_chain(spark, sf_dir):
-    return patterns.two_hops(*_graph(spark, sf_dir), "WORKED_AT", "BASED_IN")
+_HELD = _GRAPH.replace(" AS (", " AS MATERIALIZED (")
 
 
-_TRAILS = f"""WITH {_GRAPH}, g AS (SELECT src || type || dst AS eid, src, dst FROM e WHERE type <> 'HAS_SKILL'), b AS (SELECT eid, src AS u, dst AS v FROM g UNION ALL SELECT eid, dst, src FROM g),
-    s AS (SELECT 'c' || c_custkey AS id FROM customer WHERE c_custkey % 100 = 1), one AS (SELECT s.id AS start, v AS "end", 1 AS hops, eid FROM s JOIN b ON s.id = u),
-    t AS (SELECT start, "end", hops, eid AS trail FROM one UNION ALL SELECT start, v, 2, one.eid || ',' || b.eid FROM one JOIN b ON one."end" = b.u AND one.eid <> b.eid)"""
+@query(f"""WITH {_HELD}, w AS MATERIALIZED (SELECT src, dst FROM e WHERE type = 'WORKED_AT'), b AS MATERIALIZED (SELECT src, dst FROM e WHERE type = 'BASED_IN')
+    SELECT x.name AS a_name, y.name AS b_name, z.name AS c_name FROM w JOIN b ON w.dst = b.src JOIN n x ON w.src = x.id JOIN n y ON w.dst = y.id JOIN n z ON b.dst = z.id""")
+def two_hop_chain(spark, sf_dir):
+    return patterns.two_hops(*_graph(spark, sf_dir), "WORKED_AT", "BASED_IN")
 
 
 def _trails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, edges = _graph(spark, sf_dir)
-    starts = _t(spark, sf_dir, "customer").where("c_custkey % 100 = 1").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"))
-    return patterns.trails(edges.where("type != 'HAS_SKILL'").select(F.concat("src", "type", "dst").alias("eid"), "src", "dst"), starts)
+    """All trails of one or two edges, of any type and in either direction, from every candidate."""
+    nodes, edges = _graph(spark, sf_dir)
+    return patterns.trails(edges.select(F.concat("src", "type", "dst").alias("eid"), "src", "dst"), nodes.where("label = 'Candidate'").select("id"))
 
 
-@query(_TRAILS + ' SELECT start, "end", hops, trail FROM t')
+@query(f"""WITH {_HELD}, b AS MATERIALIZED (SELECT src AS u, dst AS v FROM e UNION ALL SELECT dst, src FROM e), one AS MATERIALIZED (SELECT n.id AS start, v AS mid FROM n JOIN b ON n.id = u WHERE n.label = 'Candidate'),
+    near AS MATERIALIZED (SELECT u, label, count(*) AS k FROM b JOIN n ON v = n.id GROUP BY 1, 2)
+    SELECT start, 1 AS hops, label, count(*) AS trails FROM one JOIN n ON mid = n.id GROUP BY 1, 3
+    UNION ALL SELECT start, 2, label, (sum(k) - count(*) FILTER (label = 'Candidate'))::BIGINT FROM one JOIN near ON mid = u GROUP BY 1, 3 HAVING sum(k) > count(*) FILTER (label = 'Candidate')""")
 def var_hop_1_2(spark, sf_dir):
-    return _trails(spark, sf_dir).select("start", "end", "hops", F.array_join("trail", ",").alias("trail"))
+    """How many trails lead from each candidate to nodes of each label; in the SQL, by the degrees of what is between."""
+    nodes, _ = _graph(spark, sf_dir)
+    ends = _trails(spark, sf_dir).join(nodes.select(F.col("id").alias("end"), "label"), "end")
+    return ends.groupBy("start", "hops", "label").agg(F.count("*").alias("trails"))
 
 
-@query(_TRAILS + ' SELECT start, "end", hops, trail FROM t ORDER BY hops, start, trail LIMIT 300')
+@query(f"""WITH {_HELD}, g AS (SELECT src || type || dst AS eid, src, dst FROM e), b AS MATERIALIZED (SELECT eid, src AS u, dst AS v FROM g UNION ALL SELECT eid, dst, src FROM g),
+    one AS MATERIALIZED (SELECT n.id AS start, v AS "end", 1 AS hops, eid FROM n JOIN b ON n.id = u WHERE label = 'Candidate'),
+    t AS (SELECT start, "end", hops, eid AS trail FROM one UNION ALL SELECT start, v, 2, one.eid || ',' || b.eid FROM one JOIN b ON one."end" = b.u AND one.eid <> b.eid)
+    SELECT start, "end", hops, trail FROM t ORDER BY hops, start, trail LIMIT 300""")
 def var_hop_first_300(spark, sf_dir):
     return _trails(spark, sf_dir).select("start", "end", "hops", F.array_join("trail", ",").alias("trail")).orderBy("hops", "start", "trail").limit(300)
 
 
-_ALL_TRAILS = f"""WITH {_GRAPH}, g AS (SELECT src || type || dst AS eid, src, dst FROM e), b AS (SELECT eid, src AS u, dst AS v FROM g UNION ALL SELECT eid, dst, src FROM g),
-    one AS (SELECT n.id AS start, v AS "end", 1 AS hops, eid FROM n JOIN b ON n.id = u WHERE label = 'Candidate'),
-    t AS (SELECT start, "end", hops, eid AS trail FROM one UNION ALL SELECT start, v, 2, one.eid || ',' || b.eid FROM one JOIN b ON one."end" = b.u AND one.eid <> b.eid)"""
-
-
-def _all_trails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes, edges = _graph(spark, sf_dir)
-    found = patterns.trails(edges.select(F.concat("src", "type", "dst").alias("eid"), "src", "dst"), nodes.where("label = 'Candidate'").select("id"))
-    return found.select("start", "end", "hops", F.array_join("trail", ",").alias("trail"))
-
-
-@query(_ALL_TRAILS + ' SELECT start, "end", hops, trail FROM t')
-def var_hop_1_2_all(spark, sf_dir):
-    return _all_trails(spark, sf_dir)
-
-
-@query(_ALL_TRAILS + ' SELECT start, "end", hops, trail FROM t ORDER BY hops, start, trail LIMIT 300')
-def var_hop_first_300_all(spark, sf_dir):
-    return _all_trails(spark, sf_dir).orderBy("hops", "start", "trail").limit(300)
-
-
 @query(f"""WITH {_GRAPH} SELECT a.id AS src, a.name AS src_name, coalesce(array_to_string(list_sort(list(b.name) FILTER (b.name IS NOT NULL)), '|'), '') AS names
     FROM n a LEFT JOIN e ON e.src = a.id AND e.type = 'WORKED_AT' LEFT JOIN n b ON e.dst = b.id WHERE a.label = 'Candidate' GROUP BY 1, 2""")
 def optional_collect(spark, sf_dir):
@@ -503,28 +474,9 @@ def vector_topk(spark, sf_dir):
     return _search(spark, sf_dir, "vec_id = 0", 5)
 
 
-@query(_topk("vec_id < 10", 5))
-def vector_topk_batch(spark, sf_dir):
-    return _search(spark, sf_dir, "vec_id < 10", 5)
-
-
-#: Queries that go to all rows at once.
-BLOCK = 256
-
-
-def _due(vec_ids: DataFrame) -> list[tuple[int, int]]:
-    """Ranges of ids with about ``BLOCK`` of those divisible by 20 in each."""
-    low, high, n = vec_ids.where("vec_id % 20 = 0").agg(F.min("vec_id"), F.max("vec_id"), F.count("*")).first()
-    if not n:
-        return [(0, 0)]
-    step = max(20, (high - low + 1) * BLOCK // n)
-    return [(at, min(at + step, high + 1)) for at in range(low, high + 1, step)]
-
-
 @query(_topk("vec_id % 20 = 0", 5))
-def vector_topk_batch_all(spark, sf_dir):
-    parts = [_search(spark, sf_dir, f"vec_id % 20 = 0 AND vec_id >= {a} AND vec_id < {b}", 5) for a, b in _due(_t(spark, sf_dir, "embeddings"))]
-    return reduce(DataFrame.union, parts)
+def vector_topk_batch(spark, sf_dir):
+    return _search(spark, sf_dir, "vec_id % 20 = 0", 5)
 
 
 @query("SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN -1 ELSE label END AS label FROM embeddings UNION ALL SELECT vec_id + 1000000, -1 FROM embeddings WHERE vec_id % 5 = 0")

@@ -66,14 +66,17 @@ def decoded(files: DataFrame, decode: Callable[[str, bytes], pd.DataFrame], sche
     return files.select("document_id", "content").mapInPandas(run, schema)
 
 
-def extracted(files: DataFrame, model: Callable[[str], str], schema: str = RECORD) -> DataFrame:
-    """Records that an external model writes as JSON for each text (stem, text). No model comes with this library."""
+def extracted(files: DataFrame, model: Callable[[str], str]) -> DataFrame:
+    """(source_file, raw): the JSON that an external model writes for each text; text that isn't JSON stops the query. No model
+    comes with this library."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"stem": batch["stem"], "raw": [model(t) for t in batch["text"]]})
+            yield pd.DataFrame({"source_file": batch["source_file"], "raw": [model(t) for t in batch["text"]]})
 
-    return files.select("stem", "text").mapInPandas(run, "stem string, raw string").select("stem", F.from_json("raw", schema).alias("record"))
+    rows = files.select("source_file", "text").mapInPandas(run, "source_file string, raw string")
+    good = F.when(F.try_parse_json("raw").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("extraction failed for "), F.col("source_file"))))
+    return rows.where(good)
 
 
 def available(probe: Callable[[], object]) -> bool:
