@@ -69,7 +69,8 @@ def name_from_header(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", text.name_from_header(F.col("text")).alias("name"))
 
 
-@query("SELECT p_partkey, p_name AS part, p_type AS brand, '' AS missing FROM part")
+@query(r"""WITH m AS (SELECT p_partkey, 'head' || chr(10) || '[PART]' || chr(10) || p_name || chr(10) || '[BRAND]' || chr(10) || p_brand || chr(10) || chr(10) || '[BRAND]' || chr(10) || p_type || chr(10) AS m FROM part)
+    SELECT p_partkey, trim(regexp_extract(m, '(?s).*\[PART\]\n(.*?)(\n\[|$)', 1), ' ' || chr(10)) AS part, trim(regexp_extract(m, '(?s).*\[BRAND\]\n(.*?)(\n\[|$)', 1), ' ' || chr(10)) AS brand, trim(regexp_extract(m, '(?s).*\[SIZE\]\n(.*?)(\n\[|$)', 1), ' ' || chr(10)) AS missing FROM m""")
 def section_split(spark, sf_dir):
     marked = F.concat(F.lit("head\n[PART]\n"), "p_name", F.lit("\n[BRAND]\n"), "p_brand", F.lit("\n\n[BRAND]\n"), "p_type", F.lit("\n"))
     rows = _t(spark, sf_dir, "part").withColumn("m", marked)
@@ -103,12 +104,12 @@ def link_scan(spark, sf_dir):
     return readers.links(_t(spark, sf_dir, "pages"))
 
 
-@query("""SELECT c_custkey, 'c' || c_custkey || '@example.test' AS address FROM customer""")
+@query("""SELECT c_custkey, regexp_replace('MailTo:c' || c_custkey || '@example.test', '(?i)^mailto:', '') AS address FROM customer""")
 def mailto_strip(spark, sf_dir):
     return _t(spark, sf_dir, "customer").select("c_custkey", text.without_mailto(F.concat(F.lit("MailTo:c"), "c_custkey", F.lit("@example.test"))).alias("address"))
 
 
-@query("SELECT p_partkey, p_name || ' (x)' AS cleaned FROM part")
+@query(r"SELECT p_partkey, trim(regexp_replace(' ' || p_name || ' (cid:' || p_size || ') (x)  (cid:7)', '\s*\(cid:\d+\)', '', 'g')) AS cleaned FROM part")
 def cid_cleanup(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", text.clean_cids(F.concat(F.lit(" "), "p_name", F.lit(" (cid:"), F.col("p_size").cast("string"), F.lit(") (x)  (cid:7)"))).alias("cleaned"))
 
@@ -122,8 +123,10 @@ def skill_fanout(spark, sf_dir):
 @query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, CASE WHEN l.toxic IS NULL THEN d.lang ELSE d.lang || '-' || l.toxic END AS lang FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def overlay_defaults(spark, sf_dir):
     rows = _t(spark, sf_dir, "documents").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
-    model = F.when(F.col("toxic").isNotNull(), F.concat(F.lit(" "), "lang", F.lit("-"), F.col("toxic").cast("string"), F.lit(" ")))
-    return rows.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce(text.strip(model), "lang").alias("lang"))
+    told = F.when(F.col("toxic").isNotNull(), F.concat(F.lit(" "), "lang", F.lit("-"), F.col("toxic").cast("string"), F.lit(" ")))
+    over = parse.overlay(F.struct("lang"), F.struct(told.alias("lang")), ["lang"])
+    filled = parse.with_defaults(F.to_json(F.struct(F.col("quality").cast("string").alias("quality"))), "quality string", {"quality": "-1"})
+    return rows.select("doc_id", filled["quality"].cast("int").alias("quality"), over["lang"].alias("lang"))
 
 
 # --- layout
@@ -195,15 +198,6 @@ def page_median_size(spark, sf_dir):
     return layout.page_size(words).select("document_id", "body_size")
 
 
-@query("""SELECT l_orderkey, min(l_discount) AS x0, min(l_tax) AS top, max(l_discount) AS x1, max(l_tax) AS bottom, max(l_quantity) AS font_size, bool_or(l_returnflag = 'R') AS bold, array_to_string(list_sort(list(DISTINCT l_shipdate::DATE::VARCHAR)), ',') AS fonts
-    FROM lineitem GROUP BY 1""")
-def line_envelope(spark, sf_dir):
-    return _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.min("l_discount").alias("x0"), F.min("l_tax").alias("top"), F.max("l_discount").alias("x1"), F.max("l_tax").alias("bottom"), F.max("l_quantity").alias("font_size"), F.bool_or(F.col("l_returnflag") == "R").alias("bold"),
-        F.array_join(F.array_sort(F.collect_set(F.col("l_shipdate").cast("date").cast("string"))), ",").alias("fonts"),
-    )
-
-
 @query("SELECT conv_id AS document_id, count(DISTINCT turn // 4) AS pages, count(DISTINCT role) AS sections, count(*) AS blocks, count(*) FILTER (role <> 'system') AS text_blocks, count(*) FILTER (role = 'system') AS images, 0::BIGINT AS tables FROM conversations GROUP BY 1")
 def document_statistics(spark, sf_dir):
     blocks = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("document_id"), F.floor(F.col("turn") / 4).alias("page_id"), F.col("role").alias("section_id"), F.when(F.col("role") == "system", "image").otherwise("text").alias("type"))
@@ -316,11 +310,6 @@ def graph_schema_errors(spark, sf_dir):
     return graph.schema_errors(nodes, edges.union(wrong).union(turned).withColumn("ordinal", F.concat("src", F.lit(">"), "dst")))
 
 
-@query("SELECT l.doc_id FROM labels l ANTI JOIN (SELECT vec_id AS doc_id FROM embeddings) v ON l.doc_id = v.doc_id")
-def dangling_edges(spark, sf_dir):
-    return _t(spark, sf_dir, "labels").select("doc_id").join(_t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id")), "doc_id", "left_anti")
-
-
 @query(f"WITH {_GRAPH} SELECT src AS from_id, type, dst AS to_id, 'rel_' || substr(sha256('{{\"from\": \"' || src || '\", \"properties\": {{\"kind\": \"' || lower(type) || '\"}}, \"to\": \"' || dst || '\", \"type\": \"' || type || '\"}}'), 1, 20) AS rel_id FROM e")
 def rel_ids(spark, sf_dir):
     _, edges = _graph(spark, sf_dir)
@@ -380,6 +369,39 @@ def json_schema_validate(spark, sf_dir):
     return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), SCHEMA, "value", "doc_id")
 
 
+_VALUES = ['"x"', "5", "null", "true", "1.5", "[1]", "{}", '""', "5.0"]
+_JSON = "CASE doc_id % 9 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(_VALUES)) + " END"
+TYPES = {"type": "object", "properties": {"s": {"type": "string", "minLength": 1}, "n": {"type": "integer"}, "at": {"type": "string", "format": "date-time"}, "o": {"type": ["object", "null"]}}}
+
+
+@query(f"""WITH j AS (SELECT doc_id, ('{{"s": ' || {_JSON} || ', "n": ' || {_JSON} || ', "o": ' || {_JSON} || ', "at": "' || CASE WHEN doc_id % 2 = 0 THEN '2024-01-02T03:04:05Z' ELSE '2024-01-02' END || '"}}')::JSON AS j FROM documents)
+    SELECT doc_id, '$.s' AS path, 'is not of type string' AS message FROM j WHERE json_type(j, '$.s') <> 'VARCHAR' UNION ALL SELECT doc_id, '$.s', 'is shorter than 1' FROM j WHERE json_type(j, '$.s') = 'VARCHAR' AND length(j ->> '$.s') < 1
+    UNION ALL SELECT doc_id, '$.n', 'is not of type integer' FROM j WHERE NOT (json_type(j, '$.n') IN ('UBIGINT', 'BIGINT') OR json_type(j, '$.n') = 'DOUBLE' AND TRY_CAST(j ->> '$.n' AS DOUBLE) = floor(TRY_CAST(j ->> '$.n' AS DOUBLE)))
+    UNION ALL SELECT doc_id, '$.o', 'is not of type object, null' FROM j WHERE json_type(j, '$.o') NOT IN ('OBJECT', 'NULL')
+    UNION ALL SELECT doc_id, '$.at', 'is not a date-time' FROM j WHERE NOT regexp_matches(j ->> '$.at', '^\\d{{4}}-\\d{{2}}-\\d{{2}}[Tt ]\\d{{2}}:\\d{{2}}:\\d{{2}}(\\.\\d+)?([Zz]|[+-]\\d{{2}}:\\d{{2}})$')""")
+def json_schema_types(spark, sf_dir):
+    v = F.expr(_JSON)
+    at = F.when(F.col("doc_id") % 2 == 0, "2024-01-02T03:04:05Z").otherwise("2024-01-02")
+    value = F.concat(F.lit('{"s": '), v, F.lit(', "n": '), v, F.lit(', "o": '), v, F.lit(', "at": "'), at, F.lit('"}'))
+    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), TYPES, "value", "doc_id")
+
+
+@query("SELECT doc_id, '$' AS path, 'is not JSON' AS message FROM documents WHERE doc_id % 4 = 0")
+def malformed_json(spark, sf_dir):
+    value = F.when(F.col("doc_id") % 4 == 0, '{"a": 1').otherwise('{"a": 1}')
+    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), {"type": "object"}, "value", "doc_id")
+
+
+@query("SELECT 'expected 7 files, found ' || count(*) AS message FROM documents HAVING count(*) <> 7")
+def expected_number(spark, sf_dir):
+    return validate.count_error(_t(spark, sf_dir, "documents"), 7)
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def repeated_keys(spark, sf_dir):
+    return validate.repeated_keys(_t(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
 # --- patterns
 
 
@@ -442,20 +464,6 @@ def graph_totals(spark, sf_dir):
 # --- vectors
 
 
-@query("""SELECT c_custkey || ':orders' AS id, c_name || ' orders: ' || string_agg('status: ' || o_orderstatus || '; priority: ' || o_orderpriority, ' | ' ORDER BY o_orderkey) AS document FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""")
-def section_documents(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_orderpriority"))).alias("items"))
-    shown = F.array_join(F.transform("items", lambda x: F.concat_ws("; ", F.concat(F.lit("status: "), x["o_orderstatus"]), F.concat(F.lit("priority: "), x["o_orderpriority"]))), " | ")
-    rows = _t(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"))
-    return rows.select(F.concat(F.col("c_custkey").cast("string"), F.lit(":orders")).alias("id"), F.concat("c_name", F.lit(" orders: "), shown).alias("document"))
-
-
-@query("SELECT conv_id || '_' || turn AS id, CASE WHEN role = 'user' THEN text ELSE role || ' | ' || text END AS document FROM conversations WHERE trim(text) <> ''")
-def block_documents(spark, sf_dir):
-    body = vector.block_text(F.when(F.col("role") == "user", "text").otherwise("image"), F.col("text"), F.col("role"), F.col("text"))
-    return _t(spark, sf_dir, "conversations").where("trim(text) != ''").select(F.concat_ws("_", "conv_id", "turn").alias("id"), body.alias("document"))
-
-
 def _topk(where: str, k: int) -> str:
     return f"""WITH q AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE {where}),
     d AS (SELECT query_id, vec_id, 1 - list_dot_product(embedding::DOUBLE[], v::DOUBLE[]) / (sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_dot_product(v::DOUBLE[], v::DOUBLE[]))) AS distance FROM embeddings JOIN q ON true),

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
-from ..operators import graph, parse, provenance, vector
-from ..sources import sinks
+from ..operators import graph, layout, parse, provenance, vector
+from ..sources import readers, sinks
 from .registry import query, table
 
 #: One row for each order, numbered for its customer: supplier and part are the smallest of its lines.
@@ -310,3 +310,117 @@ def text_search_sections(spark, sf_dir):
 def text_search_blocks(spark, sf_dir):
     blocks = table(spark, sf_dir, "conversations").where("trim(text) != ''").select(F.concat_ws("_", "conv_id", "turn").alias("id"), F.col("text").alias("document"))
     return vector.search_text(blocks, blocks.orderBy("id").first()["document"]).select("id", "rank", "distance", "document")
+
+
+@query(f"WITH {_ORDERS} SELECT cand || '_proj_' || k AS id, '[\"' || p_name || '\", \"' || p_brand || '\"]' AS technologies, 'In ' || st AS description FROM c JOIN j ON c.ck = j.ck WHERE k IS NOT NULL")
+def project_properties(spark, sf_dir):
+    nodes = graph.merge_nodes(graph.domain_graph(_records(spark, sf_dir))[0]).where("label = 'Project'")
+    return nodes.select("id", F.col("properties")["technologies"].alias("technologies"), F.col("properties")["description"].alias("description"))
+
+
+@query("SELECT c_custkey::VARCHAR AS stem, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE NULL END AS images FROM customer")
+def records_with_images(spark, sf_dir):
+    records = _records(spark, sf_dir)
+    image = F.from_json(F.lit('[{"image_id": "i", "kind": "photo"}]'), dict(records.dtypes)["images"])
+    return sinks.with_images(records, records.where(F.col("stem").cast("long") % 2 == 0).select("stem", image.alias("images"))).select("stem", F.when(F.col("images").isNotNull(), F.size("images")).alias("images"))
+
+
+@query("SELECT event_id, CASE WHEN value > 50 THEN 'true' WHEN value <= 50 THEN 'false' ELSE '' END AS high, coalesce(event_type, '') AS kind, user_id::VARCHAR AS who FROM events")
+def csv_values(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("value") > 50).alias("high"), F.col("event_type").alias("kind"), F.col("user_id").alias("who"))
+    return rows.select("event_id", *[text.csv_value(F.col(c), kind).alias(c) for c, kind in rows.dtypes if c != "event_id"])
+
+
+# --- pages of words
+
+
+@query("""SELECT conv_id AS document_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) || chr(10) || chr(10) || '[EMBEDDED LINKS]' || chr(10) || (SELECT string_agg(role, chr(10) ORDER BY first) FROM (SELECT role, min(turn) AS first FROM conversations b WHERE b.conv_id = a.conv_id GROUP BY role)) AS text FROM conversations a GROUP BY conv_id""")
+def pages_with_links(spark, sf_dir):
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("document_id"), F.col("turn").alias("page_number"), "text", F.array("role").alias("uris"))
+    return readers.text_with_links(pages)
+
+
+@query("SELECT p_partkey, p_size * 10 AS width, 200 - p_size AS height FROM part WHERE p_size * 10 >= 120 AND 200 - p_size >= 120")
+def large_images(spark, sf_dir):
+    return readers.large_images(table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 10).alias("width"), (200 - F.col("p_size")).alias("height")))
+
+
+@query("SELECT l_orderkey, string_agg(l_returnflag || ' | ' || CASE WHEN l_partkey % 5 = 0 THEN '' ELSE l_partkey::VARCHAR END, chr(10) ORDER BY l_linenumber, l_partkey, l_returnflag) AS text FROM lineitem GROUP BY 1")
+def table_texts(spark, sf_dir):
+    cells = F.array("l_returnflag", F.when(F.col("l_partkey") % 5 != 0, F.col("l_partkey").cast("string")))
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag", cells.alias("cells")))), lambda x: x.cells).alias("rows"))
+    return rows.select("l_orderkey", layout.table_text(F.col("rows")).alias("text"))
+
+
+#: Words of a document for each order: a line's words are up to one unit apart, its neighbours twenty. Lines in capitals are
+#: headings where they are bold or not smaller than their page's median.
+_WORDS = """w AS (SELECT l_orderkey::VARCHAR AS d, CASE WHEN l_linenumber > 4 THEN 2 ELSE 1 END AS page, l_linenumber AS line, CASE WHEN l_partkey % 2 = 0 THEN 'W' ELSE 'w' END || l_partkey AS word, l_suppkey::DOUBLE AS x0, l_linenumber * 20 + (l_partkey % 3) * 0.5 AS top, (8 + l_suppkey % 3)::DOUBLE AS size, CASE l_returnflag WHEN 'R' THEN 'X-Bold' ELSE 'X' END AS font FROM lineitem),
+    m AS (SELECT d, page, median(size) AS body FROM w GROUP BY 1, 2),
+    l AS MATERIALIZED (SELECT d, page, line, string_agg(word, ' ' ORDER BY x0, top, word) AS text, min(x0) AS x0, min(top) AS top, max(x0) + 5 AS x1, max(top) + 8 AS bottom, max(size) AS font_size, bool_or(font = 'X-Bold') AS bold, array_to_string(list_sort(list(DISTINCT font)), ',') AS fonts, any_value(body) AS body_size FROM w JOIN m USING (d, page) GROUP BY d, page, line)"""
+_BLOCKS = f"""{_WORDS}, o AS (SELECT *, row_number() OVER (PARTITION BY d, page ORDER BY top, x0, line) AS ro, CASE WHEN length(regexp_replace(text, '[^W]', '', 'g'))::DOUBLE / length(regexp_replace(text, '[^Ww]', '', 'g')) >= 0.85 AND len(string_split(text, ' ')) <= 7 AND (bold OR font_size >= body_size) OR bold AND font_size >= body_size + 1.5 AND len(string_split(text, ' ')) <= 6 THEN lower(replace(text, ' ', '_')) END AS heading FROM l),
+    s AS MATERIALIZED (SELECT *, sum((heading IS NOT NULL)::INT) OVER (PARTITION BY d ORDER BY page, ro) + (first_value(heading IS NULL) OVER (PARTITION BY d ORDER BY page, ro))::INT AS number FROM o),
+    b AS MATERIALIZED (SELECT *, d || '_page_' || page AS page_id, d || '_page_' || page || '_block_' || ro AS block_id, d || '_section_' || number AS section_id FROM s),
+    z AS MATERIALIZED (SELECT d, section_id, coalesce(arg_min(coalesce(heading, ''), page * 1000 + ro), '') AS heading, arg_min(text, page * 1000 + ro) AS first, min(page) AS start_page, string_agg(block_id, ',' ORDER BY page, ro) AS block_ids FROM b GROUP BY 1, 2)"""
+
+
+def _word_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = F.col("l_linenumber") * 20 + (F.col("l_partkey") % 3) * 0.5
+    word = F.concat(F.when(F.col("l_partkey") % 2 == 0, "W").otherwise("w"), F.col("l_partkey").cast("string"))
+    x0 = F.col("l_suppkey").cast("double")
+    words = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("document_id"), F.when(F.col("l_linenumber") > 4, 2).otherwise(1).alias("page_number"), word.alias("text"), x0.alias("x0"), top.alias("top"), (x0 + 5).alias("x1"), (top + 8).alias("bottom"),
+        (8 + F.col("l_suppkey") % 3).cast("double").alias("size"), F.when(F.col("l_returnflag") == "R", "X-Bold").otherwise("X").alias("fontname"),
+    )
+    return layout.lines(words)
+
+
+def _structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.structure(_word_lines(spark, sf_dir).select("document_id", "page_number", F.lit("text").alias("type"), "text", "x0", "top", "x1", "bottom", "font_size", "bold", "body_size", F.col("line").alias("position")))
+
+
+@query(f"WITH {_WORDS} SELECT d AS document_id, page AS page_number, text, x0, top::DOUBLE AS top, x1, bottom::DOUBLE AS bottom, font_size, bold, fonts, body_size FROM l")
+def word_lines(spark, sf_dir):
+    return _word_lines(spark, sf_dir).select("document_id", "page_number", "text", "x0", "top", "x1", "bottom", "font_size", "bold", F.array_join("font_names", ",").alias("fonts"), "body_size")
+
+
+@query(f"WITH {_BLOCKS} SELECT block_id, page_id, section_id, ro::INT AS reading_order, CASE WHEN heading IS NULL THEN 'text' ELSE 'heading' END AS type, heading AS heading_type FROM b")
+def page_structure(spark, sf_dir):
+    return _structure(spark, sf_dir).select("block_id", "page_id", "section_id", "reading_order", "type", "heading_type")
+
+
+@query(f"WITH {_BLOCKS} SELECT section_id, CASE WHEN heading = '' THEN 'Document header' ELSE first END AS title, CASE WHEN heading = '' THEN 'header' ELSE heading END AS normalized_type, start_page, block_ids FROM z")
+def page_sections(spark, sf_dir):
+    return layout.sections(_structure(spark, sf_dir)).select("section_id", "title", "normalized_type", "start_page", F.array_join("block_ids", ",").alias("block_ids"))
+
+
+def _documents(blocks: DataFrame) -> DataFrame:
+    return blocks.select("document_id").distinct().select("document_id", F.concat("document_id", F.lit(".pdf")).alias("source_file"), F.sha2("document_id", 256).alias("source_sha256"))
+
+
+#: The second block of each page stands for a picture, with the block before and the one after as its context.
+_PICTURES = "v AS (SELECT *, ro = 2 AS picture, CASE WHEN ro = 2 THEN 'img_' || block_id ELSE block_id END AS node FROM b)"
+
+
+@query(f"""WITH {_BLOCKS}, {_PICTURES} SELECT DISTINCT 'resume_' || substr(sha256(d), 1, 16) AS src, 'HAS_PAGE' AS type, page_id AS dst FROM b UNION ALL SELECT 'resume_' || substr(sha256(d), 1, 16), 'HAS_SECTION', section_id FROM z
+    UNION ALL SELECT page_id, 'HAS_BLOCK', node FROM v UNION ALL SELECT section_id, 'HAS_BLOCK', node FROM v
+    UNION ALL SELECT * FROM (SELECT node, 'NEXT_BLOCK', lead(node) OVER (PARTITION BY d ORDER BY page, ro) AS next FROM v) WHERE next IS NOT NULL
+    UNION ALL SELECT p.node, 'HAS_CONTEXT', x.node FROM v p JOIN v x ON p.page_id = x.page_id AND x.ro IN (1, 3) WHERE p.picture""")
+def document_graph_edges(spark, sf_dir):
+    blocks = _structure(spark, sf_dir)
+    context = F.transform(F.array(F.lit(1), F.lit(3)), lambda n: F.concat("page_id", F.lit("_block_"), n.cast("string")))
+    pictured = F.col("reading_order") == 2
+    blocks = blocks.withColumns({"type": F.when(pictured, "image").otherwise(F.col("type")), "image_id": F.when(pictured, F.concat(F.lit("img_"), "block_id")), "context_block_ids": F.when(pictured, context)})
+    pages = blocks.select("document_id", "page_id", "page_number").distinct().select("*", F.lit(100.0).alias("width"), F.lit(100.0).alias("height"), F.lit("").alias("raw_text"))
+    _, edges = graph.document_graph(_documents(blocks), pages, layout.sections(blocks), blocks)
+    return graph.merge_edges(edges).select("src", "type", "dst")
+
+
+@query(f"WITH {_BLOCKS} SELECT block_id AS id, text AS document, b.d || '.pdf' AS source_file, CASE WHEN z.heading = '' THEN 'Document header' ELSE first END AS section_title FROM b JOIN z USING (section_id)")
+def block_documents(spark, sf_dir):
+    blocks = _structure(spark, sf_dir)
+    return vector.block_documents(blocks, layout.sections(blocks), _documents(blocks)).select("id", "document", "metadata.source_file", "metadata.section_title")
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{a}', '{b}')" for t, (left, right) in graph.RELATIONSHIPS.items() for a in left for b in right) + ") AS v(type, from_label, to_label)")
+def relationship_definitions(spark, sf_dir):
+    return graph.definitions(spark)
