@@ -54,3 +54,23 @@ def test_a_vocabulary_with_gaps_is_refused(ranks):
     known = bpe.read_ranks(ranks[0])
     with pytest.raises(ValueError):
         bpe.ByteBpe({k: v for k, v in known.items() if v != 5}, ranks[1])
+
+
+def test_query_against_the_library(spark, encoding):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.op1_byte_bpe(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        ids = encoding.encode_ordinary(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_decoding_of_rows(spark, ranks, encoding):
+    """Null ids, no ids, bytes that aren't UTF-8, and a column with the name of the result."""
+    broken = encoding.encode_ordinary("é")[:1] if len(encoding.encode_ordinary("é")) > 1 else [next(i for b, i in encoding._mergeable_ranks.items() if b == b"\xc3")]
+    rows = [(1, encoding.encode_ordinary("a b\n漢"), "old"), (2, None, "old"), (3, [], "old"), (4, broken, None)]
+    found = bpe.decode(spark.createDataFrame(rows, "doc_id long, token_ids array<int>, decoded string"), ranks[0])
+    assert found.columns == ["doc_id", "token_ids", "decoded"]
+    assert {r["doc_id"]: r["decoded"] for r in found.collect()} == {1: "a b\n漢", 2: None, 3: "", 4: "�"}
