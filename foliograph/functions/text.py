@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 #: Default of :func:`name_from_header`.
 NO_NAME = "Unknown Candidate"
-_ENDS = r"(?U)^\s+|\s+$"
+#: White space: what ASCII and Unicode count as such, the four separators of ASCII included.
+_WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _LINES = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 _MARKER = r"(?m)^\[([A-Z]+)\][ \t]*$"
 
 
 def strip(c: Column) -> Column:
-    """Without white space, Unicode's included, at both ends."""
-    return F.regexp_replace(c, _ENDS, "")
+    """Without white space, Unicode's included, at both ends; only the ends are looked at."""
+    return F.btrim(c, F.lit(_WHITE))
 
 
 def text_or_empty(c: Column) -> Column:

@@ -21,7 +21,7 @@ LINE_GAP, CONTEXT_BLOCKS, CAPTION_GAP, DEFAULT_SIZE = 3, 3, 70, 10.0
 def heading_type(line: Column, bold: Column, size: Column, body_size: Column) -> Column:
     """The section type that a line opens, or null: known headings, then short lines in capitals, then short bold lines
     in a larger size."""
-    core = F.regexp_replace(text.strip(line), ":+$", "")
+    core = F.rtrim(text.strip(line), F.lit(":"))
     known = F.regexp_replace(F.lower(core), r"\s+", " ")
     # a line of hundreds of words is told by its first few, before anything is counted in it
     words = F.size(F.filter(F.split(core, r"\s+", 10), lambda w: w != ""))

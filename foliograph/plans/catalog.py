@@ -29,7 +29,7 @@ def _norm(c: str) -> str:
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return rows.select("doc_id", (F.col("pos") + 1).alias("reading_order"), F.regexp_replace("line", r"^[ \t]+|[ \t]+$", "").alias("block")).where("block != ''")
+    return rows.select("doc_id", (F.col("pos") + 1).alias("reading_order"), F.btrim("line", F.lit(" \t")).alias("block")).where("block != ''")
 
 
 @query(f"WITH {_BLOCKS} SELECT doc_id, reading_order, block FROM blocks")
