@@ -487,6 +487,15 @@ def vector_topk_batch(spark, sf_dir):
     return _search(spark, sf_dir, "vec_id % 20 = 0", 5)
 
 
+@query(None)
+def vector_index_topk(spark, sf_dir):
+    """The same by an index over all rows; approximate, so a test holds its recall against the exact search."""
+    rows = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    queries = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found = vector.centres(rows, id="vec_id")
+    return vector.probe(vector.with_cells(rows, found), queries, found, 5, id="vec_id").select("query_id", "vec_id", "rank", (F.round("distance", 6) + 0.0).alias("distance"))
+
+
 @query("SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN -1 ELSE label END AS label FROM embeddings UNION ALL SELECT vec_id + 1000000, -1 FROM embeddings WHERE vec_id % 5 = 0")
 def vector_upsert(spark, sf_dir):
     old = _t(spark, sf_dir, "embeddings").select("vec_id", "label")
