@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact, html, langid, linededup, sharding, simhash, toxicity, urls
+from . import bpe, conversations, decontam, exact, html, langid, linededup, sharding, simhash, toxicity, urls
 from .common import table
 
 
@@ -82,6 +82,10 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), toxicity_chain(spark, sf_dir))
 
 
+def op11_viterbi_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")), F.col("lost"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,12 +99,83 @@ QUERIES = {
         op8_cuckoo_line_dedup,
         op9_patricia_exact_dedup,
         op10_toxicity_chain,
+        op11_viterbi_conversation_repair,
     )
 }
 
 _WHITE = r"[\x20\x09-\x0D]+"
 
+
+
+def _repair_sql() -> str:
+    """The search as a recursion over each conversation's rows; a state is 'cost:audit' with nine digits, so that the least
+    string is the cheapest path."""
+
+    def path(state: str, cost: int | str, edit: str) -> str:
+        return f"lpad(CAST(CAST(left({state}, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({state}, 10) || '{edit}'"
+
+    def kept(initial: str, *states: str) -> list[str]:
+        return [f"CASE WHEN NOT gone THEN {path(p, '3 + extra', 'R')} END" for p in states] + [f"CASE WHEN NOT gone AND initial = '{initial}' THEN {path(p, 'extra', 'K')} END" for p in states]
+
+    def least(*options: str) -> str:
+        return f"least({', '.join(options)})"
+
+    closing = f"""
+            SELECT conv_id, n, p0, p1, u AS p2, least(a, {path("u", 3, "I")}) AS p3 FROM (
+                SELECT conv_id, n, p0, p1, {least("u", *(path(p, 3, "I") for p in ("p0", "p1", "a")))} AS u, a"""
+    return rf"""
+        WITH RECURSIVE keyed AS (
+            SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+        ), struck AS (
+            SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+                lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS kind FROM keyed
+        ), damaged AS (
+            SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text
+            FROM struck, (VALUES (0), (1)) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+        ), lines AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, left(role, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS e
+            FROM damaged
+        ), repeats AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again FROM lines
+        ), faulty AS (
+            SELECT *, CASE WHEN e = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(e, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+                lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial NOT IN ('su', 'ua', 'au') AS illegal
+            FROM repeats
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, count(*) AS n
+            FROM faulty GROUP BY conv_id
+        ), judged AS (
+            SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS gone, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM faulty
+        ), search AS (
+            {closing} FROM (SELECT conv_id, 0::BIGINT AS n, '000000000:' AS p0, NULL::VARCHAR AS p1, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM counted))
+            UNION ALL
+            {closing} FROM (
+                SELECT j.conv_id, j.n, {path("p0", 4, "D")} AS p0, {least(path("p1", 4, "D"), f"CASE WHEN NOT gone AND initial = 's' THEN {path('p0', 'extra', 'K')} END")} AS p1,
+                    {least(path("p2", 4, "D"), *kept("u", "p0", "p1", "p3"))} AS u, {least(path("p3", 4, "D"), *kept("a", "p2"))} AS a
+                FROM search AS s JOIN judged AS j ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND j.n = s.n + 1))
+        ), cheapest AS (
+            SELECT c.*, least(p0, p3) AS best FROM counted AS c JOIN search AS s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.n = c.n
+        ), edits AS (
+            SELECT conv_id, unnest(string_split(substr(best, 11), '')) AS edit, generate_subscripts(string_split(substr(best, 11), ''), 1) AS i FROM cheapest
+        ), placed AS (
+            SELECT *, sum(CASE edit WHEN 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY i) AS n FROM edits
+        ), outs AS (
+            SELECT p.conv_id, i, edit, role, CASE edit WHEN 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY p.conv_id ORDER BY i) AS k, edit = 'K' AND initial = 's' AS opens
+            FROM placed AS p LEFT JOIN judged AS j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.n = p.n WHERE edit IN ('K', 'R', 'I')
+        ), told AS (
+            SELECT conv_id, i, CASE WHEN edit = 'K' THEN role WHEN (k - CASE WHEN bool_or(opens) OVER (PARTITION BY conv_id) THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text AS line FROM outs
+        ), joined AS (
+            SELECT conv_id, string_agg(line, chr(10) ORDER BY i) AS whole FROM told GROUP BY conv_id
+        )
+        SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+            coalesce(CAST(left(best, 9) AS BIGINT), 0) AS cost, coalesce(substr(best, 11), '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS ids LEFT JOIN cheapest AS c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN joined AS t ON t.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
 SQL = {
+    "op11_viterbi_conversation_repair": _repair_sql(),
     "op8_cuckoo_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, unnest(split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
