@@ -27,12 +27,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/foliograph/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there, so a lost executor
-    costs no recomputation of what came before, and all readers see the same rows."""
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet, with the writer's ``options``, in the shared folder and read it back: the lineage ends there,
+    so a lost executor costs no recomputation of what came before, and all readers see the same rows."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
     return out

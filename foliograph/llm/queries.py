@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, decontam, exact, html, langid, linededup, sharding, simhash, toxicity, urls
+from . import bpe, conversations, decontam, exact, html, langid, linededup, packing, sharding, simhash, toxicity, urls
 from .common import table
 
 
@@ -16,6 +16,14 @@ def ranks() -> tuple[bytes, str]:
         return file.read(), public_tokenizers.PATTERN
 
 
+def definition(name: str) -> str:
+    """The content of a public tokenizer's file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), *ranks(), keep=["doc_id"], ids=False, digests=True)
 
@@ -86,6 +94,10 @@ def op11_viterbi_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFr
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")), F.col("lost"))
 
 
+def op12_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), definition("word_bpe_49k.json"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,6 +112,7 @@ QUERIES = {
         op9_patricia_exact_dedup,
         op10_toxicity_chain,
         op11_viterbi_conversation_repair,
+        op12_hilbert_packing,
     )
 }
 
