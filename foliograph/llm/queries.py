@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, decontam, exact, html, langid, linededup, packing, sharding, simhash, toxicity, urls
+from . import alignment, bpe, conversations, decontam, exact, html, langid, linededup, packing, sharding, simhash, toxicity, urls
 from .common import table
 
 
@@ -98,6 +98,14 @@ def op12_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), definition("word_bpe_49k.json"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return alignment.alignment(table(spark, sf_dir, "documents"), definition("byte_bpe_50k.json"), model)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -113,6 +121,7 @@ QUERIES = {
         op10_toxicity_chain,
         op11_viterbi_conversation_repair,
         op12_hilbert_packing,
+        op13_token_alignment,
     )
 }
 
