@@ -34,7 +34,7 @@ from .bpe import SPACED_PATTERN
 from .common import written
 
 #: Characters of text in a chunk; distinct parts whose ids a task remembers before it starts anew.
-CHUNK, CACHE = 4_000_000, 1_000_000
+CHUNK, CACHE = 1_500_000, 250_000
 #: Pairs whose counts are broadcast (some 50 bytes each).
 MOST = 2_000_000
 #: A pair of ids as one number: the first times this, plus the second.
