@@ -73,8 +73,10 @@ def coordinates(ids: list[np.ndarray], onto: np.ndarray) -> np.ndarray:
     """Of each document's ids the hashed vector of dampened counts, of length one, projected."""
     out = np.zeros((len(ids), DIMENSIONS))
     for i, own in enumerate(ids):
-        weights = np.log1p(np.bincount(own.astype(np.uint32) * np.uint32(2654435761) >> np.uint32(20), minlength=FEATURES), dtype=np.float32)
-        out[i] = weights @ onto / max(float(np.sqrt(weights @ weights)), 1e-9)
+        counts = np.bincount(own.astype(np.uint32) * np.uint32(2654435761) >> np.uint32(20))
+        met = np.flatnonzero(counts)
+        weights = np.log1p(counts[met], dtype=np.float32)
+        out[i] = weights @ onto[met] / max(float(np.sqrt(weights @ weights)), 1e-9)
     return out
 
 
