@@ -2,14 +2,15 @@
 
 Python only tokenises. A chunk of texts is cut at lone spaces and line feeds, which end a token of either tokenizer, and each
 distinct part is tokenised once: two arrays of ids and two of byte offsets at which the tokens end. All else is Spark's array
-functions. Offsets where tokens of both end, ``array_intersect``, cut a part into groups. How many ends of one array lie
-below each of another's is read off their sorted union, so that every token finds its group and the first and last token that
-overlaps it without a search; ``sequence`` and ``transform`` then list the links, and ``transform`` and ``aggregate`` put
-together each text's groups and sums. A part with n tokens costs n log n, whatever its length.
+functions. Offsets where tokens of both end, ``array_intersect``, cut a part into groups, whose tokens are looked up by their
+ends; ``sequence`` and ``transform`` list the links, and ``transform`` and ``aggregate`` put together each text's groups, links
+and sums. In a part of more than ``FEW`` tokens, how many ends of one array lie below each of another's is read off their
+sorted union, so that every token finds its group and the first and last token that overlaps it without a search: n tokens
+cost n log n. Either way gives the same rows.
 
 The links' counts over all texts are summed before they are shuffled. To look a pair's count up, the pairs met most often,
 ``MOST`` at most, are broadcast, and only links of rarer pairs are shuffled to theirs: no pair is met by more than its rare
-share of links there. What is gathered by chunk is bounded by its size (or one text's, if that is longer).
+share of links there. A chunk is bounded by its characters (or one text's, if that is longer).
 
 Results for special cases: a text that is null or empty, or whose tokens' bytes aren't a space and the text's own, has no
 tokens, zeros and the groups ''. Ids of documents, null or repeated, are carried along: each row has its own result. Other
@@ -34,7 +35,9 @@ from .bpe import SPACED_PATTERN
 from .common import written
 
 #: Characters of text in a chunk; distinct parts whose ids a task remembers before it starts anew.
-CHUNK, CACHE = 1_500_000, 250_000
+CHUNK, CACHE = 2_500_000, 250_000
+#: Tokens of a part that are looked up one by one.
+FEW = 64
 #: Pairs whose counts are broadcast (some 50 bytes each).
 MOST = 2_000_000
 #: A pair of ids as one number: the first times this, plus the second.
@@ -123,7 +126,7 @@ class Pair:
             self.known[part] = (a, b) if right else None
 
     def chunk(self, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-        """One row: the distinct ``parts`` with their tokens and number, and the ``docs`` as places among them."""
+        """One row: the distinct ``parts`` with their tokens, and the ``docs`` as places among them."""
         if len(self.known) > CACHE:
             self.known.clear()
         column = pa.array(texts, pa.large_string())
@@ -146,7 +149,6 @@ class Pair:
             kept = ~np.isin(of_doc, of_doc[unfit[places]])
             used, places = np.unique(places[kept], return_inverse=True)
             found, of_doc = [found[i] for i in used], of_doc[kept]
-        times = np.bincount(places, minlength=len(found))
         numbers, arrays = [], []
         for k, lengths in enumerate(self.lengths):
             blobs = [f[k] for f in found]
@@ -158,16 +160,16 @@ class Pair:
             numbers.append(pa.array(np.bincount(of_doc, sizes[places], len(texts)).astype(np.int64)))
         bounds = np.concatenate([[0], np.cumsum(np.bincount(of_doc, minlength=len(texts)))]).astype(np.int32)
         docs = pa.StructArray.from_arrays([doc_ids, pa.ListArray.from_arrays(pa.array(bounds), pa.array(places.astype(np.int32))), *numbers], ["doc_id", "places", "n_a", "n_b"])
-        rows = pa.StructArray.from_arrays([*arrays, pa.array(times)], ["a_ids", "a_ends", "b_ids", "b_ends", "times"])
+        rows = pa.StructArray.from_arrays(arrays, ["a_ids", "a_ends", "b_ids", "b_ends"])
         return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (rows, docs)], names=["parts", "docs"])
 
 
 def tokenised(df: DataFrame, definition: str, model: bytes, text: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """Rows of ``chunk`` characters of text: distinct ``parts`` (a_ids, a_ends, b_ids, b_ends, times) and ``docs`` (doc_id,
+    """Rows of ``chunk`` characters of text: distinct ``parts`` (a_ids, a_ends, b_ids, b_ends) and ``docs`` (doc_id,
     places among the parts, n_a, n_b)."""
     rows = df.select("doc_id", F.col(f"`{text}`").alias("text"))
     numbers = T.ArrayType(T.IntegerType(), False)
-    parts = T.StructType([*(T.StructField(c, numbers) for c in ("a_ids", "a_ends", "b_ids", "b_ends")), T.StructField("times", T.LongType())])
+    parts = T.StructType([T.StructField(c, numbers) for c in ("a_ids", "a_ends", "b_ids", "b_ends")])
     docs = T.StructType([rows.schema["doc_id"], T.StructField("places", numbers), T.StructField("n_a", T.LongType()), T.StructField("n_b", T.LongType())])
     schema = T.StructType([T.StructField("parts", T.ArrayType(parts)), T.StructField("docs", T.ArrayType(docs))])
 
@@ -214,10 +216,42 @@ def b_of(pair: Column) -> Column:
 
 def text_of(ids: Column, since: Column, until: Column) -> Column:
     """The ids at these places, joined by commas."""
-    return F.array_join(F.transform(F.sequence(since, until), lambda i: ids[i].cast("string")), ",")
+    return F.when(since == until, ids[until].cast("string")).otherwise(F.array_join(F.transform(F.sequence(since, until), lambda i: ids[i].cast("string")), ","))
 
 
-def aligned(part: Column) -> Column:
+def looked_up(part: Column) -> Column:
+    """``aligned`` of a part of few tokens."""
+    a, b, a_ends, b_ends = part["a_ids"], part["b_ids"], part["a_ends"], part["b_ends"]
+
+    def place(ends: Column, cut: Column) -> Column:
+        return F.array_position(ends, cut).cast("int")
+
+    def bounds(cuts: Column) -> Column:
+        def group(cut: Column, g: Column) -> Column:
+            since = lambda ends: F.when(g == 0, 0).otherwise(place(ends, cuts[g - 1]))
+            return F.struct(since(a_ends).alias("i"), (place(a_ends, cut) - 1).alias("i_"), since(b_ends).alias("j"), (place(b_ends, cut) - 1).alias("j_"))
+
+        return F.transform(cuts, group)
+
+    def links(g: Column) -> Column:
+        begin = lambda ends, k: F.when(k == 0, 0).otherwise(ends[k - 1])
+        meet = lambda i: F.filter(F.sequence(g["j"], g["j_"]), lambda j: (begin(b_ends, j) < a_ends[i]) & (begin(a_ends, i) < b_ends[j]))
+        one_a, one_b = g["i"] == g["i_"], g["j"] == g["j_"]
+        return (
+            F.when(one_a & one_b, F.array(pair_of(a[g["i"]], b[g["j"]])))
+            .when(one_a, F.transform(F.sequence(g["j"], g["j_"]), lambda j: pair_of(a[g["i"]], b[j])))
+            .when(one_b, F.transform(F.sequence(g["i"], g["i_"]), lambda i: pair_of(a[i], b[g["j"]])))
+            .otherwise(F.flatten(F.transform(F.sequence(g["i"], g["i_"]), lambda i: F.transform(meet(i), lambda j: pair_of(a[i], b[j])))))
+        )
+
+    def found(groups: Column) -> Column:
+        texts = F.transform(groups, lambda g: F.concat(text_of(a, g["i"], g["i_"]), F.lit("|"), text_of(b, g["j"], g["j_"])))
+        return F.struct(F.size(groups).alias("n_groups"), F.array_join(texts, ";").alias("groups"), F.flatten(F.transform(groups, links)).alias("links"))
+
+    return let(F.array_intersect(a_ends, b_ends), lambda cuts: let(bounds(cuts), found))
+
+
+def aligned(part: Column, few: int = FEW) -> Column:
     """Of a part (a_ids, a_ends, b_ids, b_ends): ``n_groups``, ``groups`` ('a1,a2|b1;a3|b2,b3') and ``links``, pairs of ids of
     tokens that overlap."""
     a, b, a_ends, b_ends = part["a_ids"], part["b_ids"], part["a_ends"], part["b_ends"]
@@ -248,75 +282,59 @@ def aligned(part: Column) -> Column:
     )
     cuts = F.array_intersect(a_ends, b_ends)
     several = let(cuts, lambda cuts: let(below(a_ends, b_ends), lambda last: let(below(cuts, a_ends), lambda ending: placed(cuts, last, ending))))
-    return F.when((F.size(a) == 1) | (F.size(b) == 1), alone).when(F.size(a) > 1, several)
+    return F.when((F.size(a) == 1) | (F.size(b) == 1), alone).when(F.size(a) + F.size(b) <= few, looked_up(part)).when(F.size(a) > 1, several)
 
 
-def align(chunks: DataFrame, digests: bool = False) -> DataFrame:
-    """Rows of two kinds. For each document doc_id, ``places``, n_a, n_b, ``n_groups`` and ``groups`` (or their SHA-256, if there
-    are any); for each part of a chunk its place ``part``, ``times`` and ``links``. ``chunk`` tells which belong together."""
-    doc_fields = {f.name: f.dataType for f in chunks.schema["docs"].dataType.elementType}
-    kinds = doc_fields | {"n_groups": T.LongType(), "groups": T.StringType(), "part": T.IntegerType(), "times": T.LongType(), "links": T.ArrayType(T.LongType())}
-
-    def row(**own: Column) -> Column:
-        return F.struct(*[own.get(c, F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
+def align(chunks: DataFrame, digests: bool = False, few: int = FEW) -> DataFrame:
+    """For each document doc_id, ``row``, n_a, n_b, ``n_groups``, ``groups`` (or their SHA-256, if there are any) and all
+    ``links``."""
+    kept = [f.name for f in chunks.schema["docs"].dataType.elementType if f.name != "places"]
 
     def rows(found: Column) -> Column:
         def doc(d: Column) -> Column:
             groups = F.array_join(F.transform(d["places"], lambda p: found[p]["groups"]), ";")
             groups = F.when(F.size(d["places"]) == 0, "").otherwise(F.sha2(groups, 256) if digests else groups)
             sum_ = F.aggregate(d["places"], F.lit(0).cast("bigint"), lambda n, p: n + found[p]["n_groups"])
-            return row(**{c: d[c] for c in doc_fields}, n_groups=sum_, groups=groups)
-
-        def part(p: Column, at: Column) -> Column:
-            return row(part=at, times=F.col("parts")[at]["times"], links=p["links"])
+            links = F.flatten(F.transform(d["places"], lambda p: found[p]["links"]))
+            return F.struct(*[d[c].alias(c) for c in kept], sum_.alias("n_groups"), groups.alias("groups"), links.alias("links"))
 
-        return F.concat(F.transform("docs", doc), F.transform(found, part))
+        return F.transform("docs", doc)
 
-    numbered = chunks.withColumn("chunk", F.monotonically_increasing_id())
-    return numbered.select("chunk", F.inline(let(F.transform("parts", aligned), rows)))
+    docs = chunks.select(F.inline(let(F.transform("parts", lambda p: aligned(p, few)), rows)))
+    return docs.withColumn("row", F.monotonically_increasing_id())
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
     """Of ``align`` rows: ``pair``, ``n`` links that hold it in all texts, ``best``: whether no pair of its b id has more."""
-    counted = rows.where("part is not null").select("times", F.explode("links").alias("pair")).groupBy("pair").agg(F.sum("times").alias("n"))
+    counted = rows.select(F.explode("links").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     return counted.withColumn("best", F.col("n") == F.max("n").over(Window.partitionBy(b_of(F.col("pair")))))
 
 
-def part_scores(rows: DataFrame, pairs: DataFrame, most: int = MOST) -> DataFrame:
-    """Of each part of ``align`` rows (chunk, part): ``n_links``, ``n_best`` and ``count_sum``. ``pairs`` is a written table of
-    ``pair_counts``; those met 2^k times or more are broadcast, for the least k with which they are ``most`` or fewer."""
+def scores(rows: DataFrame, pairs: DataFrame, most: int = MOST) -> DataFrame:
+    """``row``, ``n_links``, ``n_best`` and ``count_sum`` of written ``align`` rows that have links. ``pairs`` is a written table
+    of ``pair_counts``; those met 2^k times or more are broadcast, for the least k with which they are ``most`` or fewer."""
     power = F.floor(F.log2("n")).cast("int")
     sizes = {r["k"]: r["pairs"] for r in pairs.groupBy(power.alias("k")).agg(F.count("*").alias("pairs")).collect()}
     least = next(k for k in range(65) if sum(n for power_, n in sizes.items() if power_ >= k) <= most)
-    each = rows.where("part is not null").select("chunk", "part", F.explode("links").alias("pair"))
-    met = each.join(F.broadcast(pairs.where(power >= least)), "pair").select("chunk", "part", "n", "best")
+    each = rows.select("row", F.explode("links").alias("pair"))
+    met = each.join(F.broadcast(pairs.where(power >= least)), "pair").select("row", "n", "best")
     if any(k < least for k in sizes):
         rare = each.join(F.broadcast(pairs.where(power >= least).select("pair")), "pair", "left_anti")
-        met = met.union(rare.join(pairs.where(power < least).hint("merge"), "pair").select("chunk", "part", "n", "best"))
-    return met.groupBy("chunk", "part").agg(F.count("*").alias("n_links"), F.count_if("best").alias("n_best"), F.sum("n").alias("count_sum"))
-
-
-def scored(rows: DataFrame, scores: DataFrame) -> DataFrame:
-    """The documents of ``align`` rows with the sums of their parts' ``scores``."""
-    sums, doc = ("n_links", "n_best", "count_sum"), [c for c in rows.columns if c not in ("chunk", "part", "times", "links")]
-    docs = rows.where("part is null").select("chunk", F.struct(*doc).alias("doc"), F.lit(None).cast("int").alias("part"), *[F.lit(None).cast("bigint").alias(c) for c in sums])
-    both = docs.unionByName(scores.withColumn("doc", F.lit(None).cast(docs.schema["doc"].dataType)))
-    # every part has links, so the sorted scores are at the parts' places
-    chunk = both.groupBy("chunk").agg(F.collect_list("doc").alias("docs"), F.sort_array(F.collect_list(F.when(F.col("part").isNotNull(), F.struct("part", *sums)))).alias("scores"))
-
-    def result(scores_: Column) -> Column:
-        def total(d: Column, c: str) -> Column:
-            return F.aggregate(d["places"], F.lit(0).cast("bigint"), lambda n, p: n + scores_[p][c])
+        met = met.union(rare.join(pairs.where(power < least).hint("merge"), "pair").select("row", "n", "best"))
+    return met.groupBy("row").agg(F.count("*").alias("n_links"), F.count_if("best").alias("n_best"), F.sum("n").alias("count_sum"))
 
-        return F.transform("docs", lambda d: F.struct(*[d[c].alias(c) for c in doc if c != "places"], *[total(d, c).alias(c) for c in sums]))
 
-    return chunk.select(F.inline(let(F.col("scores"), result)))
+def scored(rows: DataFrame, most: int = MOST) -> DataFrame:
+    """Written ``align`` rows with their ``scores``, zeros where there are no links."""
+    found = scores(rows, written(pair_counts(rows), "pairs"), most)
+    zeros = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_links", "n_best", "count_sum")]
+    kept = [c for c in rows.columns if c not in ("links", "row")]
+    return rows.drop("links").join(found, "row", "left").select(*kept, *zeros)
 
 
 def alignment(df: DataFrame, definition: str, model: bytes) -> DataFrame:
     """Of each row of ``df`` (doc_id, text): doc_id, n_a, n_b, n_groups, n_links, n_best (links whose pair is the one most
     met of its b id), count_sum (of the links' pairs' counts) and groups_sha256. ``definition`` and ``model`` are contents of
     tokenizers' files (some MB at most)."""
-    rows = written(align(tokenised(df, definition, model), digests=True), "aligned", compression="zstd")
-    found = scored(rows, part_scores(rows, written(pair_counts(rows), "pairs")))
+    found = scored(written(align(tokenised(df, definition, model), digests=True), "aligned", compression="zstd"))
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))

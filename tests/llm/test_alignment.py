@@ -90,21 +90,20 @@ def test_against_all_pairs(spark, files, whole):
     want = [(i, *x) for i, x in enumerate(plain(texts, whole))]
     assert sum(x[1] > 0 for x in want) > 300 and sum(x[1] == 0 for x in want) > 20
     assert rows(A.alignment(df, *files)) == want
-    rows_ = A.written(A.align(A.tokenised(df.repartition(3), *files, chunk=500), digests=True), "aligned")
-    pairs = A.written(A.pair_counts(rows_), "pairs")
-    for most in (0, 40):  # no pair broadcast, and the most frequent ones
-        found = A.scored(rows_, A.part_scores(rows_, pairs, most)).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
+    for few, most in ((1, 40), (64, 0)):  # no part looked up, only the most frequent pairs broadcast; no pair broadcast
+        rows_ = A.written(A.align(A.tokenised(df.repartition(3), *files, chunk=500), digests=True, few=few), "aligned")
+        found = A.scored(rows_, most).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
         assert rows(found) == want
 
 
 def test_groups_and_links_themselves(spark, files, whole):
     text = "Überraschung: unbelievably 漢字 \U0001f600!"
     found = A.align(A.tokenised(spark.createDataFrame([(1, text)], "doc_id long, text string"), *files))
-    groups = found.where("part is null").first()["groups"]
+    groups = found.first()["groups"]
     a, b = whole(text)
     assert [i for g in groups.split(";") for i in map(int, g.split("|")[0].split(","))] == [i for i, _ in a]
     assert [i for g in groups.split(";") for i in map(int, g.split("|")[1].split(","))] == [i for i, _ in b]
-    pairs = found.where("part is not null").select(F.explode("links").alias("l")).select((F.col("l") / A.PAIR).cast("long").alias("a"), A.b_of(F.col("l")).alias("b")).collect()
+    pairs = found.select(F.explode("links").alias("l")).select((F.col("l") / A.PAIR).cast("long").alias("a"), A.b_of(F.col("l")).alias("b")).collect()
     assert {r["a"] for r in pairs} == {i for i, _ in a} and {r["b"] for r in pairs} == {i for i, _ in b}
 
 
