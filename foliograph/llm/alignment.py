@@ -35,7 +35,7 @@ from .bpe import SPACED_PATTERN
 from .common import written
 
 #: Characters of text in a chunk; distinct parts whose ids a task remembers before it starts anew.
-CHUNK, CACHE = 2_500_000, 250_000
+CHUNK, CACHE = 2_000_000, 150_000
 #: Tokens of a part that are looked up one by one.
 FEW = 64
 #: Pairs whose counts are broadcast (some 50 bytes each).
@@ -223,15 +223,16 @@ def looked_up(part: Column) -> Column:
     """``aligned`` of a part of few tokens."""
     a, b, a_ends, b_ends = part["a_ids"], part["b_ids"], part["a_ends"], part["b_ends"]
 
-    def place(ends: Column, cut: Column) -> Column:
-        return F.array_position(ends, cut).cast("int")
+    def bounds(ends: Column) -> Column:
+        def group(end: Column, g: Column) -> Column:
+            since = lambda c: F.when(g == 0, 0).otherwise(ends[g - 1][c])
+            return F.struct(since("i").alias("i"), (end["i"] - 1).alias("i_"), since("j").alias("j"), (end["j"] - 1).alias("j_"))
 
-    def bounds(cuts: Column) -> Column:
-        def group(cut: Column, g: Column) -> Column:
-            since = lambda ends: F.when(g == 0, 0).otherwise(place(ends, cuts[g - 1]))
-            return F.struct(since(a_ends).alias("i"), (place(a_ends, cut) - 1).alias("i_"), since(b_ends).alias("j"), (place(b_ends, cut) - 1).alias("j_"))
+        return F.transform(ends, group)
 
-        return F.transform(cuts, group)
+    def until(cut: Column) -> Column:
+        """How many tokens end at the cut or before."""
+        return F.struct(*[F.size(F.filter(ends, lambda e: e <= cut)).alias(c) for c, ends in (("i", a_ends), ("j", b_ends))])
 
     def links(g: Column) -> Column:
         begin = lambda ends, k: F.when(k == 0, 0).otherwise(ends[k - 1])
@@ -248,7 +249,7 @@ def looked_up(part: Column) -> Column:
         texts = F.transform(groups, lambda g: F.concat(text_of(a, g["i"], g["i_"]), F.lit("|"), text_of(b, g["j"], g["j_"])))
         return F.struct(F.size(groups).alias("n_groups"), F.array_join(texts, ";").alias("groups"), F.flatten(F.transform(groups, links)).alias("links"))
 
-    return let(F.array_intersect(a_ends, b_ends), lambda cuts: let(bounds(cuts), found))
+    return let(F.transform(F.array_intersect(a_ends, b_ends), until), lambda ends: let(bounds(ends), found))
 
 
 def aligned(part: Column, few: int = FEW) -> Column:
