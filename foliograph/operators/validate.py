@@ -1,4 +1,4 @@
-"""Validation: a small JSON Schema compiler whose rules are Column predicates, structural checks, gates."""
+"""Validation: a small JSON Schema compiler whose rules are one expression over a parsed text, structural checks, gates."""
 
 from __future__ import annotations
 
@@ -27,74 +27,121 @@ def _is(value: Column, kind: str) -> Column:
     }[kind]
 
 
-def rules(schema: dict, value: Column, path: str = "$", definitions: dict | None = None) -> list[Column]:
-    """Errors of ``value`` (a Variant) as structs (path, message), null where a rule holds. Supported: type (one or a list),
-    required, additionalProperties false, properties, items, minLength, pattern, format, enum, const, minimum, minItems,
-    maxItems, $ref to ``$defs``. Array items are checked together: each of an item's rules is one error for the array."""
-    definitions = definitions if definitions is not None else schema.get("$defs", {})
+def _same(value: Column, wanted) -> Column:
+    """Whether a Variant equals a JSON value: objects whatever the order of their keys, numbers by what they are worth."""
+    if isinstance(wanted, dict):
+        keys = F.json_object_keys(F.to_json(value))
+        own = F.size(keys) == len(wanted)
+        parts = [_same(F.try_variant_get(value, f"$['{k}']", "variant"), v) for k, v in wanted.items()]
+        test, kind = [own, *parts], "object"
+    elif isinstance(wanted, list):
+        items = F.try_variant_get(value, "$", "array<variant>")
+        test, kind = [F.size(items) == len(wanted), *(_same(F.get(items, F.lit(i)), v) for i, v in enumerate(wanted))], "array"
+    elif wanted is None:
+        test, kind = [], "null"
+    elif isinstance(wanted, bool):
+        test, kind = [F.try_variant_get(value, "$", "boolean") == wanted], "boolean"
+    elif isinstance(wanted, str):
+        test, kind = [F.try_variant_get(value, "$", "string") == wanted], "string"
+    else:
+        test, kind = [F.try_variant_get(value, "$", "double") == float(wanted)], "number"
+    fits = _is(value, kind)
+    for part in test:
+        fits = F.when(fits, part).otherwise(False)
+    return F.coalesce(fits, F.lit(False))
+
+
+#: An error: where (the names and indexes that lead there; a number has its digits filled up, so that they sort) and what.
+ERROR = "struct<at:array<string>,message:string>"
+
+
+def errors_of(schema: dict, value: Column, at: Column, definitions: dict) -> Column:
+    """All errors of ``value`` (a Variant; null: not there) as an array of ``ERROR``, those of one place in the order of the
+    schema's keywords. Each rule of the schema stands in it once; an array's items are told apart by their index."""
     if "$ref" in schema:
         schema = definitions[schema["$ref"].rsplit("/", 1)[-1]]
-    out = []
-    shown = value.isNotNull()
+    here: list[Column] = []
+    deeper: list[Column] = []
+    keys = F.when(_is(value, "object"), F.json_object_keys(F.to_json(value)))
+    items = F.when(_is(value, "array"), F.try_variant_get(value, "$", "array<variant>"))
+    text = F.when(_is(value, "string"), F.try_variant_get(value, "$", "string"))
+    number = F.when(_is(value, "number"), F.try_variant_get(value, "$", "double"))
 
     def error(bad: Column, message: str) -> None:
-        out.append(F.when(shown & bad, F.struct(F.lit(path).alias("path"), F.lit(message).alias("message"))))
-
-    if "type" in schema:
-        kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
-        fits = [_is(value, k) for k in kinds]
-        error(~(fits[0] if len(fits) == 1 else F.greatest(*fits)), f"is not of type {', '.join(kinds)}")
-    if {"required", "properties", "additionalProperties"} & set(schema):
-        is_object = _is(value, "object")
-        keys = F.when(is_object, F.json_object_keys(F.to_json(value)))
-        for name in schema.get("required", []):
-            error(is_object & ~F.coalesce(F.array_contains(keys, name), F.lit(False)), f"'{name}' is a required property")
-        if schema.get("additionalProperties") is False:
-            error(is_object & (F.size(F.array_except(keys, F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>"))) > 0), "additional properties are not allowed")
-        for name, inner in schema.get("properties", {}).items():
-            out += rules(inner, F.try_variant_get(value, f"$['{name}']", "variant"), f"{path}.{name}", definitions)
-    if {"items", "minItems", "maxItems"} & set(schema):
-        items = F.when(_is(value, "array"), F.try_variant_get(value, "$", "array<variant>"))
-        if "minItems" in schema:
-            error(F.size(items) < schema["minItems"], f"violates minItems {schema['minItems']}")
-        if "maxItems" in schema:
-            error(F.size(items) > schema["maxItems"], f"violates maxItems {schema['maxItems']}")
-        if "items" in schema:
-
-            def nth(n: int):
-                return lambda x: rules(schema["items"], x, f"{path}[]", definitions)[n]
-
-            for n in range(len(rules(schema["items"], F.parse_json(F.lit("null")), f"{path}[]", definitions))):
-                out.append(F.get(F.filter(F.transform(items, nth(n)), lambda e: e.isNotNull()), F.lit(0)))
-    text = F.when(_is(value, "string"), F.try_variant_get(value, "$", "string"))
-    if "minLength" in schema:
-        error(F.length(text) < schema["minLength"], f"is shorter than {schema['minLength']}")
-    if "pattern" in schema:
-        error(~F.rlike(text, F.lit(schema["pattern"])), f"does not match {schema['pattern']}")
-    if schema.get("format") in FORMATS:
-        error(~F.rlike(text, F.lit(FORMATS[schema["format"]])), f"is not a {schema['format']}")
-    if "minimum" in schema:
-        error(F.when(_is(value, "number"), F.try_variant_get(value, "$", "double")) < schema["minimum"], f"is less than the minimum of {schema['minimum']}")
-    same = lambda v: F.to_json(value) == json.dumps(v, ensure_ascii=False)
-    if "enum" in schema:
-        error(~F.greatest(F.lit(False), *[same(v) for v in schema["enum"]]), "is not one of the allowed values")
-    if "const" in schema:
-        error(~same(schema["const"]), f"is not {schema['const']}")
-    return out
+        here.append(F.when(bad, F.struct(at.alias("at"), F.lit(message).alias("message"))))
+
+    for keyword, rule in schema.items():
+        if keyword == "type":
+            kinds = rule if isinstance(rule, list) else [rule]
+            fits = F.lit(False)
+            for kind in kinds:
+                fits = fits | _is(value, kind)
+            error(~fits, f"is not of type {', '.join(kinds)}")
+        elif keyword == "required":
+            for name in rule:
+                error(~F.array_contains(F.coalesce(keys, F.when(keys.isNotNull(), F.array().cast("array<string>"))), name), f"'{name}' is a required property")
+        elif keyword == "additionalProperties" and rule is False:
+            allowed = F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>")
+            error(F.size(F.array_except(keys, allowed)) > 0, "additional properties are not allowed")
+        elif keyword == "properties":
+            for name, inner in rule.items():
+                deeper.append(errors_of(inner, F.try_variant_get(value, f"$['{name}']", "variant"), F.concat(at, F.array(F.lit(name))), definitions))
+        elif keyword == "items":
+            index = lambda i: F.array(F.concat(F.lit("#"), F.lpad(i.cast("string"), 10, "0")))
+            found = F.transform(items, lambda x, i: errors_of(rule, x, F.concat(at, index(i)), definitions))  # noqa: B023
+            deeper.append(F.coalesce(F.flatten(found), F.array().cast(f"array<{ERROR}>")))
+        elif keyword == "minItems":
+            error(F.size(items) < rule, f"violates minItems {rule}")
+        elif keyword == "maxItems":
+            error(F.size(items) > rule, f"violates maxItems {rule}")
+        elif keyword == "minLength":
+            error(F.length(text) < rule, f"is shorter than {rule}")
+        elif keyword == "pattern":
+            error(~F.rlike(text, F.lit(rule)), f"does not match {rule}")
+        elif keyword == "format" and rule in FORMATS:
+            error(~F.rlike(text, F.lit(FORMATS[rule])), f"is not a {rule}")
+        elif keyword == "minimum":
+            error(number < rule, f"is less than the minimum of {rule}")
+        elif keyword == "enum":
+            fits = F.lit(False)
+            for wanted in rule:
+                fits = fits | _same(value, wanted)
+            error(~fits, "is not one of the allowed values")
+        elif keyword == "const":
+            error(~_same(value, rule), f"is not {rule}")
+    own = F.filter(F.array(*here), lambda e: e.isNotNull()) if here else F.array()
+    return F.when(value.isNotNull(), F.concat(*[part.cast(f"array<{ERROR}>") for part in (own, *deeper)])).otherwise(F.array().cast(f"array<{ERROR}>"))
+
+
+def _path(at: Column, root: str, name: str, item: tuple[str, str]) -> Column:
+    """A place as text: names after ``name``, indexes between the two of ``item``."""
+    index = lambda p: F.regexp_replace(p, "^#0*(?=\\d)", "")
+    part = lambda p: F.when(p.startswith("#"), F.concat(F.lit(item[0]), index(p), F.lit(item[1]))).otherwise(F.concat(F.lit(name), p))
+    return F.concat(F.lit(root), F.array_join(F.transform(at, part), ""))
 
 
 def schema_errors(rows: DataFrame, schema: dict, column: str = "value", key: str = "file") -> DataFrame:
-    """(key, path, message) for each violated rule, one row for text that isn't JSON. The text is parsed once."""
-    parsed = rows.select(F.col(key), F.try_parse_json(F.col(column)).alias("__v"))
-    value = F.col("__v")
-    broken = F.array(F.struct(F.lit("$").alias("path"), F.lit("is not JSON").alias("message")))
-    found = F.when(value.isNull(), broken).otherwise(F.filter(F.array(*rules(schema, value)), lambda e: e.isNotNull()))
-    return parsed.select(F.col(key), F.explode(found).alias("e")).select(key, "e.path", "e.message")
+    """(key, path, message, at, rank) for each violated rule, one row for text that isn't JSON; the text is parsed once. ``path``
+    is like ``$.a[1].x``, ``at`` like ``a.1.x`` (``root`` for the whole), and ``rank`` numbers a text's errors from 1 as they are
+    printed: by place, items by their index, and of one place in the order of the schema's keywords.
+
+    Supported: type (one or a list), required, additionalProperties false, properties, items, minLength, pattern, format, enum,
+    const, minimum, minItems, maxItems, $ref to ``$defs``. A null text isn't JSON; nor is one that repeats a key, unless the
+    session sets ``spark.sql.variant.allowDuplicateKeys``. A property's name must not begin with ``#``."""
+    parsed = rows.select(F.col(key).alias("key"), F.try_parse_json(F.col(column)).alias("value"))
+    nowhere = F.array().cast("array<string>")
+    broken = F.array(F.struct(nowhere.alias("at"), F.lit("is not JSON").alias("message"))).cast(f"array<{ERROR}>")
+    found = F.when(F.col("value").isNull(), broken).otherwise(errors_of(schema, F.col("value"), nowhere, schema.get("$defs", {})))
+    # places are compared first, then the errors' own order
+    ranked = F.array_sort(F.transform(found, lambda e, i: F.struct(e["at"].alias("at"), i.alias("i"), e["message"].alias("message"))))
+    each = parsed.select("key", F.posexplode(ranked).alias("rank", "e"))
+    dotted = F.regexp_replace(_path(F.col("e.at"), "", ".", (".", "")), r"^\.", "")
+    return each.select(F.col("key").alias(key), _path(F.col("e.at"), "$", ".", ("[", "]")).alias("path"), F.col("e.message").alias("message"), F.when(dotted == "", "root").otherwise(dotted).alias("at"), (F.col("rank") + 1).alias("rank"))
 
 
 def in_order(errors: DataFrame, key: str = "file") -> DataFrame:
-    """Errors as they are printed: by key and path."""
-    return errors.orderBy(key, "path", "message")
+    """Errors as they are printed."""
+    return errors.orderBy(key, "rank")
 
 
 def repeated_sources(rows: DataFrame, digest: str, order: str) -> DataFrame:

@@ -366,7 +366,7 @@ SCHEMA = {
     UNION ALL SELECT doc_id, '$.n', 'is less than the minimum of 1000' FROM documents WHERE n_chars < 1000""")
 def json_schema_validate(spark, sf_dir):
     value = F.to_json(F.struct("lang", "source", F.col("n_chars").alias("n"), F.when(F.col("doc_id") % 7 == 0, 1).alias("extra")))
-    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), SCHEMA, "value", "doc_id")
+    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), SCHEMA, "value", "doc_id").select("doc_id", "path", "message")
 
 
 _VALUES = ['"x"', "5", "null", "true", "1.5", "[1]", "{}", '""', "5.0"]
@@ -383,13 +383,13 @@ def json_schema_types(spark, sf_dir):
     v = F.expr(_JSON)
     at = F.when(F.col("doc_id") % 2 == 0, "2024-01-02T03:04:05Z").otherwise("2024-01-02")
     value = F.concat(F.lit('{"s": '), v, F.lit(', "n": '), v, F.lit(', "o": '), v, F.lit(', "at": "'), at, F.lit('"}'))
-    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), TYPES, "value", "doc_id")
+    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), TYPES, "value", "doc_id").select("doc_id", "path", "message")
 
 
 @query("SELECT doc_id, '$' AS path, 'is not JSON' AS message FROM documents WHERE doc_id % 4 = 0")
 def malformed_json(spark, sf_dir):
     value = F.when(F.col("doc_id") % 4 == 0, '{"a": 1').otherwise('{"a": 1}')
-    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), {"type": "object"}, "value", "doc_id")
+    return validate.schema_errors(_t(spark, sf_dir, "documents").select("doc_id", value.alias("value")), {"type": "object"}, "value", "doc_id").select("doc_id", "path", "message")
 
 
 @query("SELECT 'expected 7 files, found ' || count(*) AS message FROM documents HAVING count(*) <> 7")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
-from ..operators import graph, layout, parse, provenance, vector
+from ..operators import graph, layout, parse, provenance, validate, vector
 from ..sources import readers, sinks
 from .registry import query, table
 
@@ -318,6 +318,35 @@ def project_properties(spark, sf_dir):
     return nodes.select("id", F.col("properties")["technologies"].alias("technologies"), F.col("properties")["description"].alias("description"))
 
 
+#: Rules that many records break, some of them in several items of one array.
+_RECORD_SCHEMA = {
+    "type": "object", "required": ["candidate", "owner"],
+    "properties": {
+        "candidate": {"type": "object", "properties": {"headline": {"type": "string", "minLength": 1}}},
+        "sections": {"properties": {
+            "experience": {"type": "array", "items": {"$ref": "#/$defs/job"}},
+            "certifications": {"minItems": 3, "items": {"properties": {"issuer": {"minLength": 1}, "year": {"const": "2001"}}}},
+            "languages": {"items": {"properties": {"proficiency": {"minLength": 1}}}},
+        }},
+    },
+    "$defs": {"job": {"type": "object", "required": ["job_title", "salary"], "properties": {"job_title": {"enum": ["1-URGENT", "2-HIGH", "3-MEDIUM"]}, "start_date": {"pattern": "^[0-9][0-9]"}}}},
+}
+
+
+@query(f"""WITH {_ORDERS}, e AS (SELECT ck, 0 AS g, 0 AS i, '' AS f, '' AS p, chr(39) || 'owner' || chr(39) || ' is a required property' AS message FROM c
+    UNION ALL SELECT ck, 1, 0, '', '.candidate.headline', 'is shorter than 1' FROM c WHERE headline = ''
+    UNION ALL SELECT ck, 2, 0, '', '.sections.certifications', 'violates minItems 3' FROM c UNION ALL SELECT ck, 3, 1, 'issuer', '.sections.certifications[1].issuer', 'is shorter than 1' FROM c UNION ALL SELECT ck, 3, 1, 'year', '.sections.certifications[1].year', 'is not 2001' FROM c
+    UNION ALL SELECT ck, 4, i, '', '.sections.experience[' || (i - 1) || ']', chr(39) || 'salary' || chr(39) || ' is a required property' FROM j
+    UNION ALL SELECT ck, 4, i, 'job_title', '.sections.experience[' || (i - 1) || '].job_title', 'is not one of the allowed values' FROM j WHERE left(pr, 1) NOT IN ('1', '2', '3')
+    UNION ALL SELECT ck, 4, i, 'start_date', '.sections.experience[' || (i - 1) || '].start_date', 'does not match ^[0-9][0-9]' FROM j WHERE i < 10
+    UNION ALL SELECT ck, 5, 1, '', '.sections.languages[1].proficiency', 'is shorter than 1' FROM c)
+    SELECT ck::VARCHAR AS stem, '$' || p AS path, CASE p WHEN '' THEN 'root' ELSE replace(replace(substr(p, 2), '[', '.'), ']', '') END AS at, message, row_number() OVER (PARTITION BY ck ORDER BY g, i, f)::INT AS rank FROM e""")
+def record_schema_errors(spark, sf_dir):
+    """Every error of every item, where it is and in which order it is printed."""
+    rows = _records(spark, sf_dir).select("stem", F.to_json(F.struct("candidate", "sections")).alias("value"))
+    return validate.schema_errors(rows, _RECORD_SCHEMA, "value", "stem").select("stem", "path", "at", "message", "rank")
+
+
 @query("SELECT c_custkey::VARCHAR AS stem, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE NULL END AS images FROM customer")
 def records_with_images(spark, sf_dir):
     records = _records(spark, sf_dir)
@@ -419,8 +448,3 @@ def document_graph_edges(spark, sf_dir):
 def block_documents(spark, sf_dir):
     blocks = _structure(spark, sf_dir)
     return vector.block_documents(blocks, layout.sections(blocks), _documents(blocks)).select("id", "document", "metadata.source_file", "metadata.section_title")
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{a}', '{b}')" for t, (left, right) in graph.RELATIONSHIPS.items() for a in left for b in right) + ") AS v(type, from_label, to_label)")
-def relationship_definitions(spark, sf_dir):
-    return graph.definitions(spark)

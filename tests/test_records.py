@@ -272,7 +272,7 @@ SCHEMA = {
 
 @pytest.mark.parametrize(
     "value,paths",
-    [('{"a": "z", "items": [{"n": 1}]}', []), ("{", ["$"]), ("[]", ["$"]), ('{"items": [{"n": 0}], "b": 1}', ["$", "$", "$.items[].n"]), ('{"a": "", "items": [], "k": "y"}', ["$.a", "$.items", "$.k"]), ('{"a": "q", "items": [{}, {}, {}]}', ["$.items", "$.items[]"])],
+    [('{"a": "z", "items": [{"n": 1}]}', []), ("{", ["$"]), ("[]", ["$"]), ('{"items": [{"n": 0}], "b": 1}', ["$", "$", "$.items[0].n"]), ('{"a": "", "items": [], "k": "y"}', ["$.a", "$.items", "$.k"]), ('{"a": "q", "items": [{}, {}, {}]}', ["$.items", "$.items[0]", "$.items[1]", "$.items[2]"])],
 )
 def test_json_schema(spark, value, paths):
     rows = spark.createDataFrame([("f", value)], "file string, value string")
@@ -289,6 +289,30 @@ def test_json_types(spark, kind, good, bad):
     assert sorted(r["file"] for r in found) == sorted(bad) and {r["path"] for r in found} == {"$.n"}
 
 
+def test_errors_of_items(spark):
+    """One row for each bad item, items in the order of their numbers, arrays in arrays, the order of keywords at one place."""
+    schema = {"properties": {"a": {"items": {"type": "object", "required": ["x", "y"], "properties": {"x": {"items": {"minimum": 2, "type": "integer"}}}}}}}
+    bad = ", ".join(['{"x": [1, 2, 1.5], "y": 1}', "{}", '{"x": [], "y": 0}'] + ['{"x": []}'] * 9)
+    rows = spark.createDataFrame([("f", f'{{"a": [{bad}]}}'), ("g", '{"a": []}'), ("h", None)], "file string, value string")
+    found = [tuple(r) for r in validate.in_order(validate.schema_errors(rows, schema)).collect()]
+    y = "'y' is a required property"
+    assert [(f, p, m) for f, p, m, _, _ in found] == [
+        ("f", "$.a[0].x[0]", "is less than the minimum of 2"), ("f", "$.a[0].x[2]", "is less than the minimum of 2"), ("f", "$.a[0].x[2]", "is not of type integer"),
+        ("f", "$.a[1]", "'x' is a required property"), ("f", "$.a[1]", y), *[("f", f"$.a[{i}]", y) for i in range(3, 12)], ("h", "$", "is not JSON"),
+    ]
+    assert [r[3] for r in found[:4]] == ["a.0.x.0", "a.0.x.2", "a.0.x.2", "a.1"] and found[-1][3] == "root" and [r[4] for r in found[:-1]] == list(range(1, 15))
+
+
+@pytest.mark.parametrize(
+    "wanted,good,bad",
+    [({"a": 1, "b": [True, None]}, ['{"b": [true, null], "a": 1.0}'], ['{"a": 1}', '{"a": 1, "b": [true]}', '{"a": 1, "b": [1, null]}', '{"a": 1, "b": [true, null], "c": 0}']), (5, ["5", "5.0"], ['"5"', "true", "5.1"]), (True, ["true"], ["1", '"true"']), ("5", ['"5"'], ["5"]), (None, ["null"], ["0", "false"])],
+)
+def test_const_and_enum_compare_values(spark, wanted, good, bad):
+    rows = spark.createDataFrame([(v, f'{{"n": {v}}}') for v in good + bad], "file string, value string")
+    for rule in ({"const": wanted}, {"enum": ["other", wanted]}):
+        assert sorted(r["file"] for r in validate.schema_errors(rows, {"properties": {"n": rule}}).collect()) == sorted(bad)
+
+
 def test_json_formats(spark):
     good = ["2024-02-03T04:05:06Z", "2024-02-03T04:05:06.789+00:00"]
     rows = spark.createDataFrame([(v, f'{{"at": "{v}"}}') for v in good + ["2024-02-03", "soon"]], "file string, value string")
