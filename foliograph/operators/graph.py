@@ -6,6 +6,8 @@ The ordinal is any type that sorts; it stands for the order in which the rows we
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +39,14 @@ NO_PROPERTIES = "map<string,string>"
 
 
 def merge_nodes(raw: DataFrame) -> DataFrame:
-    """One row for each id: the first label; for each property the last value written."""
-    labels = raw.groupBy("id").agg(F.min_by("label", "ordinal").alias("label"), F.min("ordinal").alias("ordinal"))
-    values = raw.select("id", "ordinal", F.explode("properties").alias("key", "value")).groupBy("id", "key").agg(F.max_by("value", "ordinal").alias("value"))
-    maps = values.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("properties"))
-    return labels.join(maps, "id", "left").select("id", "label", F.coalesce("properties", F.create_map().cast(NO_PROPERTIES)).alias("properties"), "ordinal")
+    """One row for each id: the first label; for each property the last value written. The rows are read once: a null key
+    stands beside each one's properties for the node itself, and both aggregates combine before their shuffle."""
+    entries = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value"))), F.map_entries(F.coalesce("properties", F.create_map().cast(NO_PROPERTIES))))
+    each = raw.select("id", "label", "ordinal", F.inline(entries))
+    last = each.groupBy("id", "key").agg(F.max_by("value", "ordinal").alias("value"), F.min_by("label", "ordinal").alias("label"), F.min("ordinal").alias("ordinal"))
+    entry = F.when(F.col("key").isNotNull(), F.struct("key", "value"))
+    merged = last.groupBy("id").agg(F.min_by("label", "ordinal").alias("label"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("properties"), F.min("ordinal").alias("ordinal"))
+    return merged.select("id", "label", "properties", "ordinal")
 
 
 def merge_edges(raw: DataFrame) -> DataFrame:
@@ -74,75 +79,133 @@ def _props(**values: Column) -> Column:
     return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), text.text_or_empty(v))])
 
 
-def _of(item: str, *fields: str) -> Column:
-    return _props(**{f: F.col(f"{item}.{f}") for f in fields})
+def _of(item: Column, *fields: str) -> Column:
+    return _props(**{f: item[f] for f in fields})
 
 
-def domain_graph(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Raw nodes and edges of parsed records. Names are keyed without regard to case and outer white space; a skill and
-    a project's technology of one name are one node."""
-    base = records.withColumn("cand", ids.candidate_id(F.col("candidate.name"), F.col("candidate.email")))
-    nodes, edges = [], []
-    none = F.lit(None).cast("string")
+#: What a record gives: a node or an edge.
+NODE = "struct<id:string,label:string,properties:map<string,string>,ordinal:struct<stem:string,step:int,pos:int,sub:int>>"
+EDGE = "struct<src:string,type:string,dst:string,identity:string,properties:map<string,string>,ordinal:struct<stem:string,step:int,pos:int,sub:int>>"
 
-    def rows(section: str) -> DataFrame:
-        return base.select("stem", "cand", F.posexplode(F.col("sections")[section]).alias("pos", "x"))
 
+class _Made:
+    """Arrays of nodes and edges that a record gives, put together as one expression over it."""
+
+    def __init__(self):
+        self.nodes: list[Column] = []
+        self.edges: list[Column] = []
+
+    @staticmethod
     def ordinal(step: int, pos: Column | None = None, sub: Column | None = None) -> Column:
-        return F.struct("stem", F.lit(step).alias("step"), (pos if pos is not None else F.lit(0)).alias("pos"), (sub if sub is not None else F.lit(0)).alias("sub")).alias("ordinal")
+        return F.struct(F.col("stem").cast("string").alias("stem"), F.lit(step).alias("step"), (F.lit(0) if pos is None else pos).alias("pos"), (F.lit(0) if sub is None else sub).alias("sub"))
+
+    @staticmethod
+    def node(id: Column, label: str, properties: Column, at: Column) -> Column:
+        return F.struct(id.alias("id"), F.lit(label).alias("label"), properties.alias("properties"), at.alias("ordinal")).cast(NODE)
 
-    def node(df: DataFrame, id: Column, label: str, properties: Column, at: Column) -> None:
-        nodes.append(df.select(id.alias("id"), F.lit(label).alias("label"), properties.alias("properties"), at))
+    @staticmethod
+    def edge(src: Column, kind: str, dst: Column, at: Column, properties: Column | None = None, identity: Column | None = None) -> Column:
+        identity = F.lit(None).cast("string") if identity is None else identity
+        properties = _props() if properties is None else properties
+        return F.struct(src.alias("src"), F.lit(kind).alias("type"), dst.alias("dst"), identity.alias("identity"), properties.alias("properties"), at.alias("ordinal")).cast(EDGE)
 
-    def edge(df: DataFrame, src: Column, kind: str, dst: Column, at: Column, properties: Column | None = None, identity: Column | None = None) -> None:
-        edges.append(df.select(src.alias("src"), F.lit(kind).alias("type"), dst.alias("dst"), (identity if identity is not None else none).alias("identity"), (properties if properties is not None else _props()).alias("properties"), at))
+    def each(self, items: Column, keep: Callable[[Column], Column], nodes: Callable | None = None, edges: Callable | None = None) -> None:
+        """Of each item that is kept, with its place among all, the nodes and edges (lists of them)."""
+        placed = F.filter(F.transform(items, lambda x, pos: F.struct(x.alias("x"), pos.alias("pos"))), lambda p: keep(p["x"]))
+        for to, made in ((self.nodes, nodes), (self.edges, edges)):
+            if made:
+                to.append(F.flatten(F.transform(placed, lambda p: F.array(*made(p["x"], p["pos"])))))  # noqa: B023
 
-    def named(df: DataFrame, label: str, name: Column, at: Column) -> Column:
-        id = ids.entity_id(label, name)
-        node(df, id, label, _props(name=text.strip(name)), at)
-        return id
+    def rows(self, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Raw nodes and edges: each reads ``base`` once. A record without one of its arrays has none of that kind."""
+        out = []
+        for parts, kind in ((self.nodes, NODE), (self.edges, EDGE)):
+            none = F.array().cast(f"array<{kind}>")
+            out.append(base.select(F.inline(F.concat(*[F.coalesce(part, none) for part in parts]))))
+        return out[0], out[1]
 
-    cand, pos, x = F.col("cand"), F.col("pos"), F.col("x")
+
+def _filled(*fields: str) -> Callable[[Column], Column]:
+    def keep(x: Column) -> Column:
+        out = F.lit(True)
+        for f in fields:
+            out = out & ~text.is_blank(x[f])
+        return out
+
+    return keep
+
+
+def domain_graph(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw nodes and edges of parsed records. Names are keyed without regard to case and outer white space; a skill and
+    a project's technology of one name are one node. Each of the two is one pass over the records."""
+    base = records.withColumn("cand", ids.candidate_id(F.col("candidate.name"), F.col("candidate.email")))
+    made, sections = _Made(), F.col("sections")
+    node, edge, at = made.node, made.edge, made.ordinal
+    named = lambda label, name, at: node(ids.entity_id(label, name), label, _props(name=text.strip(name)), at)
+    cand, resume = F.col("cand"), ids.resume_id(F.col("source_document.source_sha256"))
     candidate_fields = ["name", "email", "phone", "location", "linkedin", "portfolio", "headline", "summary"]
-    node(base, cand, "Candidate", F.map_concat(_of("candidate", *candidate_fields), _props(candidate_id=cand)), ordinal(0))
-    resume = ids.resume_id(F.col("source_document.source_sha256"))
-    node(base, resume, "Resume", _of("source_document", "source_file", "source_sha256", "ingested_at", "parser_version"), ordinal(1))
-    edge(base, cand, "HAS_RESUME", resume, ordinal(1))
-
-    skills = rows("skills").where(~text.is_blank(x["name"]))
-    edge(skills, cand, "HAS_SKILL", named(skills, "Skill", x["name"], ordinal(2, pos)), ordinal(2, pos), _props(category=x["category"]))
-
-    roles = rows("experience").where(~text.is_blank(x["job_title"]))
-    edge(roles, cand, "HELD_ROLE", named(roles, "Role", x["job_title"], ordinal(3, pos)), ordinal(3, pos))
-    jobs = roles.where(~text.is_blank(x["company"]))
-    fields = ("experience_id", "job_title", "company", "location", "start_date", "end_date", "description")
-    edge(jobs, cand, "WORKED_AT", named(jobs, "Company", x["company"], ordinal(3, pos)), ordinal(3, pos), _of("x", *fields), x["experience_id"])
-
-    studies = rows("education").where(~text.is_blank(x["institution"]) & ~text.is_blank(x["degree"]))
-    edge(studies, cand, "STUDIED_AT", named(studies, "Institution", x["institution"], ordinal(4, pos)), ordinal(4, pos), _of("x", "education_id", "graduation_year", "location"), x["education_id"])
-    edge(studies, cand, "EARNED_DEGREE", named(studies, "Degree", x["degree"], ordinal(4, pos)), ordinal(4, pos))
-
-    projects = rows("projects").where(~text.is_blank(x["name"]))
-    technologies = _props(technologies=text.python_list(x["technologies"]))
-    node(projects, x["project_id"], "Project", F.map_concat(_of("x", "project_id", "name", "description", "url"), technologies), ordinal(5, pos))
-    edge(projects, cand, "BUILT", x["project_id"], ordinal(5, pos))
-    used = projects.select("stem", "cand", "pos", "x", F.posexplode("x.technologies").alias("sub", "tech")).where(~text.is_blank(F.col("tech")))
-    at = ordinal(5, pos, F.col("sub"))
-    edge(used, x["project_id"], "USES", named(used, "Skill", F.col("tech"), at), at)
-
-    certificates = rows("certifications").where(~text.is_blank(x["name"]) & ~text.is_blank(x["issuer"]))
-    id = ids.entity_id("Certification", x["name"], x["issuer"])
-    node(certificates, id, "Certification", _of("x", "name", "issuer", "year"), ordinal(6, pos))
-    edge(certificates, cand, "EARNED_CERTIFICATION", id, ordinal(6, pos))
-
-    languages = rows("languages").where(~text.is_blank(x["name"]))
-    edge(languages, cand, "SPEAKS", named(languages, "Language", x["name"], ordinal(7, pos)), ordinal(7, pos), _props(proficiency=x["proficiency"]))
-
-    images = base.select("stem", "cand", F.posexplode("images").alias("pos", "x"))
-    fields = ("image_id", "kind", "source_page", "file_name", "relative_path", "sha256", "mime_type", "width", "height")
-    node(images, x["image_id"], "Image", _of("x", *fields), ordinal(8, pos))
-    edge(images, cand, "HAS_IMAGE", x["image_id"], ordinal(8, pos))
-    return _union(nodes), _union(edges)
+    made.nodes.append(F.array(
+        node(cand, "Candidate", F.map_concat(_of(F.col("candidate"), *candidate_fields), _props(candidate_id=cand)), at(0)),
+        node(resume, "Resume", _of(F.col("source_document"), "source_file", "source_sha256", "ingested_at", "parser_version"), at(1)),
+    ))
+    made.edges.append(F.array(edge(cand, "HAS_RESUME", resume, at(1))))
+    made.each(
+        sections["skills"], _filled("name"),
+        lambda x, pos: [named("Skill", x["name"], at(2, pos))],
+        lambda x, pos: [edge(cand, "HAS_SKILL", ids.entity_id("Skill", x["name"]), at(2, pos), _props(category=x["category"]))],
+    )
+    made.each(
+        sections["experience"], _filled("job_title"),
+        lambda x, pos: [named("Role", x["job_title"], at(3, pos))],
+        lambda x, pos: [edge(cand, "HELD_ROLE", ids.entity_id("Role", x["job_title"]), at(3, pos))],
+    )
+    job_fields = ("experience_id", "job_title", "company", "location", "start_date", "end_date", "description")
+    made.each(
+        sections["experience"], _filled("job_title", "company"),
+        lambda x, pos: [named("Company", x["company"], at(3, pos))],
+        lambda x, pos: [edge(cand, "WORKED_AT", ids.entity_id("Company", x["company"]), at(3, pos), _of(x, *job_fields), x["experience_id"])],
+    )
+    made.each(
+        sections["education"], _filled("institution", "degree"),
+        lambda x, pos: [named("Institution", x["institution"], at(4, pos)), named("Degree", x["degree"], at(4, pos))],
+        lambda x, pos: [
+            edge(cand, "STUDIED_AT", ids.entity_id("Institution", x["institution"]), at(4, pos), _of(x, "education_id", "graduation_year", "location"), x["education_id"]),
+            edge(cand, "EARNED_DEGREE", ids.entity_id("Degree", x["degree"]), at(4, pos)),
+        ],
+    )
+    project = lambda x: F.map_concat(_of(x, "project_id", "name", "description", "url"), _props(technologies=text.python_list(x["technologies"])))
+    made.each(
+        sections["projects"], _filled("name"),
+        lambda x, pos: [node(x["project_id"], "Project", project(x), at(5, pos))],
+        lambda x, pos: [edge(cand, "BUILT", x["project_id"], at(5, pos))],
+    )
+    used = F.flatten(F.transform(
+        F.filter(F.transform(sections["projects"], lambda x, pos: F.struct(x.alias("x"), pos.alias("pos"))), lambda p: _filled("name")(p["x"])),
+        lambda p: F.transform(F.coalesce(p["x"]["technologies"], F.array().cast("array<string>")), lambda t, sub: F.struct(p["x"]["project_id"].alias("project"), p["pos"].alias("pos"), t.alias("tech"), sub.alias("sub"))),
+    ))
+    made.each(
+        used, _filled("tech"),
+        lambda x, _: [named("Skill", x["tech"], at(5, x["pos"], x["sub"]))],
+        lambda x, _: [edge(x["project"], "USES", ids.entity_id("Skill", x["tech"]), at(5, x["pos"], x["sub"]))],
+    )
+    certificate = lambda x: ids.entity_id("Certification", x["name"], x["issuer"])
+    made.each(
+        sections["certifications"], _filled("name", "issuer"),
+        lambda x, pos: [node(certificate(x), "Certification", _of(x, "name", "issuer", "year"), at(6, pos))],
+        lambda x, pos: [edge(cand, "EARNED_CERTIFICATION", certificate(x), at(6, pos))],
+    )
+    made.each(
+        sections["languages"], _filled("name"),
+        lambda x, pos: [named("Language", x["name"], at(7, pos))],
+        lambda x, pos: [edge(cand, "SPEAKS", ids.entity_id("Language", x["name"]), at(7, pos), _props(proficiency=x["proficiency"]))],
+    )
+    image_fields = ("image_id", "kind", "source_page", "file_name", "relative_path", "sha256", "mime_type", "width", "height")
+    made.each(
+        F.col("images"), _filled(),
+        lambda x, pos: [node(x["image_id"], "Image", _of(x, *image_fields), at(8, pos))],
+        lambda x, pos: [edge(cand, "HAS_IMAGE", x["image_id"], at(8, pos))],
+    )
+    return made.rows(base)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -205,8 +268,7 @@ def provenance_edges(grounded: DataFrame, candidates: DataFrame, nodes: DataFram
 def natural_graph(records: DataFrame, compact: bool = False, guards: bool = True) -> tuple[DataFrame, DataFrame]:
     """Graphs keyed by the names as they are written. ``compact``: the presentation graph, with candidates keyed by name,
     jobs as nodes of their own, technologies apart from skills. ``guards``: items with blank keys are left out (a direct
-    load keeps them)."""
-    nodes, edges = [], []
+    load keeps them). Each of the two is one pass over the records."""
 
     def keyed(label: str, *parts: Column) -> Column:
         return F.concat_ws("|", F.lit(label), *[text.text_or_empty(p) for p in parts])
@@ -215,48 +277,52 @@ def natural_graph(records: DataFrame, compact: bool = False, guards: bool = True
     base = records.withColumn("cand", who)
     if compact:
         base = base.where(~text.is_blank(F.col("candidate.name")))
+    made, sections, cand = _Made(), F.col("sections"), F.col("cand")
+    filled = _filled if guards else lambda *_: _filled()
+
+    def node(label: str, key: Column, pos: Column | None = None) -> Column:
+        return made.node(key, label, _props(key=key), made.ordinal(0, pos))
+
+    def edge(src: Column, kind: str, dst: Column, pos: Column, identity: Column | None = None) -> Column:
+        return made.edge(src, kind, dst, made.ordinal(0, pos), None, identity)
+
+    def add(section: str, keep: Callable[[Column], Column], *what: tuple) -> None:
+        """Of each item: label, key, type of the edge to it, and where wanted the edge's source and identity."""
+
+        def nodes(x: Column, pos: Column) -> list[Column]:
+            return [node(label, key(x), pos) for label, key, *_ in what]
 
-    def add(df: DataFrame, label: str, key: Column, kind: str | None = None, src: Column | None = None, identity: Column | None = None) -> None:
-        at = F.struct("stem", "pos").alias("ordinal")
-        nodes.append(df.select(key.alias("id"), F.lit(label).alias("label"), _props(key=key).alias("properties"), at))
-        if kind:
-            edges.append(df.select((src if src is not None else F.col("cand")).alias("src"), F.lit(kind).alias("type"), key.alias("dst"), (identity if identity is not None else F.lit(None).cast("string")).alias("identity"), _props().alias("properties"), at))
-
-    def rows(section: str, *required: str) -> DataFrame:
-        df = base.select("stem", "cand", F.posexplode(F.col("sections")[section]).alias("pos", "x"))
-        for f in required if guards else ():
-            df = df.where(~text.is_blank(F.col("x")[f]))
-        return df
-
-    x = F.col("x")
-    add(base.withColumn("pos", F.lit(0)), "Candidate", F.col("cand"))
-    skills = rows("skills", "name")
-    add(skills, "Skill", keyed("Skill", x["name"]), "HAS_SKILL")
-    jobs = rows("experience", "job_title", "company")
-    company = keyed("Company", x["company"])
+        def edges(x: Column, pos: Column) -> list[Column]:
+            return [edge(src(x) if src else cand, kind, key(x), pos, identity(x) if identity else None) for _, key, kind, src, identity in ((*w, None, None)[:5] for w in what)]
+
+        made.each(sections[section], keep, nodes, edges)
+
+    made.nodes.append(F.array(node("Candidate", cand)))
+    add("skills", filled("name"), ("Skill", lambda x: keyed("Skill", x["name"]), "HAS_SKILL"))
+    company = lambda x: keyed("Company", x["company"])
     if compact:
-        job = keyed("Experience", x["job_title"], x["company"], x["start_date"], x["end_date"])
-        add(jobs, "Experience", job, "HAS_EXPERIENCE")
-        add(jobs, "Company", company, "AT_COMPANY", job)
+        job = lambda x: keyed("Experience", x["job_title"], x["company"], x["start_date"], x["end_date"])
+        add("experience", filled("job_title", "company"), ("Experience", job, "HAS_EXPERIENCE"), ("Company", company, "AT_COMPANY", job))
     else:
-        add(jobs, "Role", keyed("Role", x["job_title"]), "HELD_ROLE")
-        add(jobs, "Company", company, "WORKED_AT", identity=x["experience_id"])
-    studies = rows("education", "institution") if compact else rows("education", "institution", "degree")
-    add(studies, "Institution", keyed("Institution", x["institution"]), "STUDIED_AT", identity=None if compact else x["education_id"])
-    if not compact:
-        add(studies, "Degree", keyed("Degree", x["degree"]), "EARNED_DEGREE")
-    projects = rows("projects", "name")
-    project = keyed("Project", x["name"]) if compact else x["project_id"]
-    add(projects, "Project", project, "WORKED_ON" if compact else "BUILT")
-    used = projects.select("stem", "cand", "pos", "x", F.explode("x.technologies").alias("tech")).where(~text.is_blank(F.col("tech")))
+        add("experience", filled("job_title", "company"), ("Role", lambda x: keyed("Role", x["job_title"]), "HELD_ROLE"), ("Company", company, "WORKED_AT", None, lambda x: x["experience_id"]))
+    institution = lambda x: keyed("Institution", x["institution"])
+    if compact:
+        add("education", filled("institution"), ("Institution", institution, "STUDIED_AT"))
+    else:
+        add("education", filled("institution", "degree"), ("Institution", institution, "STUDIED_AT", None, lambda x: x["education_id"]), ("Degree", lambda x: keyed("Degree", x["degree"]), "EARNED_DEGREE"))
+    project = lambda x: keyed("Project", x["name"]) if compact else x["project_id"]
+    add("projects", filled("name"), ("Project", project, "WORKED_ON" if compact else "BUILT"))
     kind = "Technology" if compact else "Skill"
-    add(used, kind, keyed(kind, F.col("tech")), "USES", project)
-    certificates = rows("certifications", "name") if compact else rows("certifications", "name", "issuer")
-    add(certificates, "Certification", keyed("Certification", x["name"], x["issuer"]), "HAS_CERTIFICATION" if compact else "EARNED_CERTIFICATION")
+    used = F.flatten(F.transform(
+        F.filter(F.transform(sections["projects"], lambda x, pos: F.struct(x.alias("x"), pos.alias("pos"))), lambda p: filled("name")(p["x"])),
+        lambda p: F.transform(F.coalesce(p["x"]["technologies"], F.array().cast("array<string>")), lambda t: F.struct(project(p["x"]).alias("project"), p["pos"].alias("pos"), t.alias("tech"))),
+    ))
+    made.each(used, _filled("tech"), lambda x, _: [node(kind, keyed(kind, x["tech"]), x["pos"])], lambda x, _: [edge(x["project"], "USES", keyed(kind, x["tech"]), x["pos"])])
+    certificate = ("Certification", lambda x: keyed("Certification", x["name"], x["issuer"]), "HAS_CERTIFICATION" if compact else "EARNED_CERTIFICATION")
+    add("certifications", filled("name") if compact else filled("name", "issuer"), certificate)
     if not compact:
-        languages = rows("languages", "name")
-        add(languages, "Language", keyed("Language", x["name"]), "SPEAKS")
-    return _union(nodes), _union(edges)
+        add("languages", filled("name"), ("Language", lambda x: keyed("Language", x["name"]), "SPEAKS"))
+    return made.rows(base)
 
 
 def definitions(spark, relationships: dict[str, tuple[list[str], list[str]]] | None = None) -> DataFrame:
