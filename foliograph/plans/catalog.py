@@ -420,10 +420,10 @@ def two_hop_chain(spark, sf_dir):
     return patterns.two_hops(*_graph(spark, sf_dir), "WORKED_AT", "BASED_IN")
 
 
-def _trails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All trails of one or two edges, of any type and in either direction, from every candidate."""
+def _paths(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All nodes, all edges with their ids, and the candidates."""
     nodes, edges = _graph(spark, sf_dir)
-    return patterns.trails(edges.select(F.concat("src", "type", "dst").alias("eid"), "src", "dst"), nodes.where("label = 'Candidate'").select("id"))
+    return nodes, edges.select(F.concat("src", "type", "dst").alias("eid"), "src", "dst"), nodes.where("label = 'Candidate'").select("id")
 
 
 @query(f"""WITH {_HELD}, b AS MATERIALIZED (SELECT src AS u, dst AS v FROM e UNION ALL SELECT dst, src FROM e), one AS MATERIALIZED (SELECT n.id AS start, v AS mid FROM n JOIN b ON n.id = u WHERE n.label = 'Candidate'),
@@ -431,10 +431,9 @@ def _trails(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT start, 1 AS hops, label, count(*) AS trails FROM one JOIN n ON mid = n.id GROUP BY 1, 3
     UNION ALL SELECT start, 2, label, (sum(k) - count(*) FILTER (label = 'Candidate'))::BIGINT FROM one JOIN near ON mid = u GROUP BY 1, 3 HAVING sum(k) > count(*) FILTER (label = 'Candidate')""")
 def var_hop_1_2(spark, sf_dir):
-    """How many trails lead from each candidate to nodes of each label; in the SQL, by the degrees of what is between."""
-    nodes, _ = _graph(spark, sf_dir)
-    ends = _trails(spark, sf_dir).join(nodes.select(F.col("id").alias("end"), "label"), "end")
-    return ends.groupBy("start", "hops", "label").agg(F.count("*").alias("trails"))
+    """How many trails of one or two edges, of any type and in either direction, lead from each candidate to nodes of each
+    label."""
+    return patterns.trail_counts(*_paths(spark, sf_dir))
 
 
 @query(f"""WITH {_HELD}, g AS (SELECT src || type || dst AS eid, src, dst FROM e), b AS MATERIALIZED (SELECT eid, src AS u, dst AS v FROM g UNION ALL SELECT eid, dst, src FROM g),
@@ -442,7 +441,8 @@ def var_hop_1_2(spark, sf_dir):
     t AS (SELECT start, "end", hops, eid AS trail FROM one UNION ALL SELECT start, v, 2, one.eid || ',' || b.eid FROM one JOIN b ON one."end" = b.u AND one.eid <> b.eid)
     SELECT start, "end", hops, trail FROM t ORDER BY hops, start, trail LIMIT 300""")
 def var_hop_first_300(spark, sf_dir):
-    return _trails(spark, sf_dir).select("start", "end", "hops", F.array_join("trail", ",").alias("trail")).orderBy("hops", "start", "trail").limit(300)
+    _, edges, candidates = _paths(spark, sf_dir)
+    return patterns.first_trails(edges, candidates, 300)
 
 
 @query(f"""WITH {_GRAPH} SELECT a.id AS src, a.name AS src_name, coalesce(array_to_string(list_sort(list(b.name) FILTER (b.name IS NOT NULL)), '|'), '') AS names

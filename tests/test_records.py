@@ -451,3 +451,35 @@ def test_search_in_blocks_with_ties(spark, monkeypatch):
     expected = {(f"q{q}", i, n + 1) for q, v in rows[:7] for n, (_, i) in enumerate(sorted((round(cosine(v, w), 9), i) for i, w in rows)[:4])}
     assert {(r["query_id"], r["id"], r["rank"]) for r in vector.search(collection, queries, 4).collect()} == expected
     assert vector.search(collection, queries.limit(0), 4).count() == 0
+
+
+def test_trails_by_stages_and_by_degrees(spark):
+    """The first trails and their numbers are those of all trails, with loops, parallel edges and starts without any."""
+    import random
+
+    rnd = random.Random(4)
+    pairs = [(f"n{rnd.randrange(12)}", f"n{rnd.randrange(12)}") for _ in range(24)] + [("n0", "n0"), ("n1", "n2"), ("n1", "n2"), ("m0", "m1")]
+    edges = spark.createDataFrame([(f"e{i}", a, b) for i, (a, b) in enumerate(pairs)], "eid string, src string, dst string")
+    nodes = spark.createDataFrame([(n, "AB"[i % 2]) for i, n in enumerate([f"n{k}" for k in range(12)] + ["m0", "m1", "alone"])], "id string, label string")
+    starts = nodes.where("label = 'A' or id in ('m1', 'n1')").select("id")
+    every = [(r["start"], r["end"], r["hops"], ",".join(r["trail"])) for r in patterns.trails(edges, starts, 3).collect()]
+    ordered = sorted(every, key=lambda r: (r[2], r[0], r[3], r[1]))
+    ones = sum(r[2] == 1 for r in every)
+    for limit, hops in ((5, 2), (ones, 2), (ones + 1, 2), (ones + 9, 2), (10_000, 2), (ones + 40, 3), (10_000, 3)):
+        assert [tuple(r) for r in patterns.first_trails(edges, starts, limit, hops).collect()] == [r for r in ordered if r[2] <= hops][:limit]
+    label = {r["id"]: r["label"] for r in nodes.collect()}
+    counts = {}
+    for start, end, n, _ in every:
+        if n < 3:
+            counts[start, n, label[end]] = counts.get((start, n, label[end]), 0) + 1
+    assert {tuple(r)[:3]: r["trails"] for r in patterns.trail_counts(nodes, edges, starts).collect()} == counts
+
+
+def test_one_scan_for_each_graph(spark, tmp_path):
+    """A graph's nodes, or its edges, read the records' texts once."""
+    spark.createDataFrame([("1.md", "# A\n[SKILLS]\nx | y")], "source_file string, text string").write.parquet(str(tmp_path / "t"))
+    texts = spark.read.parquet(str(tmp_path / "t"))
+    for raw in (graph.domain_graph(parse.parse(texts)), graph.natural_graph(parse.parse(texts)), graph.natural_graph(parse.parse(texts), compact=True)):
+        for df in (graph.merge_nodes(raw[0]), graph.merge_edges(raw[1])):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.split("== Initial Plan ==")[0].count("FileScan") == 1
