@@ -195,9 +195,9 @@ def resolved_edges(spark, sf_dir):
 # --- bundles
 
 
-def _flat(tables: dict[str, DataFrame]) -> DataFrame:
+def _flat(rows: DataFrame) -> DataFrame:
     """All tables of a bundle as (table, row): the columns joined by a bar."""
-    return graph._union([df.select(F.lit(name).alias("table"), F.concat_ws("|", *[text.csv_value(F.col(f"`{c}`"), kind) for c, kind in df.dtypes]).alias("row")) for name, df in tables.items() if name != "resume_candidates"])
+    return rows.where("table != 'resume_candidates'").select("table", F.array_join("fields", "|").alias("row"))
 
 
 @query(f"""WITH {_ORDERS} SELECT 'resume_skills' AS "table", cand || '|' || p_name || '|' || p_brand AS "row" FROM c JOIN j ON c.ck = j.ck
@@ -207,7 +207,7 @@ def _flat(tables: dict[str, DataFrame]) -> DataFrame:
     UNION ALL SELECT 'resume_project_skills', cand || '_proj_' || k || '|' || p_name FROM c JOIN j ON c.ck = j.ck WHERE k IS NOT NULL UNION ALL SELECT 'resume_project_skills', cand || '_proj_' || k || '|' || p_brand FROM c JOIN j ON c.ck = j.ck WHERE k IS NOT NULL
     UNION ALL SELECT 'resume_certifications', cand || '|' || segment || '|Board of ' || region || '|2001' FROM c UNION ALL SELECT 'resume_languages', cand || '|' || place || '|Native' FROM c UNION ALL SELECT 'resume_languages', cand || '|English|' FROM c""")
 def domain_bundle(spark, sf_dir):
-    return _flat(sinks.domain_tables(_records(spark, sf_dir)))
+    return _flat(sinks.domain_rows(_records(spark, sf_dir)))
 
 
 @query(f"""WITH {_ORDERS} SELECT 'demo_candidates' AS "table", name || '|' || email || '||' || place || '||' || file AS "row" FROM c UNION ALL SELECT 'demo_skills', name || '|' || p_name || '|' || p_brand FROM c JOIN j ON c.ck = j.ck
@@ -215,13 +215,13 @@ def domain_bundle(spark, sf_dir):
     UNION ALL SELECT 'demo_projects', name || '|Work ' || ok || '|In ' || st || '|' FROM c JOIN j ON c.ck = j.ck WHERE k IS NOT NULL UNION ALL SELECT 'demo_technologies', 'Work ' || ok || '|' || p_name FROM j WHERE k IS NOT NULL UNION ALL SELECT 'demo_technologies', 'Work ' || ok || '|' || p_brand FROM j WHERE k IS NOT NULL
     UNION ALL SELECT 'demo_certifications', name || '|' || segment || '|Board of ' || region || '|2001' FROM c UNION ALL SELECT 'demo_certifications', name || '|No issuer||' FROM c""")
 def compact_bundle(spark, sf_dir):
-    return _flat(sinks.compact_tables(_records(spark, sf_dir)))
+    return _flat(sinks.compact_rows(_records(spark, sf_dir)))
 
 
 @query(f"""WITH {_ORDERS} SELECT 'resume_skills' AS "table", count(*) AS n FROM j UNION ALL SELECT 'resume_experience', count(*) FROM j UNION ALL SELECT 'resume_education', count(*) FROM c UNION ALL SELECT 'resume_projects', count(k) FROM j UNION ALL SELECT 'resume_project_skills', 2 * count(k) FROM j
     UNION ALL SELECT 'resume_certifications', count(*) FROM c UNION ALL SELECT 'resume_languages', 2 * count(*) FROM c""")
 def bundle_counts(spark, sf_dir):
-    return _flat(sinks.domain_tables(_records(spark, sf_dir))).groupBy("table").agg(F.count("*").alias("n"))
+    return _flat(sinks.domain_rows(_records(spark, sf_dir))).groupBy("table").agg(F.count("*").alias("n"))
 
 
 # --- claims, evidence, documents

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
@@ -19,63 +21,120 @@ def _cand() -> Column:
     return ids.candidate_id(F.col("candidate.name"), F.col("candidate.email")).alias("candidate_id")
 
 
-def _filled(df: DataFrame, *fields: str) -> DataFrame:
-    for f in fields:
-        df = df.where(~text.is_blank(F.col("x")[f]))
-    return df
+def _table(name: str, items: Column, required: tuple[str, ...], fields: Callable[[Column], list[Column]]) -> Column:
+    """The rows (table, fields) that a record's ``items`` give, those with a blank required field left out."""
+
+    def keep(x: Column) -> Column:
+        out = F.lit(True)
+        for f in required:
+            out = out & ~text.is_blank(x[f])
+        return out
+
+    made = F.transform(F.filter(items, keep), lambda x: F.struct(F.lit(name).alias("table"), F.array(*[text.text_or_empty(f) for f in fields(x)]).alias("fields")))
+    return F.coalesce(made, F.array().cast("array<struct<table:string,fields:array<string>>>"))
+
+
+#: The bundles' tables and their columns; fixed values.
+DOMAIN_COLUMNS = {
+    "resume_candidates": ["candidate_id", "name", "email", "phone", "location", "linkedin", "portfolio", "headline", "summary", "source_file", "source_sha256", "ingested_at", "parser_version"],
+    "resume_skills": ["candidate_id", "name", "category"],
+    "resume_experience": ["candidate_id", "experience_id", "job_title", "company", "location", "start_date", "end_date", "description"],
+    "resume_education": ["candidate_id", "education_id", "degree", "institution", "location", "graduation_year"],
+    "resume_projects": ["candidate_id", "project_id", "name", "technologies", "description", "url"],
+    "resume_project_skills": ["project_id", "technology"],
+    "resume_certifications": ["candidate_id", "name", "issuer", "year"],
+    "resume_languages": ["candidate_id", "name", "proficiency"],
+}
+COMPACT_COLUMNS = {
+    "demo_candidates": ["name", "email", "phone", "location", "linkedin", "source_file"],
+    "demo_skills": ["candidate_name", "name", "category"],
+    "demo_experience": ["candidate_name", "job_title", "company", "location", "start_date", "end_date", "description"],
+    "demo_education": ["candidate_name", "institution", "degree", "location", "date"],
+    "demo_projects": ["candidate_name", "name", "description", "url"],
+    "demo_technologies": ["project_name", "name"],
+    "demo_certifications": ["candidate_name", "name", "issuer", "date"],
+}
+
+
+def domain_rows(records: DataFrame) -> DataFrame:
+    """(table, fields) of all tables of the domain bundle, in one pass. Jobs need title and company, studies and certificates
+    both of their names."""
+    base, sections, cand = records.withColumn("cand", _cand()), F.col("sections"), F.col("cand")
+
+    def table(name: str, section: str, *required: str) -> Column:
+        return _table(name, sections[section], required, lambda x: [cand, *(x[c] for c in DOMAIN_COLUMNS[name][1:])])
+
+    person, source = DOMAIN_COLUMNS["resume_candidates"][1:9], DOMAIN_COLUMNS["resume_candidates"][9:]
+    used = F.flatten(F.transform(F.filter(sections["projects"], lambda x: ~text.is_blank(x["name"])), lambda x: F.transform(F.coalesce(x["technologies"], F.array().cast("array<string>")), lambda t: F.struct(x["project_id"].alias("id"), t.alias("tech")))))
+    parts = [
+        _table("resume_candidates", F.array(F.struct("candidate", "source_document")), (), lambda x: [cand, *(x["candidate"][f] for f in person), *(x["source_document"][f] for f in source)]),
+        table("resume_skills", "skills", "name"),
+        table("resume_experience", "experience", "job_title", "company"),
+        table("resume_education", "education", "degree", "institution"),
+        _table("resume_projects", sections["projects"], ("name",), lambda x: [cand, x["project_id"], x["name"], F.array_join(x["technologies"], ", "), x["description"], x["url"]]),
+        _table("resume_project_skills", used, ("tech",), lambda x: [x["id"], x["tech"]]),
+        table("resume_certifications", "certifications", "name", "issuer"),
+        table("resume_languages", "languages", "name"),
+    ]
+    return base.select(F.inline(F.concat(*parts)))
+
+
+def compact_rows(records: DataFrame) -> DataFrame:
+    """(table, fields) of all tables of the compact bundle, in one pass, keyed by the candidate's name; records without one
+    are left out. Studies need their institution only, certificates their name only."""
+    base = records.withColumn("candidate_name", text.strip(text.text_or_empty(F.col("candidate.name")))).where("candidate_name != ''")
+    sections, who = F.col("sections"), F.col("candidate_name")
 
+    def table(name: str, section: str, required: tuple[str, ...], *fields: str) -> Column:
+        return _table(name, sections[section], required, lambda x: [who, *(x[c] for c in fields)])
 
-def domain_tables(records: DataFrame) -> dict[str, DataFrame]:
-    """The eight tables of the domain bundle. Jobs need title and company, studies and certificates both of their names."""
-    person = ["name", "email", "phone", "location", "linkedin", "portfolio", "headline", "summary"]
-    source = ["source_file", "source_sha256", "ingested_at", "parser_version"]
-
-    def rows(section: str, *required: str) -> DataFrame:
-        return _filled(records.select(_cand(), F.explode(F.col("sections")[section]).alias("x")), *required)
-
-    def pick(df: DataFrame, *fields: str) -> DataFrame:
-        return df.select("candidate_id", *[F.col(f"x.{f}").alias(f) for f in fields])
-
-    projects = rows("projects", "name")
-    used = projects.select(F.col("x.project_id").alias("project_id"), F.explode("x.technologies").alias("technology"))
-    return {
-        "resume_candidates": records.select(_cand(), *[f"candidate.{f}" for f in person], *[f"source_document.{f}" for f in source]),
-        "resume_skills": pick(rows("skills", "name"), "name", "category"),
-        "resume_experience": pick(rows("experience", "job_title", "company"), "experience_id", "job_title", "company", "location", "start_date", "end_date", "description"),
-        "resume_education": pick(rows("education", "degree", "institution"), "education_id", "degree", "institution", "location", "graduation_year"),
-        "resume_projects": projects.select("candidate_id", "x.project_id", "x.name", F.array_join("x.technologies", ", ").alias("technologies"), "x.description", "x.url"),
-        "resume_project_skills": used.where(~text.is_blank(F.col("technology"))),
-        "resume_certifications": pick(rows("certifications", "name", "issuer"), "name", "issuer", "year"),
-        "resume_languages": pick(rows("languages", "name"), "name", "proficiency"),
-    }
+    used = F.flatten(F.transform(F.filter(sections["projects"], lambda x: ~text.is_blank(x["name"])), lambda x: F.transform(F.coalesce(x["technologies"], F.array().cast("array<string>")), lambda t: F.struct(text.strip(x["name"]).alias("project"), t.alias("name")))))
+    parts = [
+        _table("demo_candidates", F.array(F.struct("candidate", "source_document")), (), lambda x: [who, *(x["candidate"][f] for f in ("email", "phone", "location", "linkedin")), x["source_document"]["source_file"]]),
+        table("demo_skills", "skills", ("name",), "name", "category"),
+        table("demo_experience", "experience", ("job_title", "company"), *COMPACT_COLUMNS["demo_experience"][1:]),
+        table("demo_education", "education", ("institution",), "institution", "degree", "location", "graduation_year"),
+        _table("demo_projects", sections["projects"], ("name",), lambda x: [who, text.strip(x["name"]), x["description"], x["url"]]),
+        _table("demo_technologies", used, ("name",), lambda x: [x["project"], x["name"]]),
+        table("demo_certifications", "certifications", ("name",), "name", "issuer", "year"),
+    ]
+    return base.select(F.inline(F.concat(*parts)))
 
 
-def compact_tables(records: DataFrame) -> dict[str, DataFrame]:
-    """The seven tables of the compact bundle, keyed by the candidate's name; records without one are left out. Studies
-    need their institution only, certificates their name only."""
-    base = records.withColumn("candidate_name", text.strip(text.text_or_empty(F.col("candidate.name")))).where("candidate_name != ''")
+def _split(rows: DataFrame, columns: dict[str, list[str]]) -> dict[str, DataFrame]:
+    return {name: rows.where(F.col("table") == name).select(*[F.col("fields")[i].alias(c) for i, c in enumerate(own)]) for name, own in columns.items()}
 
-    def rows(section: str, *required: str) -> DataFrame:
-        return _filled(base.select("candidate_name", F.explode(F.col("sections")[section]).alias("x")), *required)
 
-    projects = rows("projects", "name")
-    return {
-        "demo_candidates": base.select(F.col("candidate_name").alias("name"), "candidate.email", "candidate.phone", "candidate.location", "candidate.linkedin", "source_document.source_file"),
-        "demo_skills": rows("skills", "name").select("candidate_name", "x.name", "x.category"),
-        "demo_experience": rows("experience", "job_title", "company").select("candidate_name", "x.job_title", "x.company", "x.location", "x.start_date", "x.end_date", "x.description"),
-        "demo_education": rows("education", "institution").select("candidate_name", "x.institution", "x.degree", "x.location", F.col("x.graduation_year").alias("date")),
-        "demo_projects": projects.select("candidate_name", text.strip(F.col("x.name")).alias("name"), "x.description", "x.url"),
-        "demo_technologies": projects.select(text.strip(F.col("x.name")).alias("project_name"), F.explode("x.technologies").alias("name")).where(~text.is_blank(F.col("name"))),
-        "demo_certifications": rows("certifications", "name").select("candidate_name", "x.name", "x.issuer", F.col("x.year").alias("date")),
-    }
+def domain_tables(records: DataFrame) -> dict[str, DataFrame]:
+    """The eight tables of the domain bundle; each is a pass over the records (``export_bundle`` makes all in one)."""
+    return _split(domain_rows(records), DOMAIN_COLUMNS)
+
+
+def compact_tables(records: DataFrame) -> dict[str, DataFrame]:
+    """The seven tables of the compact bundle; each is a pass over the records (``export_bundle`` makes all in one)."""
+    return _split(compact_rows(records), COMPACT_COLUMNS)
+
+
+def export_bundle(records: DataFrame, path: str, compact: bool = False) -> dict[str, int]:
+    """All tables of a bundle as CSV under ``path``, and their numbers of rows. The records are parsed once: their rows are
+    written there by table, and each table's CSV is made from its own; these rows are deleted at the end."""
+    rows, columns = (compact_rows(records), COMPACT_COLUMNS) if compact else (domain_rows(records), DOMAIN_COLUMNS)
+    staged, spark = f"{path}/_rows", records.sparkSession
+    rows.write.mode("overwrite").partitionBy("table").parquet(staged)
+    counts = csv_bundle(_split(spark.read.schema("fields array<string>, table string").parquet(staged), columns), path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+    return counts
 
 
 def csv_bundle(tables: dict[str, DataFrame], path: str) -> dict[str, int]:
-    """Each table as CSV with a header in a folder of its name; the numbers of rows."""
+    """Each table as CSV with a header in a folder of its name; the numbers of rows, counted while they are written."""
     counts = {}
     for name, df in tables.items():
-        df.select(*[text.csv_value(F.col(f"`{c}`"), kind).alias(c) for c, kind in df.dtypes]).write.mode("overwrite").csv(f"{path}/{name}", header=True)
-        counts[name] = df.count()
+        seen = Observation()
+        fields = df.select(*[text.csv_value(F.col(f"`{c}`"), kind).alias(c) for c, kind in df.dtypes])
+        fields.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").csv(f"{path}/{name}", header=True)
+        counts[name] = seen.get["n"]
     return counts
 
 

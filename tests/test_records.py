@@ -344,7 +344,12 @@ def test_exports(spark, records, tmp_path):
     counts = sinks.csv_bundle(tables, str(tmp_path / "csv"))
     assert counts == {"resume_candidates": 3, "resume_skills": 8, "resume_experience": 6, "resume_education": 3, "resume_projects": 3, "resume_project_skills": 4, "resume_certifications": 3, "resume_languages": 6}
     assert readers.csv_files(spark, str(tmp_path / "csv/resume_skills")).columns == ["candidate_id", "name", "category"]
+    assert sinks.export_bundle(records, str(tmp_path / "one")) == counts and not (tmp_path / "one" / "_rows").exists()
+    for name, columns in sinks.DOMAIN_COLUMNS.items():
+        one, many = (readers.csv_files(spark, str(tmp_path / folder / name)) for folder in ("one", "csv"))
+        assert one.columns == many.columns == columns and sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
     compact = {k: v.count() for k, v in sinks.compact_tables(records).items()}
+    assert sinks.export_bundle(records.limit(0), str(tmp_path / "none"), compact=True) == dict.fromkeys(sinks.COMPACT_COLUMNS, 0)
     assert compact["demo_education"] == 6 and compact["demo_certifications"] == 6
     raw = graph.domain_graph(records)
     nodes, edges = graph.merge_nodes(raw[0]), graph.merge_edges(raw[1])
