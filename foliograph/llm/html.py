@@ -2,10 +2,13 @@
 
 A page is cut at block-level tags into flat blocks of text. A block's features are its number of words and link density
 (share of its words inside links), the same of the block before and after it, and what the markup says: whether it lies
-in an article or main element, in an element for something else (menu, footer, form, ..., by tag, role, class or id), and
-whether it is a heading. A CART tree trained on ``PAGES`` tells article from the rest. Its table holds each block four
-times: with all markup, without article and main, without any but headings, and without any. So words and links decide
-wherever markup is silent.
+in an article or main element, in an element for something else (2 by tag, or called a comment or hidden; 1 by another class,
+id or role), and whether it is a heading. A CART tree trained on ``PAGES`` tells article from the rest. Its table holds each
+page in several layouts, and each block four times: with all markup, without article and main, without any but headings, and
+without any. So words and links decide wherever markup is silent, and long blocks among long ones outvote a class.
+
+A class, id or role names something else if its last word does ("post-sidebar", "share-buttons"), unless it tells of what is
+beside it ("has-sidebar"); what article and main elements are called themselves doesn't count, but for comments.
 
 Text is kept as it is but for character references, which are decoded, and white space, which becomes one space; a line
 break element is white space. Script, style and other elements without running text are skipped, to their end tag; one
@@ -19,6 +22,7 @@ an empty table gives an empty one; other columns are dropped. Nothing is kept bu
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -53,6 +57,9 @@ CONCEALED = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hi
 #: The end tags of elements that are left out as a whole.
 ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW | SKIPPED}
 WORDS = re.compile(r"[A-Za-z]+")
+#: Words of a class that tell of what is beside the element, and last words that tell nothing; fixed values.
+BESIDE = frozenset("has have with without no not hide show is on off".split())
+EMPTY = frozenset("area bar block bottom box button buttons container group icons inner item items left links list panel right row section slot top unit wrap wrapper".split())
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: The labelled table: a page on each line, its blocks as kind, words, and, after a slash, link density in percent (if not 0,
@@ -104,26 +111,52 @@ a30 n1 n1 h6 p35 p28 p19 n1 n1 n2
 h8 p25 p14 p31 s2/100 s3/100
 n1 n1 h5 p22 p24 p18
 n2 n1 n2 h9 p200/20 p90 p40 o4 o12 f5 n2 n3
+p2
+p5
+p9
+p20
+h4 p5
+h3 p12 p30
+a1
 """
 
 
+def layouts(page: list[tuple]) -> list[list[tuple]]:
+    """The page as it is, with menus of two and three words, with a menu of one line, without menus, without adverts, without
+    what comes before the article, after it, and both."""
+    own = [i for i, (kind, *_) in enumerate(page) if kind in "hp"]
+    if not own:
+        return [page] * 9
+    first, last = own[0], own[-1] + 1
+    longer = lambda k: [(kind, words + k, links) if kind == "n" else (kind, words, links) for kind, words, links in page]
+    menu = sum(words for kind, words, _ in page[:first] if kind == "n")
+    line = [("n", menu, 1.0)] * (menu > 0) + [c for i, c in enumerate(page) if c[0] != "n" or i >= first]
+    without = lambda kinds: [c for c in page if c[0] not in kinds]
+    return [page, longer(1), longer(2), line, without("n"), without("a"), page[first:], page[:last], page[first:last]]
+
+
 def labelled() -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the table's blocks. Comments are like article text but for their markup, so without that they
     are no example of either."""
     x, y = [], []
-    for line in PAGES.split("\n"):
-        cells = [(c[0], *map(int, c[1:].split("/"))) for c in line.split()]
-        page = [(k, n, (v[0] if v else 100 * (k == "n")) / 100) for k, n, *v in cells]
-        edge = ("", 0, 0.0)
+    pages = [[(c[0], *map(int, c[1:].split("/"))) for c in line.split()] for line in PAGES.split("\n") if line]
+    pages = [[(k, n, (v[0] if v else 100 * (k == "n")) / 100) for k, n, *v in cells] for cells in pages]
+    edge = ("", 0, 0.0)
+    for page in [variant for page in pages for variant in layouts(page)]:
         for before, (kind, words, links), after in zip([edge, *page], page, [*page[1:], edge]):
             own = int(kind in "hp")
             for main, chrome, heading in ((1, 1, 1), (0, 1, 1), (0, 0, 1), (0, 0, 0)):
-                if kind != "c" or chrome:
-                    x.append((words, links, *before[1:], *after[1:], own * main, chrome * (1 - own), heading * (kind in "ht")))
-                    y.append(own)
+                for level in (1, 2) if chrome and not own else (chrome,):
+                    if kind != "c" or level == 2:
+                        x.append((words, links, *before[1:], *after[1:], own * main, level * (1 - own), heading * (kind in "ht")))
+                        y.append(own)
             # inside an article element, markup tells both ways: short blocks as these are stand there, too
-            x += [(words, links, *before[1:], *after[1:], 1, chrome, int(kind in "ht")) for chrome in (0, 1)]
-            y += [1, 0]
+            x += [(words, links, *before[1:], *after[1:], 1, chrome, int(kind in "ht")) for chrome in (0, 1, 2)]
+            y += [1, 0, 0]
+    # long text among long text is the article's, whatever class it has
+    for words, before, after, links in itertools.product((60, 90, 150, 300), (25, 45, 80, 160), (25, 45, 80, 160), (0.0, 0.05)):
+        x += [(words, links, before, links, after, links, main, 1, 0) for main in (0, 1)] * 12
+        y += [1, 1] * 12
     return np.array(x, float), np.array(y)
 
 
@@ -131,7 +164,7 @@ class Tree:
     """CART with the Gini impurity; nested tuples (feature, cut, below or equal, above), leaves are labels. A leaf has
     ``least`` examples or more."""
 
-    def __init__(self, depth: int = 6, least: int = 8):
+    def __init__(self, depth: int = 8, least: int = 8):
         self.depth, self.least, self.root = depth, least, 0
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Tree:
@@ -182,9 +215,16 @@ def _says(attributes: str) -> tuple[bool, bool]:
     """Whether class, id or role name something other than the article; whether that holds for articles inside, too."""
     if not attributes:
         return False, False
-    words = {w.lower() for m in NAMED.findall(attributes) for w in WORDS.findall(CAMEL.sub(" ", m))}
-    lasting = not words.isdisjoint(LASTING) or bool(CONCEALED.search(attributes))
-    return not words.isdisjoint(HINTS), lasting
+    hint = lasting = False
+    for value in NAMED.findall(attributes):
+        for name in value.strip("\"'").split():
+            words = [w.lower() for w in WORDS.findall(CAMEL.sub(" ", name))]
+            while len(words) > 1 and words[-1] in EMPTY:
+                words.pop()
+            if words and BESIDE.isdisjoint(words):
+                hint |= words[-1] in HINTS
+                lasting |= words[-1] in LASTING
+    return hint, lasting or bool(CONCEALED.search(attributes))
 
 
 def blocks(page: str) -> list[Block]:
@@ -201,7 +241,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal parts, linked
         words = "".join(parts).split()
         if words:
-            found.append(Block(" ".join(words), len(words), min(1.0, len("".join(linked).split()) / len(words)), main, int(chrome or lasting), int(heading > 0)))
+            found.append(Block(" ".join(words), len(words), min(1.0, len("".join(linked).split()) / len(words)), main, 2 if lasting else chrome, int(heading > 0)))
         parts, linked = [], []
 
     missing: set[str] = set()  # names with no end tag further on
@@ -275,8 +315,10 @@ def blocks(page: str) -> list[Block]:
             stack.append((name, main, chrome, lasting))
             if name in MAIN:
                 main, chrome = 1, 0
-            if name in CHROME and not (name == "header" and main) or hint and not heading and name != "body":
-                chrome = 1
+            elif name in CHROME and not (name == "header" and main):
+                chrome = 2
+            elif hint and not heading and name != "body":
+                chrome = max(chrome, 1)
             if last:
                 lasting = 1
     flush()
