@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip, text_or_empty
+from .text import canonical, json_string, strip, text_or_empty
 
 
 def digest_id(prefix: str, *parts: Column, length: int) -> Column:
@@ -35,12 +35,11 @@ def claim_id(section: Column, index: Column, field: Column, value: Column) -> Co
     return digest_id("claim", section, F.coalesce(index.cast("string"), F.lit("None")), field, value, length=16)
 
 
-def rel_id(source: Column, kind: Column, target: Column, properties: Column) -> Column:
-    """Of an edge's canonical text: sorted keys, a space after each colon and comma."""
-
-    def quoted(c: Column) -> Column:
-        return F.concat(F.lit('"'), F.regexp_replace(c, r'(["\\])', r"\\$1"), F.lit('"'))
-
-    entries = F.transform(F.array_sort(F.map_entries(properties)), lambda e: F.concat(quoted(e.key), F.lit(": "), quoted(F.coalesce(e.value, F.lit("")))))
-    text = F.concat(F.lit('{"from": '), quoted(source), F.lit(', "properties": {'), F.array_join(entries, ", "), F.lit('}, "to": '), quoted(target), F.lit(', "type": '), quoted(kind), F.lit("}"))
+def rel_id(source: Column, kind: Column, target: Column, properties: Column, typed: bool = False) -> Column:
+    """Of an edge's canonical text: sorted keys, a space after each colon and comma. The properties are a map of strings, or
+    ``typed``, of Variants, whose numbers, booleans, lists and objects are written as such."""
+    value = canonical if typed else lambda v: json_string(F.coalesce(v, F.lit("")))
+    texts = F.transform(F.map_entries(properties), lambda e: F.struct(e["key"].alias("key"), value(e["value"]).alias("text")))
+    entries = F.transform(F.array_sort(texts), lambda e: F.concat(json_string(e["key"]), F.lit(": "), e["text"]))
+    text = F.concat(F.lit('{"from": '), json_string(source), F.lit(', "properties": {'), F.array_join(entries, ", "), F.lit('}, "to": '), json_string(target), F.lit(', "type": '), json_string(kind), F.lit("}"))
     return F.concat(F.lit("rel_"), F.substring(F.sha2(text, 256), 1, 20))

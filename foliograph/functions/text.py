@@ -118,10 +118,47 @@ def pairs(body: Column, value: str) -> Column:
     return F.transform(items, cut)
 
 
+def json_string(c: Column) -> Column:
+    """A string as JSON text: quotes, backslashes and control characters escaped, everything else as it is."""
+    out = F.regexp_replace(c, r'(["\\])', r"\\$1")
+    for plain, letter in (("\n", "n"), ("\r", "r"), ("\t", "t"), ("\b", "b"), ("\f", "f")):
+        out = F.replace(out, F.lit(plain), F.lit(f"\\{letter}"))
+    rare = out
+    for code in (n for n in range(32) if chr(n) not in "\n\r\t\b\f"):
+        rare = F.replace(rare, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+    return F.concat(F.lit('"'), F.when(F.rlike(out, F.lit("[\\x00-\\x1f]")), rare).otherwise(out), F.lit('"'))
+
+
+#: How deep lists and objects in a property are written out as such; what lies deeper is written without spaces.
+DEPTH = 3
+
+
+def canonical(value: Column, depth: int = DEPTH) -> Column:
+    """JSON text of a Variant: sorted keys, a space after each colon and comma; a missing value is null."""
+    kind = F.schema_of_variant(value)
+    plain = F.when(kind == "STRING", json_string(F.try_variant_get(value, "$", "string"))).otherwise(F.to_json(value))
+    if depth:
+        items = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: canonical(x, depth - 1))
+        entries = F.array_sort(F.transform(F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("key"), canonical(e["value"], depth - 1).alias("text"))))
+        members = F.transform(entries, lambda e: F.concat(json_string(e["key"]), F.lit(": "), e["text"]))
+        array = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+        object_ = F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+        plain = F.when(F.startswith(kind, F.lit("ARRAY")), array).when(F.startswith(kind, F.lit("OBJECT")), object_).otherwise(plain)
+    return F.coalesce(plain, F.lit("null"))
+
+
+def store_value(value: Column) -> Column:
+    """A property as a graph store takes it: scalars and lists of scalars stay, everything nested becomes its JSON text."""
+    kind = F.schema_of_variant(value)
+    nested = lambda k: F.startswith(k, F.lit("OBJECT")) | F.startswith(k, F.lit("ARRAY"))
+    flat = ~F.exists(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.coalesce(nested(F.schema_of_variant(x)), F.lit(False)))
+    keep = F.when(F.startswith(kind, F.lit("ARRAY")), flat).otherwise(~F.startswith(kind, F.lit("OBJECT")))
+    return F.when(F.coalesce(keep, F.lit(True)), value).otherwise(F.parse_json(json_string(canonical(value))))
+
+
 def python_list(items: Column) -> Column:
     """JSON text of a list of strings or numbers, with a space after each comma."""
-    quoted = F.transform(items, lambda x: F.concat(F.lit('"'), F.regexp_replace(x.cast("string"), r'(["\\])', r"\\$1"), F.lit('"')))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: json_string(x.cast("string"))), ", "), F.lit("]"))
 
 
 def csv_value(c: Column, kind: str) -> Column:

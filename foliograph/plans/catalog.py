@@ -316,6 +316,19 @@ def rel_ids(spark, sf_dir):
     return edges.select(F.col("src").alias("from_id"), "type", F.col("dst").alias("to_id"), ids.rel_id(F.col("src"), F.col("type"), F.col("dst"), F.create_map(F.lit("kind"), F.lower("type"))).alias("rel_id"))
 
 
+@query("""WITH d AS (SELECT event_id, user_id, value, event_type, '{"from": "u' || user_id || '", "properties": {"flags": [' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END || ', null], "n": ' || event_id || ', "note": "' || event_type || '\\n\\t\\"é\\\\", "of": {"a": 1, "b": ["x"]}}, "to": "e' || event_id || '", "type": "MADE"}' AS text FROM events)
+    SELECT event_id, 'rel_' || substr(sha256(text), 1, 20) AS rel_id, '{"a": 1, "b": ["x"]}' AS "of", '[' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END || ',null]' AS flags FROM d""")
+def typed_edge_ids(spark, sf_dir):
+    """Ids of edges whose properties are numbers, lists, objects, and texts with line feeds, tabs, quotes and other letters."""
+    note = F.concat(F.coalesce("event_type", F.lit("")), F.lit('\n\t"é\\'))
+    of = F.parse_json(F.lit('{"b": ["x"], "a": 1}'))
+    flags = F.parse_json(F.concat(F.lit("["), (F.col("event_id") % 2 == 0).cast("string"), F.lit(",null]")))
+    rows = _t(spark, sf_dir, "events").select("event_id", "user_id", F.create_map(F.lit("of"), of, F.lit("note"), F.parse_json(text.json_string(note)), F.lit("n"), F.parse_json(F.col("event_id").cast("string")), F.lit("flags"), flags).alias("p"))
+    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    kept = lambda name: F.to_json(text.store_value(F.col("p")[name]))
+    return rows.select("event_id", ids.rel_id(key("u", "user_id"), F.lit("MADE"), key("e", "event_id"), F.col("p"), typed=True).alias("rel_id"), F.try_variant_get(text.store_value(F.col("p")["of"]), "$", "string").alias("of"), kept("flags").alias("flags"))
+
+
 @query("SELECT 's' || s_suppkey AS graph_id, s_acctbal::VARCHAR AS balance, s_name AS name FROM supplier WHERE s_acctbal = floor(s_acctbal) UNION ALL SELECT 's' || s_suppkey, '', s_name FROM supplier WHERE s_acctbal <> floor(s_acctbal)")
 def csv_export_nodes(spark, sf_dir):
     from ..sources import sinks

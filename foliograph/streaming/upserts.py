@@ -65,8 +65,10 @@ def load_collection(documents: DataFrame, path: str, checkpoint: str) -> Streami
     """Upsert the section documents of streamed texts into the collection under ``path``."""
 
     def each(batch: DataFrame, epoch: int) -> None:
-        rows = vector.section_documents(parse.parse(batch)).select("id", "document").dropDuplicates(["id"])
-        upsert_store(rows, path, vector.upsert)
+        parsed = parse.parse(batch)
+        # of two files with one person, the later in the order of names wins, as for nodes
+        rows = vector.section_documents(parsed).select("id", "document", F.col("metadata.source_file").alias("file"))
+        upsert_store(rows.groupBy("id").agg(F.max_by("document", F.struct("file", "document")).alias("document")), path, vector.upsert)
 
     return documents.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -488,3 +488,29 @@ def test_one_scan_for_each_graph(spark, tmp_path):
         for df in (graph.merge_nodes(raw[0]), graph.merge_edges(raw[1])):
             plan = df._jdf.queryExecution().executedPlan().toString()
             assert plan.split("== Initial Plan ==")[0].count("FileScan") == 1
+
+
+def test_canonical_json(spark):
+    """As Python writes it, with sorted keys and letters kept; nested values as a graph store takes them."""
+    import json
+
+    texts = ["", 'a"b\\c', "x\ny\tz\r\b\f", "\x00\x01\x1f\x7f", "é漢\U0001f600</", "$1 \\1"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0]: r[1] for r in rows.select("t", text.json_string(F.col("t"))).collect()} == {t: json.dumps(t, ensure_ascii=False) for t in texts}
+    values = [1, -2.5, True, None, "q\n", [1, [2, "a"], {"z": 1, "a": None}], {"b": [], "a": {"k": {"y": 1, "x": 2}}}, [], {}, ["x", 1, None]]
+    rows = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "i int, v string").select("i", F.parse_json("v").alias("v"))
+    found = {r["i"]: r for r in rows.select("i", text.canonical(F.col("v")).alias("c"), F.to_json(text.store_value(F.col("v"))).alias("s")).collect()}
+    for i, v in enumerate(values):
+        whole = json.dumps(v, sort_keys=True, ensure_ascii=False)
+        assert found[i]["c"] == whole
+        nested = isinstance(v, dict) or isinstance(v, list) and any(isinstance(x, (list, dict)) for x in v)
+        assert json.loads(found[i]["s"]) == (whole if nested else v)
+
+
+def test_rows_without_vectors_take_no_part(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (4, [None, 1.0]), (5, [0.0, 0.0])], "id int, embedding array<double>")
+    queries = spark.createDataFrame([(7, [1.0, 0.1]), (8, None)], "query_id int, vector array<double>")
+    found = [(r["query_id"], r["id"], r["rank"]) for r in vector.search(rows, queries, 5).orderBy("rank").collect()]
+    assert found == [(7, 1, 1), (7, 3, 2), (7, 5, 3)]
+    index = vector.centres(rows, 2)
+    assert sorted(r["id"] for r in vector.probe(vector.with_cells(rows, index), queries, index, 5, 2).collect()) == [1, 3, 5]
