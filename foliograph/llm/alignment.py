@@ -35,7 +35,7 @@ from .bpe import SPACED_PATTERN
 from .common import written
 
 #: Characters of text in a chunk; distinct parts whose ids a task remembers before it starts anew.
-CHUNK, CACHE = 2_000_000, 150_000
+CHUNK, CACHE = 2_000_000, 100_000
 #: Tokens of a part that are looked up one by one.
 FEW = 64
 #: Pairs whose counts are broadcast (some 50 bytes each).
@@ -62,7 +62,6 @@ class ByteTokens:
         import json
 
         import tiktoken
-        from tokenizers import Tokenizer
 
         rules = json.loads(definition)
         letters, vocabulary, own = byte_letters(), rules["model"]["vocab"], rules.get("pre_tokenizer") or {}
@@ -76,6 +75,8 @@ class ByteTokens:
             encode = tiktoken.Encoding("own", pat_str=SPACED_PATTERN, mergeable_ranks={p: i for i, p in enumerate(self.pieces)}, special_tokens={}).encode_ordinary
             self.encode = lambda parts: list(map(encode, parts))
         else:
+            from tokenizers import Tokenizer
+
             tokenizer = Tokenizer.from_str(definition)
             tokenizer.encode_special_tokens = True
             self.encode = lambda parts: [e.ids for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -183,9 +184,12 @@ def tokenised(df: DataFrame, definition: str, model: bytes, text: str = "text",
                 if size >= chunk:
                     yield pair.chunk(pa.concat_arrays([*ids, batch.column(0).slice(first, at + 1 - first)]), texts)
                     ids, texts, size, first = [], [], 0, at + 1
+                    pa.default_memory_pool().release_unused()
             ids.append(batch.column(0).slice(first))
         if texts:
             yield pair.chunk(pa.concat_arrays(ids), texts)
+        del pair  # the worker stays for other tasks
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)
 
