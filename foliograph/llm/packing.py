@@ -16,6 +16,7 @@ tokenizer's file says.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -52,12 +53,18 @@ class Words:
         self.tokenizer = Tokenizer.from_str(definition)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
+        self.lowers = [n.get("type") for n in (json.loads(definition).get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+
+    def lowered(self, text: bytes) -> bytes:
+        """The text with A-Z lower-cased, if the tokenizer does that anyway: not beside marks that combine with letters, which it
+        does first, nor in what may be a special token."""
+        return text.lower() if self.lowers and not any(mark in text for mark in (b"\xcc", b"\xcd", b"<|")) else text
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as ``kind``."""
         if len(self.known) > CACHE:
             self.known.clear()
-        cut = [text.encode().split() for text in texts]
+        cut = [self.lowered(text.encode()).split() for text in texts]
         new = list(set().union(*cut).difference(self.known))
         for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
             self.known[word] = np.array(found.ids, self.kind).tobytes()
