@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
 
@@ -35,20 +39,34 @@ def page_size(words: DataFrame) -> DataFrame:
     return words.groupBy("document_id", "page_number").agg(F.coalesce(F.median(F.nullif("size", F.lit(0.0))), F.lit(DEFAULT_SIZE)).alias("body_size"))
 
 
+def numbered_lines(words: DataFrame, place: list[str], gap: float = LINE_GAP) -> DataFrame:
+    """``words`` with the number of their line, from 1 on each page: a word opens a line when its top is over ``gap`` from the
+    top of the line's first word. That is a fold over a page in the order of ``place``, so the sorted rows of a partition are
+    scanned once, with the page, the line and its top as all that is kept."""
+    schema = T.StructType([*words.schema.fields, T.StructField("line", T.IntegerType())])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, anchor, line = None, None, 0
+        for batch in batches:
+            numbers = []
+            for *key, top in zip(*[batch.column(c).to_pylist() for c in ("document_id", "page_number", "top")]):
+                if key != page:
+                    page, anchor, line = key, None, 0
+                if anchor is None or (top is not None and abs(top - anchor) > gap):
+                    anchor, line = top, line + 1
+                numbers.append(line)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int32())], names=[*batch.schema.names, "line"])
+
+    page = ["document_id", "page_number"]
+    return words.repartition(*page).sortWithinPartitions(*page, *place).mapInArrow(scan, schema)
+
+
 def lines(words: DataFrame) -> DataFrame:
-    """Lines of a page's words (document_id, page_number, text, x0, top, x1, bottom, size, fontname). A word opens a new
-    line when its top is over ``LINE_GAP`` from the top of the line's first word, so the grouping is a fold over a page."""
-    word = F.struct(F.round("top", 1).alias("row"), F.col("x0"), F.col("top"), F.col("x1"), F.col("bottom"), F.col("size"), F.col("fontname"), F.col("text"))
-    pages = words.groupBy("document_id", "page_number").agg(F.array_sort(F.collect_list(word)).alias("words"), F.coalesce(F.median(F.nullif("size", F.lit(0.0))), F.lit(DEFAULT_SIZE)).alias("body_size"))
-    empty = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(0).alias("line"), F.array().cast("array<int>").alias("of"))
-
-    def step(state: Column, w: Column) -> Column:
-        opens = state.anchor.isNull() | (F.abs(w.top - state.anchor) > LINE_GAP)
-        line = F.when(opens, state.line + 1).otherwise(state.line)
-        return F.struct(F.when(opens, w.top).otherwise(state.anchor).alias("anchor"), line.alias("line"), F.concat(state.of, F.array(line)).alias("of"))
-
-    numbered = pages.withColumn("of", F.aggregate("words", empty, step, lambda s: s.of))
-    each = numbered.select("document_id", "page_number", "body_size", F.explode(F.arrays_zip("words", "of")).alias("w")).select("document_id", "page_number", "body_size", "w.words.*", F.col("w.of").alias("line"))
+    """Lines of a page's words (document_id, page_number, text, x0, top, x1, bottom, size, fontname), the words of a line from
+    left to right."""
+    own = words.select("document_id", "page_number", F.round("top", 1).alias("row"), "x0", "top", "x1", "bottom", "size", "fontname", "text")
+    sized = own.withColumn("body_size", F.coalesce(F.median(F.nullif("size", F.lit(0.0))).over(Window.partitionBy("document_id", "page_number")), F.lit(DEFAULT_SIZE)))
+    each = numbered_lines(sized, ["row", "x0", "top", "x1", "bottom", "size", "fontname", "text"])
     out = each.groupBy("document_id", "page_number", "line").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "row", "text"))), lambda x: x.text), " ").alias("text"),
         F.round(F.min("x0"), 2).alias("x0"),
@@ -106,26 +124,54 @@ def structure(items: DataFrame) -> DataFrame:
     return placed.withColumns({"page_id": page_id, "block_id": F.concat_ws("_", page_id, F.lit("block"), "reading_order"), "section_id": F.concat_ws("_", "document_id", F.lit("section"), "section_number")})
 
 
+def _texts_before(page: list[str], at: str, ahead: bool) -> Column:
+    """How many texts come up to a row by the point ``at``, from above or, with ``ahead``, from below. A text at an asset's own
+    point lies ahead; of texts at one point the first one read comes last, which is next to the asset."""
+    point, own = (F.col(at).desc(), F.col("text").isNull()) if ahead else (F.col(at).asc(), F.col("text").isNotNull())
+    order = Window.partitionBy(*page).orderBy(point, own, F.col("text.reading_order").desc())
+    return F.count("text").over(order.rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _near(assets: DataFrame, texts: DataFrame, page: list[str], sides: list[tuple[str, str, bool]], k: int) -> DataFrame:
+    """``assets``, as the struct ``own``, with an array of texts for each of ``sides`` (the asset's edge, the text's edge, ahead
+    or not): the ``k`` nearest texts of the page on that side. Assets and texts are sorted together; each row's number is the
+    count of texts so far, and so the last k texts are a range of numbers. One exchange, no pairs."""
+    held = texts.dropna(subset=[*page, "t_top", "t_bottom"]).select(*page, F.lit(None).cast(assets.schema).alias("own"), F.struct("t_top", "t_bottom", "reading_order", "block_id", "text").alias("text"))
+    asked = assets.select(*page, F.struct(*assets.columns).alias("own"), F.lit(None).cast(held.schema["text"].dataType).alias("text"))
+    rows = asked.unionByName(held)
+    for i, (edge, other, ahead) in enumerate(sides):
+        rows = rows.withColumn("__at", F.coalesce(F.col(f"text.{other}"), F.col(f"own.{edge}")))
+        rows = rows.withColumn("__n", _texts_before(page, "__at", ahead))
+        last = Window.partitionBy(*page).orderBy("__n").rangeBetween(1 - k, 0)
+        rows = rows.withColumn(f"side_{i}", F.collect_list("text").over(last))
+    return rows.where("own is not null")
+
+
 def nearest_context(assets: DataFrame, texts: DataFrame, page: list[str], k: int = CONTEXT_BLOCKS) -> DataFrame:
     """For each asset the ids and texts of its ``k`` nearest text blocks of the page, blank ones then left out. Assets:
-    asset_id, top, bottom; texts: block_id, text, t_top, t_bottom, reading_order."""
-    distance = F.least(F.abs(F.col("t_top") - F.col("bottom")), F.abs(F.col("top") - F.col("t_bottom")))
-    near = Window.partitionBy("asset_id").orderBy("distance", "reading_order")
-    ranked = assets.join(texts, page).withColumn("distance", distance).withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k).where("text != ''")
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "block_id", "text")))
-    found = ranked.groupBy("asset_id").agg(ordered.alias("c"))
-    return assets.join(found, "asset_id", "left").select(
-        *assets.columns,
-        F.coalesce(F.transform("c", lambda x: x.block_id), F.array().cast("array<string>")).alias("context_block_ids"),
-        F.coalesce(F.array_join(F.transform("c", lambda x: x.text), " | "), F.lit("")).alias("nearby_text"),
-    )
+    asset_id, top, bottom; texts: block_id, text, t_top, t_bottom, reading_order (which no two texts of a page share).
+    The distance is that of the facing edges, so a text among the k nearest is among the k nearest above or below by one of
+    the two pairs of edges. Texts and assets without a box, or without a page, have no distance."""
+    sides = [("bottom", "t_top", False), ("bottom", "t_top", True), ("top", "t_bottom", False), ("top", "t_bottom", True)]
+    met = _near(assets, texts, page, sides, k)
+    top, bottom = F.col("own.top"), F.col("own.bottom")
+
+    def ranked(x: Column) -> Column:
+        distance = F.least(F.abs(x["t_top"] - bottom), F.abs(top - x["t_bottom"]))
+        return F.struct(distance.alias("distance"), x["reading_order"].alias("reading_order"), x["block_id"].alias("block_id"), x["text"].alias("text"))
+
+    nearest = F.slice(F.array_sort(F.array_distinct(F.transform(F.concat(*[f"side_{i}" for i in range(len(sides))]), ranked))), 1, k)
+    boxed = F.when(top.isNotNull() & bottom.isNotNull(), F.filter(nearest, lambda x: x["text"] != ""))
+    found = met.withColumn("c", F.coalesce(boxed, F.filter(nearest, lambda x: F.lit(False))))
+    return found.select("own.*", F.transform("c", lambda x: x["block_id"]).alias("context_block_ids"), F.array_join(F.transform("c", lambda x: x["text"]), " | ").alias("nearby_text"))
 
 
 def captions(assets: DataFrame, texts: DataFrame, page: list[str], gap: float = CAPTION_GAP) -> DataFrame:
     """``caption``: the topmost text that starts at most ``gap`` below the asset; empty if there is none."""
-    below = assets.join(texts, page).where((F.col("t_top") - F.col("bottom")).between(0, gap))
-    found = below.groupBy("asset_id").agg(F.min_by("text", F.struct("t_top", "reading_order")).alias("caption"))
-    return assets.join(found, "asset_id", "left").withColumn("caption", F.coalesce("caption", F.lit("")))
+    met = _near(assets, texts, page, [("bottom", "t_top", True)], 1)
+    first = F.get("side_0", F.lit(0))
+    caption = F.when(first["t_top"] - F.col("own.bottom") <= gap, first["text"])
+    return met.select("own.*", F.coalesce(caption, F.lit("")).alias("caption"))
 
 
 def next_blocks(blocks: DataFrame, document: list[str], order: list[str], key: str) -> DataFrame:
