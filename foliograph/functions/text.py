@@ -161,6 +161,21 @@ def python_list(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: json_string(x.cast("string"))), ", "), F.lit("]"))
 
 
+def python_repr(items: Column) -> Column:
+    """A list of strings as Python prints it: single quotes, or double ones around a string with single quotes alone. Line
+    feeds, tabs, returns and backslashes are escaped, rarer unprintable characters aren't."""
+
+    def one(x: Column) -> Column:
+        x = x.cast("string")
+        for plain, letter in (("\\", "\\"), ("\n", "n"), ("\r", "r"), ("\t", "t")):
+            x = F.replace(x, F.lit(plain), F.lit(f"\\{letter}"))
+        single, double = (F.contains(x, F.lit(q)) for q in ("'", '"'))
+        quoted = lambda q, t: F.concat(F.lit(q), t, F.lit(q))
+        return F.when(single & ~double, quoted('"', x)).otherwise(quoted("'", F.replace(x, F.lit("'"), F.lit("\\'"))))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(items, one), ", ", "None"), F.lit("]"))
+
+
 def csv_value(c: Column, kind: str) -> Column:
     """A value as a CSV field: null is empty, a boolean true or false, nested values JSON."""
     if kind.startswith(("array", "map", "struct")):

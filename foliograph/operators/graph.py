@@ -253,15 +253,17 @@ def document_graph(documents: DataFrame, pages: DataFrame, sections: DataFrame,
     return _union(nodes), _union(edges)
 
 
-def provenance_edges(grounded: DataFrame, candidates: DataFrame, nodes: DataFrame) -> DataFrame:
+def provenance_edges(grounded: DataFrame, candidates: DataFrame, nodes: DataFrame, typed: bool = False) -> DataFrame:
     """EXTRACTED_FROM edges of grounded claims, both ends of which are among ``nodes``. Candidates: stem, cand. The
-    claim's node is its document's candidate, a given node, or the entity with the claim's label and key."""
+    claim's node is its document's candidate, a given node, or the entity with the claim's label and key. The properties are
+    strings or, ``typed``, Variants, with page and score as numbers; a list's value is its JSON text."""
     key = F.concat_ws("|", F.transform("ref_key", lambda k: F.lower(text.strip(text.text_or_empty(k)))))
     entity = F.concat(F.lower("ref_label"), F.lit("_"), F.substring(F.sha2(key, 256), 1, 16))
     sourced = grounded.where("grounded").join(candidates, "stem", "left").withColumn("src", F.when(F.col("ref_label") == "Candidate", F.col("cand")).when(F.col("ref_node") != "", F.col("ref_node")).otherwise(entity))
-    known = nodes.select("id")
+    known = nodes.select("id").distinct()
     kept = sourced.join(known.withColumnRenamed("id", "src"), "src", "left_semi").join(known.withColumnRenamed("id", "block_id"), "block_id", "left_semi")
-    properties = _props(**{c: F.col(c) for c in ("claim_id", "field", "value", "page_number", "match_type")}, score=F.round("score", 3)) if "page_number" in grounded.columns else _props(**{c: F.col(c) for c in ("claim_id", "field", "value", "match_type")}, score=F.round("score", 3))
+    values = {c: F.col(c) for c in ("claim_id", "field", "page_number", "match_type")} | {"value": F.coalesce(text.python_list(F.col("items")), F.col("value")), "score": F.round("score", 3)}
+    properties = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v.cast("variant"))]) if typed else _props(**values)
     return kept.select("src", F.lit("EXTRACTED_FROM").alias("type"), F.col("block_id").alias("dst"), F.col("claim_id").alias("identity"), properties.alias("properties"))
 
 

@@ -241,10 +241,11 @@ _CLAIMS = f"""k AS (SELECT ck, 'candidate' AS section, 'None' AS i, 'name' AS fi
             unnest([{_id('Role', 'pr')}, {_id('Company', 's_name')}, {_id('Company', 's_name')}, {_id('Company', 's_name')}, {_id('Company', 's_name')}, {_id('Company', 's_name')}]) FROM c JOIN j ON c.ck = j.ck
         UNION ALL SELECT ck, 'education', '0', unnest(['degree', 'institution', 'location', 'graduation_year']), unnest(['B.Sc.', place || ' College', region, '1999']), unnest(['Degree', 'Institution', 'Institution', 'Institution']),
             unnest([{_id('Degree', "'B.Sc.'")}, {_id('Institution', "place || ' College'")}, {_id('Institution', "place || ' College'")}, {_id('Institution', "place || ' College'")}]) FROM c
-        UNION ALL SELECT c.ck, 'projects', (k - 1)::VARCHAR, unnest(['name', 'technologies', 'description']), unnest(['Work ' || ok, p_name || ' ' || p_brand, 'In ' || st]), 'Project', cand || '_proj_' || k FROM c JOIN j ON c.ck = j.ck WHERE k IS NOT NULL
+        UNION ALL SELECT c.ck, 'projects', (k - 1)::VARCHAR, unnest(['name', 'technologies', 'description']), unnest(['Work ' || ok, p_name || chr(31) || p_brand, 'In ' || st]), 'Project', cand || '_proj_' || k FROM c JOIN j ON c.ck = j.ck WHERE k IS NOT NULL
         UNION ALL SELECT ck, 'certifications', '0', unnest(['name', 'issuer', 'year']), unnest([segment, 'Board of ' || region, '2001']), 'Certification', {_id('Certification', 'segment', "'Board of ' || region")} FROM c UNION ALL SELECT ck, 'certifications', '1', 'name', 'No issuer', 'Certification', {_id('Certification', "'No issuer'", "''")} FROM c
         UNION ALL SELECT ck, 'languages', '0', unnest(['name', 'proficiency']), unnest([place, 'Native']), 'Language', {_id('Language', 'place')} FROM c UNION ALL SELECT ck, 'languages', '1', 'name', 'English', 'Language', {_id('Language', "'English'")} FROM c),
-    q AS MATERIALIZED (SELECT *, 'claim_' || substr(sha256(section || '|' || i || '|' || field || '|' || value), 1, 16) AS claim_id FROM k)"""
+    r AS (SELECT *, CASE WHEN field = 'technologies' THEN '[''' || split_part(value, chr(31), 1) || ''', ''' || split_part(value, chr(31), 2) || ''']' ELSE value END AS written FROM k),
+    q AS MATERIALIZED (SELECT * EXCLUDE (value, written), replace(value, chr(31), ' ') AS value, CASE WHEN field = 'technologies' THEN replace(written, '''', '"') ELSE value END AS prop, 'claim_' || substr(sha256(section || '|' || i || '|' || field || '|' || written), 1, 16) AS claim_id FROM r)"""
 _GROUND = f"""b AS (SELECT ck, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS position FROM t),
     h AS MATERIALIZED (SELECT ck, position, {_N.format('line')} AS h FROM b WHERE position % 7 <> 6 AND {_N.format('line')} <> ''),
     a AS (SELECT DISTINCT ck, claim_id, {_N.format('value')} AS v FROM q),
@@ -275,6 +276,45 @@ def provenance_graph_edges(spark, sf_dir):
     return graph.provenance_edges(_grounded(spark, sf_dir), people, nodes).select("src", "type", "dst", "identity").distinct()
 
 
+def _placed(lines: DataFrame) -> DataFrame:
+    """Lines with the page (twenty lines each), the section (opened by a line with a mark) and the box that they stand in."""
+    at, width = F.col("position"), F.length("text")
+    placed = layout.with_sections(lines, ["stem"], ["position"], F.startswith("text", F.lit("[")))
+    box = F.array(*[x.cast("double") for x in (F.lit(0), at * 12, width * 6, at * 12 + 10)])
+    return placed.withColumns({"page_number": F.floor(at / 20).cast("int") + 1, "section_id": F.concat_ws("_section_", "stem", "section_number"), "bbox": box})
+
+
+_PLACED = """w AS MATERIALIZED (SELECT ck, position, line, (position // 20 + 1)::INT AS page_number, ck || '_section_' || (1 + sum((line[1] = '[')::INT) OVER (PARTITION BY ck ORDER BY position)) AS section_id FROM b)"""
+
+
+@query(f"""WITH {_TEXTS}, {_CLAIMS}, {_GROUND}, {_PLACED} SELECT DISTINCT q.ck::VARCHAR AS stem, q.claim_id, section, field, q.ck || '_' || g.position AS block_id, page_number, section_id, 0::DOUBLE AS x0, (12 * g.position)::DOUBLE AS top,
+    (6 * length(line))::DOUBLE AS x1, (12 * g.position + 10)::DOUBLE AS bottom, line AS quote, CASE WHEN exact THEN 'exact_normalized' ELSE 'token_overlap' END AS match_type, round(score, 3) AS score
+    FROM q JOIN g ON q.ck = g.ck AND q.claim_id = g.claim_id JOIN w ON w.ck = g.ck AND w.position = g.position""")
+def claim_evidence(spark, sf_dir):
+    """The whole evidence of each grounded claim: block, page, section, box and quote."""
+    found = provenance.ground(provenance.claims(_records(spark, sf_dir)), _placed(_lines(spark, sf_dir))).where("grounded")
+    box = [F.col("bbox")[i].alias(c) for i, c in enumerate(("x0", "top", "x1", "bottom"))]
+    return found.select("stem", "claim_id", "section", "field", "block_id", "page_number", "section_id", *box, "quote", "match_type", F.round("score", 3).alias("score")).distinct()
+
+
+_JSON = "replace(replace({0}, '\\', '\\\\'), '\"', '\\\"')"
+
+
+@query(f"""WITH {_TEXTS}, {_CLAIMS}, {_GROUND}, {_PLACED}, e AS (SELECT DISTINCT q.src, q.ck || '_' || g.position AS dst, q.claim_id, q.field, q.prop AS value, page_number, CASE WHEN exact THEN 'exact_normalized' ELSE 'token_overlap' END AS match_type, round(score, 3)::VARCHAR AS score
+        FROM q JOIN g ON q.ck = g.ck AND q.claim_id = g.claim_id JOIN w ON w.ck = g.ck AND w.position = g.position WHERE NOT (section = 'certifications' AND i = '1'))
+    SELECT src, dst, claim_id, field, value, page_number, match_type, score, 'rel_' || substr(sha256('{{"from": "' || src || '", "properties": {{"claim_id": "' || claim_id || '", "field": "' || field || '", "match_type": "' || match_type || '", "page_number": ' || page_number || ', "score": ' || score || ', "value": "' || {_JSON.format('value')}
+        || '"}}, "to": "' || dst || '", "type": "EXTRACTED_FROM"}}'), 1, 20) AS rel_id FROM e""")
+def provenance_edge_properties(spark, sf_dir):
+    """All properties of the edges from claims to their evidence, and the edges' ids, which page and score enter as numbers."""
+    records = _records(spark, sf_dir)
+    lines = _placed(_lines(spark, sf_dir))
+    nodes = graph.merge_nodes(graph.domain_graph(records)[0]).select("id").union(lines.select("block_id"))
+    people = records.select("stem", ids.candidate_id(F.col("candidate.name"), F.col("candidate.email")).alias("cand"))
+    edges = graph.provenance_edges(provenance.ground(provenance.claims(records), lines), people, nodes, typed=True)
+    shown = [F.try_variant_get(F.col("properties")[c], "$", kind).alias(c) for c, kind in (("claim_id", "string"), ("field", "string"), ("value", "string"), ("page_number", "int"), ("match_type", "string"), ("score", "string"))]
+    return edges.select("src", "dst", *shown, ids.rel_id(F.col("src"), F.col("type"), F.col("dst"), F.col("properties"), typed=True).alias("rel_id")).distinct()
+
+
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector.section_documents(_records(spark, sf_dir))
 
