@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -66,17 +68,63 @@ def decoded(files: DataFrame, decode: Callable[[str, bytes], pd.DataFrame], sche
     return files.select("document_id", "content").mapInPandas(run, schema)
 
 
-def extracted(files: DataFrame, model: Callable[[str], str]) -> DataFrame:
-    """(source_file, raw): the JSON that an external model writes for each text; text that isn't JSON stops the query. No model
-    comes with this library."""
+ANSWER = "source_file string, text_sha256 string, raw string, error string, calls int"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"source_file": batch["source_file"], "raw": [model(t) for t in batch["text"]]})
 
-    rows = files.select("source_file", "text").mapInPandas(run, "source_file string, raw string")
-    good = F.when(F.try_parse_json("raw").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("extraction failed for "), F.col("source_file"))))
-    return rows.where(good)
+def answers(files: DataFrame, model: Callable[[str], str], retries: int = 0, in_flight: int = 1) -> DataFrame:
+    """(source_file, text_sha256, raw, error, calls): what an external model writes for each text. A call that raises, or an
+    answer that isn't a JSON object, is tried again ``retries`` times; then the row has ``error`` and no ``raw``. A task keeps
+    ``in_flight`` calls open at once. A null text counts as empty."""
+
+    def ask(text: str | None) -> tuple[str | None, str | None, int]:
+        error = None
+        for call in range(1, retries + 2):
+            try:
+                raw = model(text or "")
+                if not isinstance(json.loads(raw), dict):
+                    raise ValueError("not a JSON object")
+                return raw, None, call
+            except Exception as e:
+                error = f"{type(e).__name__}: {e}"
+        return None, error, retries + 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                # some calls at a time, so that rows leave as they are answered
+                for at in range(0, len(batch), in_flight):
+                    part = batch.iloc[at : at + in_flight]
+                    found = pd.DataFrame(list(pool.map(ask, part["text"])), columns=["raw", "error", "calls"], index=part.index)
+                    yield pd.concat([part[["source_file", "text_sha256"]], found], axis=1)
+
+    return files.select("source_file", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")).mapInPandas(run, ANSWER)
+
+
+def extracted(files: DataFrame, model: Callable[[str], str], strict: bool = True, retries: int = 0, in_flight: int = 1) -> DataFrame:
+    """(source_file, raw): the JSON that an external model writes for each text. ``strict``: a text without an answer stops the
+    query; else it's a row without ``raw``. No model comes with this library."""
+    rows = answers(files, model, retries, in_flight)
+    if strict:
+        rows = rows.where(F.when(F.col("raw").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.concat_ws(": ", F.concat(F.lit("extraction failed for "), F.col("source_file")), "error"))))
+    return rows.select("source_file", "raw")
+
+
+def extracted_into(files: DataFrame, model: Callable[[str], str], path: str, waves: int = 1, retries: int = 0, in_flight: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(answers, failures) of ``files``, kept in a Parquet table under ``path``: only texts without an answer there are asked, in
+    ``waves`` parts (by a hash of the file's name), each of which is kept when it ends. So a job that was stopped goes on where
+    it was, and a later call asks again what failed and what has another text. Failures: the last error of each text that has
+    no answer."""
+    spark = files.sparkSession
+    keys = ["source_file", "text_sha256"]
+    own = files.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    spark.createDataFrame([], ANSWER).write.mode("append").parquet(path)
+    for wave in range(waves):
+        held = spark.read.schema(ANSWER).parquet(path).where("raw is not null").select(*keys)
+        mine = own.where(F.pmod(F.xxhash64("source_file"), F.lit(waves)) == wave)
+        answers(mine.join(held, keys, "left_anti").select("source_file", "text").distinct(), model, retries, in_flight).write.mode("append").parquet(path)
+    met = spark.read.schema(ANSWER).parquet(path).join(own.select(*keys).distinct(), keys, "left_semi")
+    last = met.groupBy(*keys).agg(F.max("raw").alias("raw"), F.max("error").alias("error"), F.sum("calls").alias("calls"))
+    return last.where("raw is not null").select("source_file", "raw"), last.where("raw is null").select("source_file", "error", "calls")
 
 
 def available(probe: Callable[[], object]) -> bool:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
 from ..operators import graph, vector
+from . import formats
 
 
 def records_json(records: DataFrame, path: str) -> None:
@@ -17,6 +18,14 @@ def records_json(records: DataFrame, path: str) -> None:
     records.withColumn("file", F.col("stem")).repartition("file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").json(path)
 
 
+def record_files(records: DataFrame, path: str) -> None:
+    """``stem``.json in the folder for each record, as ``formats.NamedJson`` writes them; a repeated stem is an error."""
+    formats.register(records.sparkSession)
+    several = F.count("*").over(Window.partitionBy("stem"))
+    checked = records.withColumn("__n", several).where(F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("repeated stem "), F.coalesce("stem", F.lit("null"))))))
+    checked.drop("__n").write.format("named_json").mode("append").save(path)
+
+
 def _cand() -> Column:
     return ids.candidate_id(F.col("candidate.name"), F.col("candidate.email")).alias("candidate_id")
 
