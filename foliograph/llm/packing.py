@@ -20,6 +20,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,9 @@ LENGTH = 2048
 CLOSING = 1
 #: Characters of text that a task tokenises at a time; words whose ids it remembers before it starts anew.
 CHUNK, CACHE = 2_000_000, 1_000_000
+#: Words that are encoded as one text, marks that may stand between them, marks that may end a word, and letters before these.
+GROUP = 1000
+SEPARATORS, MARKS, LETTERS = "|~@", b".,;:!?", b"abcdefghijklmnopqrstuvwxyz"
 #: Hashed features, and dimensions and bits of each in the Hilbert key.
 FEATURES, DIMENSIONS, BITS = 4096, 4, 15
 #: Pieces that are returned at a time.
@@ -44,7 +48,7 @@ PIECES = 8192
 
 class Words:
     """The ids of texts under a tokenizer that drops white space: each word between ASCII white space by itself, and each
-    distinct one once."""
+    distinct one once. A word that ends in an ASCII letter and marks is its two parts, where the tokenizer parts them anyway."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has dealt out the cores
@@ -54,24 +58,61 @@ class Words:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
         self.lowers = [n.get("type") for n in (json.loads(definition).get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        plain = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        alone = [(mark, plain(mark)) for mark in SEPARATORS]
+        self.between = next(((mark, ids[0]) for mark, ids in alone if len(ids) == 1 and plain(f"a {mark} b") == [*plain("a"), *ids, *plain("b")]), None)
+        cutter = self.tokenizer.pre_tokenizer
+        self.parts = cutter is not None and all(cutter.pre_tokenize_str(f"a{mark}{mark}")[0][1] == (0, 1) for mark in MARKS.decode())
 
     def lowered(self, text: bytes) -> bytes:
         """The text with A-Z lower-cased, if the tokenizer does that anyway: not beside marks that combine with letters, which it
         does first, nor in what may be a special token."""
         return text.lower() if self.lowers and not any(mark in text for mark in (b"\xcc", b"\xcd", b"<|")) else text
 
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of ``words``. Many are encoded as one text with a separator between them; where its id comes more
+        often than that, it is in a word, and these words are encoded one by one."""
+        mark, id = self.between or ("", -1)
+        size = self.kind.itemsize
+        groups = [words[i : i + GROUP] for i in range(0, len(words), GROUP)] if self.between else []
+        single = [] if self.between else words
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([f" {mark} ".join([w.decode() for w in g]) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
+            at = np.flatnonzero(ids == id)
+            if len(at) != len(group) - 1:
+                single = single + group
+                continue
+            raw, first, last = ids.tobytes(), [0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(ids) * size]
+            self.known.update(zip(group, [raw[i:j] for i, j in zip(first, last)]))
+        for word, found in zip(single, self.tokenizer.encode_batch_fast([w.decode() for w in single], add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, self.kind).tobytes()
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as ``kind``."""
         if len(self.known) > CACHE:
             self.known.clear()
         cut = [self.lowered(text.encode()).split() for text in texts]
-        new = list(set().union(*cut).difference(self.known))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, self.kind).tobytes()
+        new = set().union(*cut).difference(self.known)
+        marked = []
+        if self.parts:
+            for word in new:
+                if word[-1] in MARKS and (stem := word.rstrip(MARKS)) and stem[-1] in LETTERS:
+                    marked.append((word, stem, word[len(stem) :]))
+            new.difference_update([m[0] for m in marked])
+            new.update({x for m in marked for x in m[1:]}.difference(self.known))
+        self.learn(list(new))
+        for word, stem, end in marked:
+            self.known[word] = self.known[stem] + self.known[end]
         for words in cut:
             yield b"".join(map(self.known.__getitem__, words))
 
 
+@lru_cache(1)
+def words_of(definition: str) -> Words:
+    """What a worker remembers of a tokenizer's words, from one task to the next."""
+    return Words(definition)
+
+
 def projection() -> np.ndarray:
     return np.random.default_rng(12).standard_normal((FEATURES, DIMENSIONS)).astype(np.float32)
 
@@ -120,7 +161,7 @@ def tokens(df: DataFrame, definition: str, closing: int, text: str = "text") ->
     schema = T.StructType([*rows.schema.fields[:2], T.StructField("ids", T.BinaryType()), *(T.StructField(f"c{i}", T.DoubleType()) for i in range(DIMENSIONS))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, onto = Words(definition), projection()
+        words, onto = words_of(definition), projection()
         end = np.array([closing], words.kind).tobytes()
 
         def done(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:

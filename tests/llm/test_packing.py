@@ -55,7 +55,7 @@ def check(pieces, docs):
 def test_same_ids_as_the_library(definition, whole, texts):
     words = packing.Words(definition)
     rnd = random.Random(5)
-    parts = ["a", "H", "\u0331", "THE", "<|ENDOFTEXT|>", "B'", "'s", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "é", "é", "́", ".", "1", "23", "　", "x y", "\0", "<|endoftext|>", "<|startoftext|>", "İ", "Σ", "漢", "\U0001f600", "​", " "]
+    parts = ["a", "H", "|", " | ", "~", ",", "!!", ";a.", "b,", "\u0331", "THE", "<|ENDOFTEXT|>", "B'", "'s", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "é", "é", "́", ".", "1", "23", "　", "x y", "\0", "<|endoftext|>", "<|startoftext|>", "İ", "Σ", "漢", "\U0001f600", "​", " "]
     samples = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(16))) for _ in range(3000)] + ["ab" * 20_000] + [t for _, t, _ in texts[:60]]
     for text, ids in zip(samples, words.encode(samples)):
         assert [*np.frombuffer(ids, words.kind), 1] == whole(text), repr(text)
