@@ -1,16 +1,16 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Both sides are normalised: lower case, each run of characters other than letters, digits and marks becomes one space.
-An item of n characters may be found with up to k = floor(``rate`` * n) edits (insertions, deletions, substitutions), at
-whatever length. It is split into k + 1 pieces of equal length, one of which at least occurs exactly in any text with at most k edits. All
+Both sides are normalised: lower case, each run of characters other than letters, digits and marks becomes one space, and one
+space stands at either end. An item of n characters may be found with up to k = floor(``rate`` * n) edits (insertions,
+deletions, substitutions), at whatever length; the spaces at its ends count, so an item inside longer words costs an edit at
+each end that isn't a word's, and without a budget isn't found there. It is split into k + 1 pieces of equal length, one of which at least occurs exactly in any text with at most k edits. All
 pieces of a block of items are searched in one pass over a document (an Aho-Corasick automaton); around each hit, Myers'
 bit-parallel algorithm tells the smallest edit distance of the item to any substring there.
 
 Blocks of items. An automaton holds at most ``BLOCK_CHARS`` characters of items; a larger benchmark is worked off in
-blocks, each of them against all documents, so what is sent to the tasks is bounded.
+blocks, each of them against all documents in tasks of its own, so what is sent to a task, and kept there, is one block.
 
-Results for special cases: an item too short for a single edit is matched exactly, and as whole words, lest it be found
-inside longer ones; items without any letter or digit match nothing; a null text matches nothing; repeated items and
+Results for special cases: items without any letter or digit match nothing; a null text matches nothing; repeated items and
 repeated documents each give their own rows; a null ``item_id`` or ``doc_id`` is carried along; empty tables give an
 empty result.
 """
@@ -19,11 +19,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Edits allowed for each character of an item.
 RATE = 0.08
 #: Characters of items in one automaton.
@@ -80,13 +84,12 @@ class Matcher:
         for id, text in items:
             if not (own := normal_form(text)):
                 continue
-            k = int(rate * len(own))
-            number = len(self.ids)
+            number, k, item = len(self.ids), int(rate * len(own)), f" {own} "
             self.ids.append(id)
-            self.items.append(own)
+            self.items.append(item)
             self.errors.append(k)
-            self.myers.append(Myers(own))
-            for start, piece in pieces(own, k) if k else [(0, own)]:
+            self.myers.append(Myers(item))
+            for start, piece in pieces(item, k):
                 at.setdefault(piece, []).append((number, start))
         self.automaton = ahocorasick.Automaton()
         for piece, places in at.items():
@@ -96,8 +99,8 @@ class Matcher:
 
     def find(self, text: str | None) -> list[tuple[int | None, int, int]]:
         """(item_id, distance, end of the match in the normal form) of the items within their error budgets."""
-        own = normal_form(text)
-        if not self.ids or not own:
+        own = f" {normal_form(text)} "
+        if not self.ids or own.isspace():
             return []
         hits: dict[int, list[int]] = {}
         for end, (size, places) in self.automaton.iter(own):
@@ -107,13 +110,9 @@ class Matcher:
 
     def verify(self, text: str, number: int, starts: list[int]) -> tuple[int | None, int, int] | None:
         item, k = self.items[number], self.errors[number]
-        if not k:
-            ends = [s + len(item) for s in starts]
-            whole = [e for s, e in zip(starts, ends) if (s == 0 or text[s - 1] == " ") and (e == len(text) or text[e] == " ")]
-            return (self.ids[number], 0, whole[0]) if whole else None
         for start in starts:
             if 0 <= start and text.startswith(item, start):
-                return (self.ids[number], 0, start + len(item))
+                return (self.ids[number], 0, start + len(item) - 2)
         best, at = None, 0
         while at < len(starts):
             # starts that lie close together share one window
@@ -123,7 +122,7 @@ class Matcher:
             low = max(0, starts[at] - k)
             distance, end = self.myers[number].best(text[low : starts[last] + len(item) + k])
             if distance <= k and (best is None or distance < best[1]):
-                best = (self.ids[number], distance, low + end)
+                best = (self.ids[number], distance, max(0, low + end - 2))
             at = last + 1
         return best
 
@@ -163,15 +162,27 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", id
 
 
 def reject(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no item is found."""
-    at, schema = docs.columns.index(text), docs.schema
-    for block in blocks(benchmark, item_id, item_text, block_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, rate)
-            for batch in batches:
-                yield batch.filter(pa.array([not matcher.find(v.as_py()) for v in batch.column(at)], pa.bool_()))
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
+    """The rows of ``docs``, all columns, in which no item is found. One block of items is a filter in one pass; several judge
+    the texts block by block, and the rows of the texts that are found go by digest."""
+    spark = docs.sparkSession
+    own = blocks(benchmark, item_id, item_text, block_chars)
+    first, second = next(own, None), next(own, None)
+    if first is None:
+        return docs
+    if second is None:
+        return _where(docs, docs.columns.index(text), spark.sparkContext.broadcast(first), rate, found=False)
+    texts = docs.select(F.col(f"`{text}`").alias("text")).where("text is not null")
+    judged = [_where(texts, 0, spark.sparkContext.broadcast(block), rate, found=True).select(F.sha2("text", 256).alias("digest")) for block in chain([first, second], own)]
+    gone = written(reduce(DataFrame.union, judged).distinct(), "contaminated").alias("gone")
+    return docs.alias("own").join(gone, F.sha2(F.col(f"own.`{text}`"), 256) == F.col("gone.digest"), "left_anti")
+
+
+def _where(rows: DataFrame, at: int, sent, rate: float, found: bool) -> DataFrame:
+    """The rows whose text, column number ``at``, has an item of the block, or has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(sent.value, rate)
+        for batch in batches:
+            yield batch.filter(pa.array([bool(matcher.find(v.as_py())) == found for v in batch.column(at)], pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)

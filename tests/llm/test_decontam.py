@@ -42,19 +42,38 @@ def test_finds_all_within_budget():
                 case 1: del text[at]
                 case 2: text.insert(at, rnd.choice("xyz"))
         text = "some words before " + "".join(text) + " and after"
-        distance = brute(own, decontam.normal_form(text))
+        distance = brute(f" {own} ", f" {decontam.normal_form(text)} ")
         found = matcher.find(text)
         assert bool(found) == (distance <= k)
         assert not found or found[0][:2] == (1, distance)
 
 
-@pytest.mark.parametrize("size", range(13, 60))
-def test_short_items_have_edits_too(size):
-    """From 13 characters on one edit is allowed, without a step at any length; whole words are asked for below that."""
+@pytest.mark.parametrize("size", range(5, 60))
+def test_one_rule_at_every_length(size):
+    """Edits by the item's length, the ends of words among them, without a step anywhere."""
     item = decontam.normal_form(ITEM)[:size].strip()
-    text = f"before {item[:5]}{item[6:]} after"
-    assert bool(decontam.Matcher([(1, item)]).find(text)) == (int(decontam.RATE * len(item)) >= 1)
-    assert not decontam.Matcher([(1, "a text")]).find("sea texts") and decontam.Matcher([(1, "a text")]).find("is a text, too")
+    k = int(decontam.RATE * len(item))
+    matcher = decontam.Matcher([(1, item)])
+    texts = [f"before {item[:3]}{item[4:]} after", f"before {item} after", item, f"be{item} after", f"before {item}er", f"be{item}er", f"be {item[:2]}x{item[2:]}er", item[1:], item[:-1], ""]
+    for text in texts:
+        distance = brute(f" {item} ", f" {decontam.normal_form(text)} ")
+        found = matcher.find(text)
+        assert [f[:2] for f in found] == ([(1, distance)] if distance <= k else []), text
+    assert matcher.find(f"before {item} after")[0][2] == len("before ") + len(item)
+
+
+@pytest.mark.parametrize("item,text,met", [("cat dog", "concat dogma", False), ("cat dog mouse", "concat dog mousetrap", False), ("cat dog mouse", "a cat, dog mouse!", True), ("cat dog", "CAT dog", True), ("a text", "sea texts", False)])
+def test_items_inside_longer_words(item, text, met):
+    assert bool(decontam.Matcher([(1, item)]).find(text)) == met
+
+
+def test_blocks_are_not_chained(spark, edge):
+    """Fifty blocks are as many tasks, each with one block, not fifty workers in one task."""
+    items = spark.createDataFrame([(i, f"{ITEM} number {i}") for i in range(50)], "item_id long, text string")
+    docs = edge.select("doc_id", "text").union(spark.createDataFrame([(100, f"{ITEM} number 7")], "doc_id long, text string"))
+    one = sorted(decontam.reject(docs, items).collect(), key=str)
+    many = decontam.reject(docs, items, block_chars=100)
+    assert sorted(many.collect(), key=str) == one and "MapInArrow" not in many._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("block", [10, 1_000_000])
@@ -81,7 +100,7 @@ def test_query_against_all_pairs(spark):
     for d in docs:
         own = decontam.normal_form(d["text"])
         for id, item in forms:
-            distance, _ = decontam.Myers(item).best(own)
+            distance, _ = decontam.Myers(f" {item} ").best(f" {own} ")
             if distance <= int(decontam.RATE * len(item)):
                 expected.add((d["doc_id"], id, distance))
     found = queries.op3_pigeonhole_decontamination(spark, sf).collect()
