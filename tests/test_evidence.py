@@ -99,7 +99,7 @@ def test_claims_and_blocks_make_no_pairs(spark):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
 
 
-@pytest.mark.parametrize("name", ["claim_evidence", "provenance_graph_edges"])
+@pytest.mark.parametrize("name", ["claim_evidence", "provenance_graph_edges", "provenance_edge_properties"])
 def test_queries_look_evidence_up_by_document(spark, name):
     """No claim is shuffled to its evidence."""
     plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
