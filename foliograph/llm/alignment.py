@@ -1,8 +1,8 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes of a text.
 
 Python only tokenises. A chunk of texts is cut at lone spaces and line feeds, which end a token of either tokenizer, and each
-distinct part is tokenised once: two arrays of ids and two of byte offsets at which the tokens end. All else is Spark's array
-functions. Offsets where tokens of both end, ``array_intersect``, cut a part into groups, whose tokens are looked up by their
+distinct part of a chunk is tokenised once, many in one call: two arrays of ids and two of byte offsets at which the tokens end.
+All else is Spark's array functions. Where both tokenizers end their tokens alike, each token is a group with its twin. Offsets where tokens of both end, ``array_intersect``, cut a part into groups, whose tokens are looked up by their
 ends; ``sequence`` and ``transform`` list the links, and ``transform`` and ``aggregate`` put together each text's groups, links
 and sums. In a part of more than ``FEW`` tokens, how many ends of one array lie below each of another's is read off their
 sorted union, so that every token finds its group and the first and last token that overlaps it without a search: n tokens
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from .bpe import SPACED_PATTERN
 from .common import written
 
-#: Characters of text in a chunk; distinct parts whose ids a task remembers before it starts anew.
-CHUNK, CACHE = 2_000_000, 100_000
+#: Characters of text in a chunk.
+CHUNK = 2_000_000
 #: Tokens of a part that are looked up one by one.
 FEW = 64
 #: Pairs whose counts are broadcast (some 50 bytes each).
@@ -57,6 +57,9 @@ class ByteTokens:
     """A byte-level tokenizer's file. Where its merges are in the order of their tokens' ids, these are ranks, and the faster
     library for ranks gives the same ids."""
 
+    #: Parts that are encoded as one text.
+    BLOCK = 4096
+
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has dealt out the cores
         import json
@@ -85,6 +88,9 @@ class ByteTokens:
 class PieceTokens:
     """A sentencepiece model that puts a space before a text."""
 
+    #: Parts that are encoded as one text; it sorts a text's pairs of pieces, so longer ones cost more.
+    BLOCK = 32
+
     def __init__(self, model: bytes):
         import sentencepiece
 
@@ -105,61 +111,63 @@ class Pair:
 
     def __init__(self, definition: str, model: bytes):
         self.both = ByteTokens(definition), PieceTokens(model)
+        self.pieces = [pa.array(t.pieces, pa.large_binary()) for t in self.both]
         self.lengths = [np.array([len(p) for p in t.pieces], np.int64) for t in self.both]
         self.apart = all(t.apart for t in self.both)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def learn(self, parts: list[str]) -> None:
-        """The ids (four bytes each) of parts not known yet; None where the tokens' bytes aren't the part's."""
-        new = [p for p in parts if p not in self.known]
-        blobs, fit = [], np.ones(len(new), bool)
-        for tokens, lengths in zip(self.both, self.lengths):
-            lists = tokens.encode(new) if new else []
-            ids = np.fromiter(chain.from_iterable(lists), "<u4")
-            if b"".join(map(tokens.pieces.__getitem__, ids)) != "".join(new).encode() or not all(map(len, lists)):
-                fit &= [b"".join(map(tokens.pieces.__getitem__, own)) == p.encode() for p, own in zip(new, lists)]
-            else:
-                ends = np.concatenate([[0], np.cumsum(lengths[ids])])[np.cumsum([0, *map(len, lists)])]
-                fit &= np.diff(ends) == pc.binary_length(pa.array(new, pa.string())).to_numpy()
-            data, at = ids.tobytes(), 4 * np.cumsum([0, *map(len, lists)])
-            blobs.append([data[i:j] for i, j in zip(at.tolist(), at[1:].tolist())])
-        for part, a, b, right in zip(new, *blobs, fit.tolist()):
-            self.known[part] = (a, b) if right else None
+
+    def tokens(self, parts: pa.Array) -> list[list[np.ndarray]]:
+        """Runs of the parts with, for either tokenizer, the run's ids and how many of them each part and those before it have.
+        Parts are encoded many at a time. Where the tokens' bytes aren't the run's, its halves are runs; a single such part
+        has no tokens."""
+        data = b"".join(parts.cast(pa.large_binary()).to_pylist())
+        ends, found = np.cumsum(pc.binary_length(parts).to_numpy()), []
+        for tokens, pieces, lengths in zip(self.both, self.pieces, self.lengths):
+            cuts = [0, *ends[tokens.BLOCK - 1 : -1 : tokens.BLOCK].tolist(), len(data)]
+            ids = np.fromiter(chain.from_iterable(tokens.encode([data[i:j].decode() for i, j in zip(cuts, cuts[1:])])), np.int32)
+            own = np.cumsum(lengths[ids])
+            until = np.searchsorted(own, ends)
+            if not len(own) or own[-1] != len(data) or (own[until] != ends).any() or pieces.take(pa.array(ids)).buffers()[2].to_pybytes() != data:
+                half = len(parts) // 2
+                return self.tokens(parts[:half]) + self.tokens(parts[half:]) if half else [[np.zeros(n, np.int32) for n in (0, 1, 0, 1)]]
+            found += [ids, until + 1]
+        return [found]
 
     def chunk(self, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
         """One row: the distinct ``parts`` with their tokens, and the ``docs`` as places among them."""
-        if len(self.known) > CACHE:
-            self.known.clear()
         column = pa.array(texts, pa.large_string())
-        whole = pc.match_substring_regex(column, WHOLE) if self.apart else pa.array([True] * len(texts))
-        marked = pc.replace_substring(pc.replace_substring(column, " ", "\0 "), "\n", "\0\n")
-        cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), marked, pa.scalar("", pa.large_string())), "\0")
-        counts, words = pc.list_value_length(cut).to_numpy(), iter(cut)
-        if pc.any(whole).as_py() or "" in texts:
-            lists = [[] if not t else [f" {t}"] if w else own.as_py() for t, w, own in zip(texts, whole.to_pylist(), words)]
-            counts, flat = np.array([len(x) for x in lists]), pa.array(list(chain.from_iterable(lists)), pa.large_string())
-        else:
-            flat = cut.flatten()
-        coded = flat.dictionary_encode()
-        parts, places = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        self.learn(parts)
-        found = [self.known[p] for p in parts]
-        unfit = np.array([f is None for f in found], bool)
-        of_doc = np.repeat(np.arange(len(texts)), counts)
-        if unfit.any():
-            kept = ~np.isin(of_doc, of_doc[unfit[places]])
-            used, places = np.unique(places[kept], return_inverse=True)
-            found, of_doc = [found[i] for i in used], of_doc[kept]
-        numbers, arrays = [], []
+        space, none = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        empty = pc.equal(column, none).to_numpy(zero_copy_only=False)
+        whole = ~empty & (pc.match_substring_regex(column, WHOLE).to_numpy(zero_copy_only=False) if self.apart else True)
+        marked = pc.replace_substring(pc.replace_substring(pc.if_else(pa.array(whole), none, column), " ", "\0 "), "\n", "\0\n")
+        cut = pc.split_pattern(pc.binary_join_element_wise(space, marked, none), "\0")
+        counts, flat = pc.list_value_length(cut).to_numpy(), cut.flatten()
+        firsts, uncut, kept = np.cumsum(counts) - counts, np.zeros(len(flat), bool), np.ones(len(flat), bool)
+        uncut[firsts[whole]], kept[firsts[empty]] = True, False
+        flat = pc.replace_with_mask(flat, pa.array(uncut), pc.binary_join_element_wise(space, column.filter(pa.array(whole)), none))
+        coded = flat.filter(pa.array(kept)).dictionary_encode()
+        places = coded.indices.to_numpy()
+        of_doc = np.repeat(np.arange(len(texts)), counts)[kept]
+        # parts cut from texts come first and are encoded together, those that are texts are encoded one by one
+        alone = np.zeros(len(coded.dictionary), bool)
+        alone[places[uncut[kept]]] = True
+        order = np.argsort(alone, kind="stable")
+        places, together = np.argsort(order)[places], len(alone) - alone.sum()
+        parts = coded.dictionary.take(pa.array(order))
+        runs = self.tokens(parts[:together]) if together else []
+        for at in range(together, len(parts)):
+            runs += self.tokens(parts[at : at + 1])
+        arrays, sizes, numbers = [], [], []
         for k, lengths in enumerate(self.lengths):
-            blobs = [f[k] for f in found]
-            sizes = np.array([len(b) // 4 for b in blobs], np.int64)
-            ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int32)
-            ends, bounds = np.cumsum(lengths[ids]), np.concatenate([[0], np.cumsum(sizes)])
-            ends = (ends - np.repeat(np.concatenate([[0], ends])[bounds[:-1]], sizes)).astype(np.int32)
-            arrays += [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(v)) for v in (ids, ends)]
-            numbers.append(pa.array(np.bincount(of_doc, sizes[places], len(texts)).astype(np.int64)))
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(of_doc, minlength=len(texts)))]).astype(np.int32)
+            ids = np.concatenate([np.zeros(0, np.int32), *(run[2 * k] for run in runs)])
+            sizes.append(np.concatenate([np.zeros(0, np.int64), *(np.diff(run[2 * k + 1], prepend=0) for run in runs)]))
+            bounds, ends = np.cumsum([0, *sizes[-1]]), np.cumsum([0, *lengths[ids]])
+            ends = ends[1:] - np.repeat(ends[bounds[:-1]], sizes[-1])
+            arrays += [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(v.astype(np.int32))) for v in (ids, ends)]
+        fit = ~np.isin(of_doc, of_doc[sizes[0][places] == 0])
+        places, of_doc = places[fit], of_doc[fit]
+        for own in sizes:
+            numbers.append(pa.array(np.bincount(of_doc, own[places], len(texts)).astype(np.int64)))
+        bounds = np.cumsum([0, *np.bincount(of_doc, minlength=len(texts))]).astype(np.int32)
         docs = pa.StructArray.from_arrays([doc_ids, pa.ListArray.from_arrays(pa.array(bounds), pa.array(places.astype(np.int32))), *numbers], ["doc_id", "places", "n_a", "n_b"])
         rows = pa.StructArray.from_arrays(arrays, ["a_ids", "a_ends", "b_ids", "b_ends"])
         return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (rows, docs)], names=["parts", "docs"])
@@ -195,8 +203,9 @@ def tokenised(df: DataFrame, definition: str, model: bytes, text: str = "text",
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of ``value``, which is worked out once, however often and in whatever function ``then`` asks for it."""
-    return F.transform(F.array(value), then)[0]
+    """``then`` of ``value``, which is worked out once, however often and in whatever function ``then`` asks for it (``aggregate``
+    doesn't copy its result, as ``transform`` does)."""
+    return F.aggregate(F.array(), value, lambda kept, _: kept, then)
 
 
 def union(these: Column, those: Column) -> Column:
@@ -236,7 +245,7 @@ def looked_up(part: Column) -> Column:
 
     def until(cut: Column) -> Column:
         """How many tokens end at the cut or before."""
-        return F.struct(*[F.size(F.filter(ends, lambda e: e <= cut)).alias(c) for c, ends in (("i", a_ends), ("j", b_ends))])
+        return F.struct(*[F.array_position(ends, cut).cast("int").alias(c) for c, ends in (("i", a_ends), ("j", b_ends))])
 
     def links(g: Column) -> Column:
         begin = lambda ends, k: F.when(k == 0, 0).otherwise(ends[k - 1])
@@ -280,6 +289,11 @@ def aligned(part: Column, few: int = FEW) -> Column:
     def joined(ids: Column) -> Column:
         return F.array_join(F.transform(ids, lambda i: i.cast("string")), ",")
 
+    # tokens that all end alike are a group each
+    alike = F.struct(
+        F.size(a).alias("n_groups"), F.array_join(F.zip_with(a, b, lambda i, j: F.concat(i.cast("string"), F.lit("|"), j.cast("string"))), ";").alias("groups"),
+        F.zip_with(a, b, pair_of).alias("links"),
+    )
     # one token of either tokenizer overlaps all of the other's
     alone = F.struct(
         F.lit(1).alias("n_groups"), F.concat(joined(a), F.lit("|"), joined(b)).alias("groups"),
@@ -287,7 +301,7 @@ def aligned(part: Column, few: int = FEW) -> Column:
     )
     cuts = F.array_intersect(a_ends, b_ends)
     several = let(cuts, lambda cuts: let(below(a_ends, b_ends), lambda last: let(below(cuts, a_ends), lambda ending: placed(cuts, last, ending))))
-    return F.when((F.size(a) == 1) | (F.size(b) == 1), alone).when(F.size(a) + F.size(b) <= few, looked_up(part)).when(F.size(a) > 1, several)
+    return F.when(a_ends == b_ends, alike).when((F.size(a) == 1) | (F.size(b) == 1), alone).when(F.size(a) + F.size(b) <= few, looked_up(part)).when(F.size(a) > 1, several)
 
 
 def align(chunks: DataFrame, digests: bool = False, few: int = FEW) -> DataFrame:
@@ -299,14 +313,15 @@ def align(chunks: DataFrame, digests: bool = False, few: int = FEW) -> DataFrame
         def doc(d: Column) -> Column:
             groups = F.array_join(F.transform(d["places"], lambda p: found[p]["groups"]), ";")
             groups = F.when(F.size(d["places"]) == 0, "").otherwise(F.sha2(groups, 256) if digests else groups)
-            sum_ = F.aggregate(d["places"], F.lit(0).cast("bigint"), lambda n, p: n + found[p]["n_groups"])
             links = F.flatten(F.transform(d["places"], lambda p: found[p]["links"]))
-            return F.struct(*[d[c].alias(c) for c in kept], sum_.alias("n_groups"), groups.alias("groups"), links.alias("links"))
+            return F.struct(*[d[c].alias(c) for c in kept], groups.alias("groups"), links.alias("links"))
 
         return F.transform("docs", doc)
 
     docs = chunks.select(F.inline(let(F.transform("parts", lambda p: aligned(p, few)), rows)))
-    return docs.withColumn("row", F.monotonically_increasing_id())
+    # a group's tokens overlap in one place less than they are
+    n_groups = F.col("n_a") + F.col("n_b") - F.size("links")
+    return docs.select(*kept, n_groups.alias("n_groups"), "groups", "links").withColumn("row", F.monotonically_increasing_id())
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

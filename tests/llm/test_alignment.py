@@ -136,3 +136,21 @@ def test_query_against_all_pairs(spark, whole):
     assert not any(t and ("  " in t or t != t.strip()) for _, t in docs)
     want = plain([t for _, t in docs], whole, lambda text: text.split(" ") if text else [])
     assert rows(queries.op13_token_alignment(spark, sf)) == [(d, *x) for (d, _), x in zip(docs, want)]
+
+
+def test_parts_are_encoded_many_at_a_time(files, whole, monkeypatch):
+    """Words go to either library some dozens at least in a call, and a word that doesn't fit costs its neighbours nothing."""
+    import pyarrow as pa
+
+    pair, calls = A.Pair(*files), []
+    for tokens in pair.both:
+        monkeypatch.setattr(tokens, "encode", lambda parts, f=tokens.encode: calls.append(parts) or f(parts))
+    words = [f" {a}{b}{c}" for a in "aehr" for b in ("ing", "é", "漢", "'s") for c in ("", "ble", "12", ".")]
+    runs = pair.tokens(pa.array(words, pa.large_string()))
+    assert len(runs) == 1 and sum(map(len, calls)) <= 1 + len(words) // 30
+    for k in (0, 1):
+        ids, until = runs[0][2 * k], [0, *runs[0][2 * k + 1]]
+        assert [ids[i:j].tolist() for i, j in zip(until, until[1:])] == [[i for i, _ in whole(w[1:])[k]] for w in words]
+    mixed = pair.tokens(pa.array([*words[:9], " ▁", *words[9:]], pa.large_string()))
+    sizes = [n for run in mixed for n in [run[1][0], *(run[1][1:] - run[1][:-1])]]
+    assert sizes == [len(whole(w[1:])[0]) for w in words[:9]] + [0] + [len(whole(w[1:])[0]) for w in words[9:]]
