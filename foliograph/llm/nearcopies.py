@@ -4,9 +4,15 @@ Shingles. A text's A-Z are lower-cased; its words are runs of other characters t
 runs of ``WIDTH`` words, hashed by XXH64, stands for it. A shorter text is one shingle. Its SimHash is taken from that set.
 
 Shards. The fingerprints of two texts of similarity 0.8 differ in 10 of 64 bits on average and now and then in 20; bit
-ranges, as in ``simhash``, would have to be so short that all texts met. So shards are made by min-hashes: ``BANDS`` keys
-of ``ROWS`` min-hashes each, of which texts of Jaccard similarity s share one with the probability 1 - (1 - s^ROWS)^BANDS:
-0.9999 at 0.8, and 0.02 at 0.3. Texts connected by shared keys are one shard.
+ranges, as in ``simhash``, would have to be so short that all texts met. So the SimHash is made wider, to ``WORDS`` words
+of 64 bits, and of each word only the most decided bit is taken: the one whose count of set bits in the shingles' hashes is
+farthest from half, with its number and value. At 0.8 it is the same in two texts with a probability of about 0.45, though it
+tells 128 cases apart; a fixed choice of seven bits would be at 0.32. A text has ``WORDS`` keys, each of the most decided
+bits of three words, every word being in three keys: texts of similarity 0.8 share a key with a probability of about
+0.9999, others by chance with one of 1 in 14,000. Of texts with a key in common, those are candidates whose first two words
+differ in ``WIDE`` bits at most, which a BK-tree finds (one for each group of candidates that is connected already); in a key of
+over ``part`` texts all that come later are. Texts connected by candidates are one shard. A set of three shingles or less is
+linked to equal ones alone, so its SimHash is its one key.
 
 Links. A shard is dealt, by hash, to parts of about ``PART`` texts, each asked by the parts after it. A part's BK-tree is
 searched for fingerprints within ``RADIUS`` bits (five standard deviations over the average at 0.8), and the texts found
@@ -27,20 +33,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .simhash import BkTree, Forest, components, majority
+from .simhash import _ALL, BkTree, Forest, components, majority
 
 #: Words in a shingle.
 WIDTH = 5
-#: Keys of a text, and min-hashes in each.
-BANDS, ROWS = 32, 6
-#: Bits in which the fingerprints of a link may differ.
-RADIUS = 24
-#: Texts of a shard that one task holds.
+#: Words of the wide SimHash, and keys of a text.
+WORDS = 144
+#: Bits in which the fingerprints of a link may differ, and the first two words of candidates.
+RADIUS, WIDE = 24, 44
+#: Texts of a shard that one task holds, and of a key that are searched.
 PART = 1024
 
 _DEALT = np.random.default_rng(5)
-_FLIP = _DEALT.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64, endpoint=False)
-_TIMES = _DEALT.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64, endpoint=False) | np.uint64(1)
+_TIMES = _DEALT.integers(0, 1 << 64, WORDS, np.uint64, endpoint=False) | np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: The words of each key: three shuffles, cut into threes.
+_CHOSEN = np.concatenate([_DEALT.permutation(WORDS) for _ in range(3)]).reshape(WORDS, 3)
+#: A byte's bits, each in a byte of its own.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
 def text_key(text: str = "text") -> Column:
@@ -62,15 +72,25 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends[WIDTH - 1 :])], np.uint64))
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """The shard keys as signed longs; some thousands of hashes are taken at a time."""
-    import xxhash
+def excess(hashes: np.ndarray) -> np.ndarray:
+    """For each bit of the wide SimHash, (word, bit): hashes that have it set less those that haven't."""
+    counts = np.zeros(WORDS * 64, np.int64)
+    for at in range(0, len(hashes), 255):
+        words = hashes[at : at + 255, None] * _TIMES
+        words = (words ^ (words >> np.uint64(32))) * _MIX
+        words ^= words >> np.uint64(29)
+        counts += _SPREAD[words.view(np.uint8)].sum(0).view(np.uint8)
+    return (2 * counts - len(hashes)).reshape(WORDS, 64)
+
 
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        least = np.minimum(least, ((hashes[None, at : at + 2048] ^ _FLIP) * _TIMES).min(1))
-    raw = [xxhash.xxh64_intdigest(x.tobytes(), n) for n, x in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(raw, np.uint64).view(np.int64).tolist()
+def signature(hashes: np.ndarray) -> tuple[int, int, bytes | None]:
+    """The SimHash and a second word of it, as signed longs, and the most decided bit of each word with its value; none for
+    three hashes or less."""
+    found = excess(hashes)
+    second = np.packbits(found[0] > 0, bitorder="little").view("<i8")[0]
+    bits = np.abs(found).argmax(1)
+    decided = (2 * bits + (found[np.arange(WORDS), bits] > 0)).astype(np.uint8).tobytes()
+    return int(np.uint64(majority(hashes)).view(np.int64)), int(second), decided if len(hashes) > 3 else None
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -82,15 +102,74 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def signatures(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``node`` (the text's key) and ``keys`` (of its shards) for each row."""
+    """``doc_id``, ``node`` (the text's key) and its ``signature`` (``fp``, ``more``, ``decided``) for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = pa.array([bands(shingles(v.as_py())) for v in batch.column(2)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], names=["doc_id", "node", "keys"])
+            made = [signature(shingles(v.as_py())) for v in batch.column(2)]
+            own = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *own], names=["doc_id", "node", "fp", "more", "decided"])
 
     rows = df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), text_key(text).alias("node"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, node binary, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, node binary, fp long, more long, decided binary")
+
+
+def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (fp, more, decided): a row (key, fp, more) for each key, which is its number and its three bits; or, below
+    zero, the SimHash."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            fp, more = (batch.column(i).slice(at, 512).to_numpy() for i in range(2))
+            decided = batch.column(2).slice(at, 512).to_pylist()
+            short = np.array([d is None for d in decided])
+            bits = np.frombuffer(b"".join(d for d in decided if d), np.uint8).astype(np.int64).reshape(-1, WORDS)
+            first, second, third = (bits[:, _CHOSEN[:, i]] for i in range(3))
+            keys = np.arange(WORDS) << 21 | first << 14 | second << 7 | third
+            keys = np.concatenate([keys.ravel(), fp[short] | np.iinfo(np.int64).min])
+            rows = np.concatenate([np.repeat(np.flatnonzero(~short), WORDS), np.flatnonzero(short)])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, fp[rows], more[rows])], names=["key", "fp", "more"])
+
+
+def search_keys(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+    """Over rows (key, fp, more) sorted by key: links (a, b) of SimHashes that connect all candidates. Values connected
+    already are in one BK-tree, of which the first value found is enough."""
+    key, seen, trees = None, set(), []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, fps, more = (batch.column(i).to_numpy() for i in range(3))
+        # a key of one row has no candidates; the batch's first and last rows may have some in other batches
+        same = np.concatenate([[True], keys[1:] == keys[:-1], [True]])
+        at, found = np.flatnonzero(same[1:] | same[:-1]), []
+        for own, fp, second in zip(keys[at].tolist(), fps[at].tolist(), more[at].tolist()):
+            if own != key:
+                key, seen, trees = own, set(), []
+            value = (fp & _ALL) << 64 | second & _ALL
+            if value in seen:
+                continue
+            full = len(seen) >= part
+            hits = [values[0] if full else next(tree.within(value, WIDE), None) for tree, values in trees]
+            found += [(value >> 64, hit >> 64) for hit in hits if hit is not None]
+            near = sorted((t for t, hit in zip(trees, hits) if hit is not None), key=lambda t: len(t[1]))
+            tree, values = near.pop() if near else (BkTree(), [])
+            for v in [*(v for _, others in near for v in others), *([] if full else [value])]:
+                tree.insert(v)
+                values.append(v)
+            trees = [(tree, values), *(t for t, hit in zip(trees, hits) if hit is None)]
+            if not full:
+                seen.add(value)
+        if found:
+            a, b = (np.array(x, np.uint64).view(np.int64) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def groups(marked: DataFrame, part: int = PART) -> DataFrame:
+    """(node, root) for each text of ``marked``: texts connected by candidates, or of one SimHash, have one root."""
+    texts = written(marked.select("node", "fp", "more", "decided").dropDuplicates(["node"]), "texts")
+    keyed = texts.select("fp", "more", "decided").mapInArrow(key_rows, "key long, fp long, more long")
+    found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: search_keys(batches, part), "a long, b long")
+    roots = written(components(found), "shards").withColumnRenamed("node", "fp")
+    return texts.join(roots, "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
 
 
 def check_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,11 +201,9 @@ def check_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(df: DataFrame, marked: DataFrame, text: str = "text", part: int = PART) -> DataFrame:
     """Links (a, b) that connect the same texts of ``df`` as all links would. ``marked``: its ``signatures``."""
-    keyed = marked.dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
-    least = keyed.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
-    groups = components(keyed.join(least, "key").select(F.col("node").alias("a"), "b"))
-    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
-    dealt = written(groups.join(sizes, "root").select("node", "root", F.ceil(F.col("n") / part).cast("int").alias("parts")), "groups")
+    shards = written(groups(marked, part), "members")
+    sizes = shards.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
+    dealt = written(shards.join(sizes, "root").select("node", "root", F.ceil(F.col("n") / part).cast("int").alias("parts")), "groups")
     rows = (
         df.select(text_key(text).alias("node"), F.col(f"`{text}`").alias("text"))
         .join(dealt, "node")

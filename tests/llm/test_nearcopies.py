@@ -3,6 +3,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 
 from foliograph.llm import nearcopies
 
@@ -94,3 +95,78 @@ def test_trees_are_wide_enough():
         b = a[: n + n // 8] if rnd.random() < 0.5 else a[n // 4 :]
         if nearcopies.similar(np.unique(a), np.unique(b)):
             assert (nearcopies.majority(a) ^ nearcopies.majority(b)).bit_count() <= nearcopies.RADIUS
+
+
+def at_threshold(rnd, count):
+    """Pairs of hash sets with a similarity of 0.8 exactly, or the least above it."""
+    for _ in range(count):
+        a, b, common = rnd.choice([(4, 5, 4), (9, 9, 8), (8, 10, 8), (18, 18, 16), (40, 50, 40), (90, 90, 80)])
+        both = np.array([rnd.getrandbits(64) for _ in range(a + b - common)], np.uint64)
+        yield np.unique(both[:a]), np.unique(both[a - common :])
+
+
+def keys_of(*made):
+    """Rows (key, fp, more) of signatures."""
+    fp, more, decided = zip(*made)
+    batch = pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(more, pa.int64()), pa.array(decided, pa.binary())], names=["fp", "more", "decided"])
+    return [tuple(r.values()) for b in nearcopies.key_rows([batch]) for r in b.to_pylist()]
+
+
+def test_most_decided_bits_of_the_simhash():
+    """A text's shards are told by its SimHash alone: by the bits farthest from half, counted plainly."""
+    rnd = random.Random(13)
+    hashes = np.array([rnd.getrandbits(64) for _ in range(300)], np.uint64)
+    fp, more, decided = nearcopies.signature(hashes)
+    for n in (0, 1, nearcopies.WORDS - 1):
+        words = []
+        for h in hashes.tolist():
+            w = h * int(nearcopies._TIMES[n]) % 2**64
+            w = (w ^ w >> 32) * int(nearcopies._MIX) % 2**64
+            words.append(w ^ w >> 29)
+        excess = [2 * sum(w >> b & 1 for w in words) - 300 for b in range(64)]
+        bit = max(range(64), key=lambda b: (abs(excess[b]), -b))
+        assert decided[n] == 2 * bit + (excess[bit] > 0)
+        if n == 0:
+            assert more % 2**64 == sum((e > 0) << b for b, e in enumerate(excess))
+    assert fp % 2**64 == nearcopies.majority(hashes) and len(keys_of((fp, more, decided))) == nearcopies.WORDS
+    assert keys_of(nearcopies.signature(hashes[:3]))[0][0] < 0
+
+
+def test_texts_at_the_threshold_share_a_shard():
+    missed = 0
+    for a, b in at_threshold(random.Random(17), 2000):
+        x, y = nearcopies.signature(a), nearcopies.signature(b)
+        assert sum((i % 2**64 ^ j % 2**64).bit_count() for i, j in zip(x[:2], y[:2])) <= nearcopies.WIDE
+        missed += not {r[0] for r in keys_of(x)} & {r[0] for r in keys_of(y)}
+    assert missed <= 2
+
+
+def test_candidates_against_all_pairs_of_a_shard():
+    """However rows fall into batches, links connect what all pairs within the bits do; past ``part`` values, all of a key."""
+    rnd = random.Random(19)
+    base = [rnd.getrandbits(128) for _ in range(4)]
+    rows = [(k, rnd.choice(base) ^ sum(1 << rnd.randrange(128) for _ in range(rnd.choice([0, 5, 30, 60]))) % 2**128) for k in sorted(rnd.choices(range(20), k=300))]
+    signed = lambda v: v - 2**64 if v >> 63 else v
+    for part in (1000, 6):
+        expected, found = {}, {}
+
+        def root(of, v):
+            while of.setdefault(v, v) != v:
+                v = of[v]
+            return v
+
+        for n, (k, v) in enumerate(rows):
+            for other_key, w in rows[:n]:
+                if k == other_key and (part == 6 or (v ^ w).bit_count() <= nearcopies.WIDE):
+                    expected[root(expected, v >> 64)] = root(expected, w >> 64)
+        for size in (1, 7, 300):
+            found.clear()
+            columns = [pa.array(c, pa.int64()) for c in zip(*[(k, signed(v >> 64), signed(v % 2**64)) for k, v in rows])]
+            batch = pa.RecordBatch.from_arrays(columns, names=["key", "fp", "more"])
+            batches = [batch.slice(0, 0), *(batch.slice(at, size) for at in range(0, 300, size))]
+            links = [(a.as_py() % 2**64, b.as_py() % 2**64) for out in nearcopies.search_keys(batches, part) for a, b in zip(*out)]
+            for a, b in links:
+                found[root(found, a)] = root(found, b)
+            values = sorted({v >> 64 for _, v in rows})
+            assert len(links) < 900
+            assert {(a, b) for a in values for b in values if root(found, a) == root(found, b)} == {(a, b) for a in values for b in values if root(expected, a) == root(expected, b)}
