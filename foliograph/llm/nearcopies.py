@@ -11,7 +11,8 @@ tells 128 cases apart; a fixed choice of seven bits would be at 0.32. A text has
 bits of three words, every word being in three keys: texts of similarity 0.8 share a key with a probability of about
 0.9999, others by chance with one of 1 in 14,000. Of texts with a key in common, those are candidates whose first two words
 differ in ``WIDE`` bits at most, which a BK-tree finds (one for each group of candidates that is connected already); in a key of
-over ``part`` texts all that come later are. Texts connected by candidates are one shard. A set of three shingles or less is
+over ``part`` texts all that come later are. A text so has a link for each of its keys; before they are followed, they are
+thinned to a few for each text, however large its group. Texts connected by candidates are one shard. A set of three shingles or less is
 linked to equal ones alone, so its SimHash is its one key.
 
 Links. A shard is dealt, by hash, to parts of about ``PART`` texts, each asked by the parts after it. A part's BK-tree is
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -131,8 +132,9 @@ def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def search_keys(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
-    """Over rows (key, fp, more) sorted by key: links (a, b) of SimHashes that connect all candidates. Values connected
-    already are in one BK-tree, of which the first value found is enough."""
+    """Over rows (key, fp, more) sorted by key: links (a, b) of SimHashes, a > b, that connect all candidates. Values connected
+    already are in one BK-tree, of which the first value found is enough; the link goes to the tree's smallest SimHash, so
+    that a group's links are much the same in all keys."""
     key, seen, trees = None, set(), []
     for batch in batches:
         if not batch.num_rows:
@@ -148,27 +150,36 @@ def search_keys(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.Rec
             if value in seen:
                 continue
             full = len(seen) >= part
-            hits = [values[0] if full else next(tree.within(value, WIDE), None) for tree, values in trees]
-            found += [(value >> 64, hit >> 64) for hit in hits if hit is not None]
-            near = sorted((t for t, hit in zip(trees, hits) if hit is not None), key=lambda t: len(t[1]))
-            tree, values = near.pop() if near else (BkTree(), [])
-            for v in [*(v for _, others in near for v in others), *([] if full else [value])]:
+            hits = [full or next(tree.within(value, WIDE), None) is not None for tree, *_ in trees]
+            near = sorted((t for t, hit in zip(trees, hits) if hit), key=lambda t: len(t[1]))
+            least = min(fp, *(first for *_, first in near)) if near else fp
+            found += [(v, least) for v in (fp, *(first for *_, first in near)) if v != least]
+            tree, values, _ = near.pop() if near else (BkTree(), [], fp)
+            for v in [*(v for _, others, _ in near for v in others), *([] if full else [value])]:
                 tree.insert(v)
                 values.append(v)
-            trees = [(tree, values), *(t for t, hit in zip(trees, hits) if hit is None)]
+            trees = [(tree, values, least), *(t for t, hit in zip(trees, hits) if not hit)]
             if not full:
                 seen.add(value)
         if found:
-            a, b = (np.array(x, np.uint64).view(np.int64) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            a, b = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def thinned(found: DataFrame) -> DataFrame:
+    """Links (a, b), a > b, that connect what ``found`` does, about one for each node: of a node's links to smaller ones the
+    least is left, to which the others' ends are linked in its place. A node is ``a`` in a few links of each key."""
+    least = F.min("b").over(Window.partitionBy("a"))
+    moved = found.distinct().select("a", "b", least.alias("least"))
+    return moved.select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b")).distinct()
 
 
 def groups(marked: DataFrame, part: int = PART) -> DataFrame:
     """(node, root) for each text of ``marked``: texts connected by candidates, or of one SimHash, have one root."""
     texts = written(marked.select("node", "fp", "more", "decided").dropDuplicates(["node"]), "texts")
     keyed = texts.select("fp", "more", "decided").mapInArrow(key_rows, "key long, fp long, more long")
-    found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: search_keys(batches, part), "a long, b long")
-    roots = written(components(found), "shards").withColumnRenamed("node", "fp")
+    found = keyed.repartition("key").sortWithinPartitions("key", "fp", "more").mapInArrow(lambda batches: search_keys(batches, part), "a long, b long")
+    roots = written(components(thinned(found)), "shards").withColumnRenamed("node", "fp")
     return texts.join(roots, "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
 
 

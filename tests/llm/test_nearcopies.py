@@ -5,7 +5,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 
-from foliograph.llm import nearcopies
+from foliograph.llm import nearcopies, simhash
 
 
 def plain_set(text):
@@ -170,3 +170,30 @@ def test_candidates_against_all_pairs_of_a_shard():
             values = sorted({v >> 64 for _, v in rows})
             assert len(links) < 900
             assert {(a, b) for a in values for b in values if root(found, a) == root(found, b)} == {(a, b) for a in values for b in values if root(expected, a) == root(expected, b)}
+
+
+def test_links_that_are_followed_grow_with_a_group(spark, monkeypatch):
+    """Of a group of near copies, each with many keys, a few links for each text are followed, and the group is one shard."""
+    rnd = random.Random(23)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(base[:k] + [f"x{i}", f"y{i}"] + base[k + 2 :]) for i in range(300) for k in [rnd.randrange(98)]]
+    docs = spark.createDataFrame([*enumerate(texts), *((300 + i, f"other {i} text of words of its own {i * i}") for i in range(20))], "doc_id long, text string")
+    followed = []
+
+    def components(edges):
+        followed.append(edges.distinct().count())
+        return simhash.components(edges)
+
+    monkeypatch.setattr(nearcopies, "components", components)
+    roots = [r["root"] for r in nearcopies.groups(nearcopies.signatures(docs)).collect()]
+    assert len(roots) == 320 and max(map(roots.count, roots)) == 300
+    assert len(followed) == 1 and followed[0] < 4 * 300
+
+
+def test_thinned_links_connect_the_same(spark):
+    rnd = random.Random(29)
+    pairs = {(max(a, b), min(a, b)) for a, b in ((rnd.randrange(-200, 200), rnd.randrange(-200, 200)) for _ in range(260)) if a != b}
+    classes = lambda links: sorted(map(tuple, simhash.components(links).collect()))
+    found = spark.createDataFrame(sorted(pairs) * 3, "a long, b long")
+    thin = nearcopies.thinned(found)
+    assert classes(thin) == classes(found) and thin.count() <= len(pairs) and thin.where("a <= b").count() == 0
